@@ -20,20 +20,20 @@ def date_col(value: dt.date | str | Column) -> Column:
 
 
 def local_date(ts: Column | str, tz: str = SAO_PAULO) -> Column:
-    """Calendar date of a UTC timestamp in ``tz``."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), ts))
+    """Calendar date of a UTC timestamp in ``tz``; the session time zone must be UTC."""
+    return F.to_date(F.from_utc_timestamp(ts, tz))
 
 
 def local_date_between(ts: str, start: dt.date, end: dt.date, tz: str = SAO_PAULO) -> Column:
-    """``start <= local_date(ts) <= end``.
+    """``start <= local_date(ts) <= end``, as a range on the bare column.
 
-    The zone conversion hides the column from the file statistics, so a range one day
-    wider on both sides is added on the bare column; no zone is further than that.
+    The bounds are the UTC times of the local midnights, folded to literals, so that the
+    range reaches the file statistics and no row is converted.
     """
-    day = dt.timedelta(days=1)
-    coarse = (F.col(ts) >= F.lit(start - day)) & (F.col(ts) < F.lit(end + 2 * day))
-    return coarse & local_date(ts, tz).between(F.lit(start), F.lit(end))
+    def utc_midnight(d: dt.date) -> Column:
+        return F.to_utc_timestamp(F.lit(d), tz).cast("timestamp_ntz")
+
+    return (F.col(ts) >= utc_midnight(start)) & (F.col(ts) < utc_midnight(end + dt.timedelta(days=1)))
 
 
 def quarter_start(d: Column) -> Column:

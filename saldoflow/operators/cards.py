@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from ..functions.dates import quarter_start
 from .calendars import date_range
 from .dims import dedupe_dim
+from .joins import join_splittable
 
 # The events that change a card, in the order in which they follow each
 # other when they carry the same time.
@@ -133,7 +134,7 @@ def activity_delta(events: DataFrame, clamp: bool = False) -> DataFrame:
 
 
 def with_issuer_name(deltas: DataFrame, sub_issuers: DataFrame) -> DataFrame:
-    return deltas.join(issuer_names(sub_issuers), "subIssuerTaxId", "left")
+    return join_splittable(deltas, issuer_names(sub_issuers), ["subIssuerTaxId"])
 
 
 def holder_activity(deltas: DataFrame) -> DataFrame:
@@ -186,7 +187,7 @@ def holder_counts(balance: DataFrame) -> DataFrame:
     A holder counts from the quarter of a positive balance to its next row. These starts
     and ends are summed per issuer and quarter, and the running sum is the count, so the
     holders are never repeated for each quarter. Steps of 0 keep the quarters in which
-    nobody starts, hence the last quarter of all is known from the small table of steps.
+    nobody starts, so that the last quarter of all is that of the small table of steps.
     """
     counted = (F.col("balance") > 0) & F.col("issuingHolderId").isNotNull()
     steps = (
@@ -202,13 +203,11 @@ def holder_counts(balance: DataFrame) -> DataFrame:
     )
     running = Window.partitionBy("subIssuerTaxId").orderBy("quarter").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    counts = steps.select(
-        "subIssuerTaxId", "quarter",
-        F.sum("step").over(running).alias("holders"),
-        # one row per issuer and quarter
-        F.max("quarter").over(Window.partitionBy()).alias("_last"),
-    )
-    return densify_fill(counts, ["subIssuerTaxId"], "quarter", ["holders", "_last"], F.col("_last")).drop("_last")
+    counts = steps.select("subIssuerTaxId", "quarter", F.sum("step").over(running).alias("holders"))
+    # The step is taken along so that both readers of the steps need the same columns and
+    # share one exchange.
+    last = steps.agg(F.max(F.struct("quarter", "step"))["quarter"].alias("last")).scalar()
+    return densify_fill(counts, ["subIssuerTaxId"], "quarter", ["holders"], last)
 
 
 def active_holders(balance: DataFrame) -> DataFrame:
@@ -263,8 +262,5 @@ def partner_list_check(deltas: DataFrame, partner: DataFrame, status: DataFrame,
         .filter("balance <= 0")
         .select("issuingCardId", "subIssuerName", "quarter", "balance")
     )
-    return (
-        partner.withColumn("origin", F.lit(origin))
-        .join(own, "issuingCardId")
-        .join(status.select("issuingCardId", "status"), "issuingCardId", "left")
-    )
+    listed = join_splittable(partner.withColumn("origin", F.lit(origin)), own, ["issuingCardId"], "inner")
+    return join_splittable(listed, status.select("issuingCardId", "status"), ["issuingCardId"])

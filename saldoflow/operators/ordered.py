@@ -1,72 +1,59 @@
-"""Ordered lookups and positions that do not put a whole key into one task.
+"""Running values that do not put a whole key into one task.
 
 A window over a key sorts all rows of that key in one task, which fails once a key holds
 a large share of the table. Here the key is cut into time buckets: the window runs per
 (key, bucket), one summary row per (key, bucket) carries the state across buckets, and the
-two meet in a join on (key, bucket), whose large side adaptive execution can split.
-Only the summary is windowed over the whole key; its size per key is the number of buckets.
+two meet in a join on (key, bucket). Only the summary is windowed over the whole key; its
+size per key is the number of buckets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _with_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows joined to the summary row of their (key, bucket); NULL keys match NULL keys."""
-    small = summary.select(*[F.col(k).alias(f"_s_{k}") for k in keys],
-                           *[c for c in summary.columns if c not in keys])
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
-    return rows.join(small, condition, "inner").drop(*[f"_s_{k}" for k in keys])
+def running(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
+            last: Mapping[str, Column] | None = None, count: Mapping[str, Column] | None = None,
+            bucket: str = "minute") -> DataFrame:
+    """Adds, for each row, values over the rows of its key up to and including it.
 
-
-def last_before(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], value: Column,
-                name: str, bucket: str = "minute") -> DataFrame:
-    """Last non-null ``value`` at or before each row of the same key, in ``order``.
-
-    ``order`` must start with ``ts`` and be unique within a key.
+    ``last`` names the last non-null value of a column, ``count`` the number of rows on
+    which a condition holds. ``order`` starts with ``ts`` and is unique within a key; NULL
+    keys form a key of their own.
     """
-    rows = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts))).withColumn("_value", value)
-    part = [*keys, "_bucket"]
-    within = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.when(F.col("_value").isNotNull(), F.struct(*order))
-    summary = (
-        rows.groupBy(*part)
-        .agg(F.max_by("_value", at).alias("_bucket_last"))
-        .withColumn("_carry", F.last("_bucket_last", ignorenulls=True).over(earlier))
-        .drop("_bucket_last")
-    )
-    local = rows.withColumn("_local", F.last("_value", ignorenulls=True).over(within))
-    return (
-        _with_summary(local, summary, part)
-        .withColumn(name, F.coalesce("_local", "_carry"))
-        .drop("_bucket", "_value", "_local", "_carry")
+    last, count = last or {}, count or {}
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy(*[f"_part.{k}" for k in keys]).orderBy("_part._bucket").rowsBetween(
+        Window.unboundedPreceding, -1)
+
+    # One value for key and bucket: as columns they would pass for partitioned once the
+    # rows are partitioned by the key, and a key would stay in one task.
+    rows = df.withColumn("_part", F.struct(*keys, F.date_trunc(bucket, F.col(ts)).alias("_bucket")))
+    for name, value in last.items():
+        rows = rows.withColumn(f"_in_{name}", value)
+    for name, condition in count.items():
+        rows = rows.withColumn(f"_in_{name}", F.coalesce(condition, F.lit(False)).cast("long"))
+
+    at = F.struct(*order)
+    summary = rows.groupBy("_part").agg(
+        *[F.max_by(f"_in_{n}", F.when(F.col(f"_in_{n}").isNotNull(), at)).alias(f"_sum_{n}") for n in last],
+        *[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in count],
+    ).select(
+        "_part",
+        *[F.last(f"_sum_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in last],
+        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_carry_{n}") for n in count],
     )
-
-
-def position(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], name: str,
-             bucket: str = "minute") -> DataFrame:
-    """1-based position of each row within its key, in ``order`` (which starts with ``ts``)."""
-    rows = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
-    part = [*keys, "_bucket"]
-    within = Window.partitionBy(*part).orderBy(*order)
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    summary = (
-        rows.groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
+    local = rows.select(
+        *df.columns, "_part",
+        *[F.last(f"_in_{n}", ignorenulls=True).over(within).alias(f"_local_{n}") for n in last],
+        *[F.sum(f"_in_{n}").over(within).alias(f"_local_{n}") for n in count],
     )
-    local = rows.withColumn("_local", F.row_number().over(within))
-    return (
-        _with_summary(local, summary, part)
-        .withColumn(name, F.col("_before") + F.col("_local"))
-        .drop("_bucket", "_local", "_before")
+    return local.join(summary, "_part").select(
+        *df.columns,
+        *[F.coalesce(f"_local_{n}", f"_carry_{n}").alias(n) for n in last],
+        *[(F.col(f"_carry_{n}") + F.col(f"_local_{n}")).alias(n) for n in count],
     )

@@ -15,7 +15,8 @@ from pyspark.sql.window import Window
 from ..params import RemunerationParams
 from .calendars import date_range
 from .dims import dedupe_dim
-from .ordered import last_before, position
+from .joins import join_splittable
+from .ordered import running
 
 
 def confirmed() -> Column:
@@ -78,7 +79,7 @@ def reversal_cycles(log: DataFrame, cycles: DataFrame) -> DataFrame:
     """Reversals with ``cycleDate``: the day of the last confirmation at or before them.
 
     The first confirmation of each day decides which days precede a reversal, so an id
-    needs one entry per day. The log is the side that adaptive execution may split. The
+    needs one entry per day. The
     entries hold all measures of ``cycles``, needed or not, so that a plan which also uses
     ``cycles`` itself aggregates the confirmations once and reuses that exchange.
     """
@@ -86,8 +87,7 @@ def reversal_cycles(log: DataFrame, cycles: DataFrame) -> DataFrame:
     starts = cycles.groupBy("endToEndId").agg(F.collect_list(entry).alias("_starts"))
     past = F.filter("_starts", lambda s: s["firstConfirmed"] <= F.col("logTime"))
     return (
-        log.filter(reversed_())
-        .join(starts, "endToEndId", "left")
+        join_splittable(log.filter(reversed_()), starts, ["endToEndId"])
         .withColumn("cycleDate", F.to_date(F.array_max(past)["firstConfirmed"]))
         .drop("_starts")
     )
@@ -316,11 +316,11 @@ def previous_event_lookup(log: DataFrame) -> DataFrame:
     """
     ranked = log.withColumn("_rank", F.when(reversed_(), 1).otherwise(0))
     other = F.when(~reversed_(), F.struct("issuingPurchaseLogId", "type", "logDate"))
-    looked_up = last_before(ranked, ["endToEndId"], "logTime", ["logTime", "_rank", "issuingPurchaseLogId"],
-                            other, "_previous")
-    numbered = position(looked_up.filter(reversed_()), ["endToEndId"], "logTime",
-                        ["logTime", "issuingPurchaseLogId"], "rowNumber")
-    return numbered.select(
+    looked_up = running(
+        ranked, ["endToEndId"], "logTime", ["logTime", "_rank", "issuingPurchaseLogId"],
+        last={"_previous": other}, count={"rowNumber": reversed_()},
+    )
+    return looked_up.filter(reversed_()).select(
         "endToEndId",
         "issuingPurchaseLogId",
         "rowNumber",

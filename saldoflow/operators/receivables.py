@@ -13,6 +13,7 @@ from ..params import ReceivablesParams
 from ..sources.storage import stored
 from .calendars import business_day_adjust, date_range
 from .dims import dedupe_dim
+from .joins import join_splittable
 
 DIMENSIONS = ["referenceDate", "network", "installmentStatus", "workspaceId"]
 
@@ -104,7 +105,7 @@ def installment_fact(installments: DataFrame, installment_log: DataFrame, purcha
     )
     return (
         with_acquirer_due(
-            rows.join(companies.select("workspaceId"), "workspaceId")
+            join_splittable(rows, companies.select("workspaceId"), ["workspaceId"], "left_semi")
             .join(_purchases(purchases), "purchaseId")
             .join(settled, "endToEndId"),
             nominal_due(installment_log, params.tz), next_days, params,
@@ -250,7 +251,7 @@ def daily_receive_pay(fact: DataFrame, workspaces: DataFrame, match_factoring: b
                 *[F.col(f"_m.{c}").alias(c) for c in MERCHANT_COLUMNS])
     )
     names = workspace_dim(workspaces).select("workspaceId", "companyName")
-    named = paired.join(names, "workspaceId", "left").drop("workspaceId")
+    named = join_splittable(paired, names, ["workspaceId"]).drop("workspaceId")
     return named.unionByName(_days_without_creation(rollup, first, last), allowMissingColumns=True)
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .dims import dedupe_dim, first_per_key
-from .ordered import position
+from .joins import join_splittable
+from .ordered import running
 
 UNKNOWN_BALANCE = -1000
 
@@ -125,7 +126,7 @@ def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str =
     )
     events = log.select("issuingCardId", F.col("logCreated").cast("timestamp_ntz").alias("_at"), F.col("type").alias("_type"))
     events = events.join(wanted.select("issuingCardId"), "issuingCardId", "left_semi")
-    numbered = position(events, ["issuingCardId"], "_at", ["_at", "_type"], "_n")
+    numbered = running(events, ["issuingCardId"], "_at", ["_at", "_type"], count={"_n": F.lit(True)})
     entry = F.struct("_n", F.coalesce(F.to_date("_at"), F.lit(dt.date(1900, 1, 1))).alias("d"),
                      F.coalesce("_type", F.lit("NULL")).alias("t"))
     pages = (
@@ -171,4 +172,4 @@ def explode_history(history: DataFrame, pairing: str = "cross",
 def resolve_holder(cards: DataFrame, log: DataFrame) -> DataFrame:
     """Holder of each card of a list; of several, the smallest id."""
     holders = log.groupBy("issuingCardId").agg(F.min("issuingHolderId").alias("issuingHolderId"))
-    return cards.select("issuingCardId").join(holders, "issuingCardId", "left")
+    return join_splittable(cards.select("issuingCardId"), holders, ["issuingCardId"])

@@ -137,7 +137,7 @@ def acquiring_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _line_id() -> Column:
     """Unique per line item; order and line number alone are not."""
     return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                       F.date_format("l_shipdate", "yyyyMMdd"))
+                       F.to_date("l_shipdate").cast("string"))
 
 
 def _line_due() -> Column:

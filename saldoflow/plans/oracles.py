@@ -257,7 +257,7 @@ FROM histories WHERE {condition}"""
 
 LINES = """
 lines AS (
-  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || strftime(l_shipdate, '-%Y%m%d') AS id,
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || strftime(l_shipdate, '-%Y-%m-%d') AS id,
          CAST(l_orderkey AS VARCHAR) AS purchase, l_shipdate AS created,
          l_shipdate + INTERVAL 1 DAY * (30 * l_linenumber) AS due,
          CAST(l_suppkey AS VARCHAR) AS workspace, l_linestatus AS status, l_returnflag, l_quantity,
@@ -380,7 +380,7 @@ def _brazilian(amount: str) -> str:
 
 REPORT = f"""
 sales AS (
-  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || strftime(l_shipdate, '-%Y%m%d') AS id,
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || strftime(l_shipdate, '-%Y-%m-%d') AS id,
          CAST(l_linenumber AS VARCHAR) AS number,
          CASE WHEN l_tax = 0 THEN 'xx' ELSE strftime(l_shipdate, '%d/%m/%Y') END AS sold,
          CASE WHEN l_tax <> 0 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS sold_iso,
