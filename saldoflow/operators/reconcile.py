@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -154,18 +154,24 @@ def explode_history(history: DataFrame, pairing: str = "cross",
     about a virtual one, so these are left out.
     """
     card = ["issuingCardId", "origin", "balance", "cardType", "status"]
-    own_entries = F.filter(F.arrays_zip("eventDates", "events"), lambda x: x["events"] == F.col("event"))
-    date = F.array_min("eventDates") if pairing == "cross" else F.array_min(
-        F.transform(own_entries, lambda x: x["eventDates"]))
+
+    def date_on_page(event: str) -> Column:
+        own = F.filter(F.arrays_zip("eventDates", "events"), lambda x: x["events"] == event)
+        return F.array_min(F.transform(own, lambda x: x["eventDates"]))
+
+    def first_date(event: str) -> Column:
+        if pairing == "zip":
+            return F.min(date_on_page(event))
+        return F.when(F.max(F.array_contains("events", event)), F.min(F.array_min("eventDates")))
+
     idle = ((F.col("cardType") == "physical") & (F.col("event") == "created")) | (
         (F.col("cardType") == "virtual") & (F.col("event") == "unblocked"))
     return (
-        history.withColumn("event", F.explode(F.array_intersect("events", F.array(*[F.lit(e) for e in report]))))
-        .filter(~F.coalesce(idle, F.lit(False)))
-        .select(*card, "event", date.alias("_date"))
-        # pages of a long history meet here
-        .groupBy(*card, "event")
-        .agg(F.min("_date").alias("eventDate"))
+        # the pages of a long history meet here
+        history.groupBy(*card)
+        .agg(F.array(*[F.struct(F.lit(e).alias("event"), first_date(e).alias("eventDate")) for e in report]).alias("_e"))
+        .select(*card, F.inline("_e"))
+        .filter(F.col("eventDate").isNotNull() & ~F.coalesce(idle, F.lit(False)))
     )
 
 
