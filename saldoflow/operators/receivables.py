@@ -214,7 +214,7 @@ def daily_receive_pay(fact: DataFrame, workspaces: DataFrame, match_factoring: b
 
     A key has at most one row per side and flag, so instead of joining three branches of
     the same fact the rows of a key (six at most) are gathered and paired in place. The
-    rollup is checkpointed, hence this call runs the join of the fact, once.
+    rollup is stored, hence this call runs the join of the fact, once.
     """
     rollup = stored(dated_rollup(fact))
     day = rollup.agg(

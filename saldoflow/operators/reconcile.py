@@ -124,24 +124,25 @@ def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str =
         divergent.filter((F.col("balance") <= 0) & (F.col("origin") == origin)) if side == "partner"
         else divergent.filter(F.col("origin").isNull())
     )
+    card = wanted.columns
+    missing_date, missing_type = F.lit(dt.date(1900, 1, 1)), F.lit("NULL")
     events = log.select("issuingCardId", F.col("logCreated").cast("timestamp_ntz").alias("_at"), F.col("type").alias("_type"))
-    events = events.join(wanted.select("issuingCardId"), "issuingCardId", "left_semi")
+    # The card's columns travel with the events: pages joined to cards afterwards would
+    # bring all pages of a card into one task.
+    events = join_splittable(events, wanted, ["issuingCardId"], "inner")
     numbered = running(events, ["issuingCardId"], "_at", ["_at", "_type"], count={"_n": F.lit(True)})
-    entry = F.struct("_n", F.coalesce(F.to_date("_at"), F.lit(dt.date(1900, 1, 1))).alias("d"),
-                     F.coalesce("_type", F.lit("NULL")).alias("t"))
+    entry = F.struct("_n", F.coalesce(F.to_date("_at"), missing_date).alias("d"),
+                     F.coalesce("_type", missing_type).alias("t"))
     pages = (
         numbered.withColumn("page", F.floor((F.col("_n") - 1) / page_size))
-        .groupBy("issuingCardId", "page")
+        .groupBy(*card, "page")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        .select(*card, "page", F.col("_entries.d").alias("eventDates"), F.col("_entries.t").alias("events"))
     )
-    absent = F.col("_entries").isNull()
-    return (
-        wanted.join(pages, "issuingCardId", "left")
-        .withColumn("eventDates", F.when(absent, F.array(F.lit(dt.date(1900, 1, 1)))).otherwise(F.col("_entries.d")))
-        .withColumn("events", F.when(absent, F.array(F.lit("NULL"))).otherwise(F.col("_entries.t")))
-        .withColumn("page", F.coalesce("page", F.lit(0)))
-        .drop("_entries")
-    )
+    without_log = wanted.join(log.select("issuingCardId").distinct(), "issuingCardId", "left_anti").select(
+        *card, F.lit(0).cast("long").alias("page"), F.array(missing_date).alias("eventDates"),
+        F.array(missing_type).alias("events"))
+    return pages.unionByName(without_log)
 
 
 def explode_history(history: DataFrame, pairing: str = "cross",

@@ -6,9 +6,11 @@ Every mapping is a projection of whole tables; ``oracles`` states the same in SQ
 from __future__ import annotations
 
 import datetime as dt
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..params import ReceivablesParams, RemunerationParams
 
@@ -28,8 +30,15 @@ SNAPSHOT_SPLIT = D(2024, 1, 16)
 SNAPSHOT_AS_OF = D(2024, 1, 31)
 
 
+@cache
+def _table_schema(path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is inferred once per process, a query may read it often."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_table_schema(path)).parquet(path)
 
 
 def cents(amount: Column) -> Column:

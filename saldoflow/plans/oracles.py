@@ -411,6 +411,15 @@ labelled AS (
          CAST(trunc(CAST(replace(regexp_replace(value, '[^0-9,]', '', 'g'), ',', '.') AS DOUBLE) * 100) AS BIGINT) AS cut
   FROM captured)"""
 
+MERGE = """
+merged AS (
+  SELECT *, row_number() OVER (PARTITION BY data ORDER BY CASE tipo WHEN 'realizado' THEN 0 ELSE 1 END, updated_on DESC, valor) AS rn
+  FROM (SELECT * FROM history WHERE data >= (SELECT min(data) FROM new) UNION ALL SELECT * FROM new))
+SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f') AS updated_on, CAST(data AS VARCHAR) AS data, tipo, valor
+FROM history WHERE data < (SELECT min(data) FROM new)
+UNION ALL
+SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f'), CAST(data AS VARCHAR), tipo, valor FROM merged WHERE rn = 1"""
+
 ORACLES: dict[str, str] = {
     "working_calendar": f"""WITH {HOLIDAYS},
 bounds AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
@@ -549,6 +558,9 @@ flagged AS (SELECT * REPLACE (coalesce(balance, -1000) AS balance, CASE WHEN bal
 SELECT {CARD_COLUMNS} FROM flagged WHERE balance <= 0""",
     "reconcile_only_own": f"""WITH {RECONCILED} SELECT {CARD_COLUMNS} FROM missing""",
     "divergence_report": f"""WITH {RECONCILED} SELECT {CARD_COLUMNS} FROM divergent""",
+    "issuer_divergences": f"""WITH {RECONCILED}
+SELECT v.card AS "issuingCardId", v.origin, CAST(v.balance AS BIGINT) AS balance, v.card_type AS "cardType", v.status
+FROM divergent v JOIN collection c ON v.card = c.card WHERE c.issuer_name = 'NATION_3'""",
     "event_history": _history("origin IS NULL"),
     "event_history_partner": _history("balance <= 0 AND origin = 'partner'"),
     "explode_history": f"""WITH {HISTORY},
@@ -674,13 +686,9 @@ SELECT '2024-01-31' AS updated_on, id AS "NSU_CV", CAST(number AS BIGINT) AS par
     "collect_statements": f"""WITH {CAPTURED}
 SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f') AS updated_on, CAST(parsed AS VARCHAR) AS data, tipo, cut AS valor FROM labelled""",
     "snapshot_merge": f"""WITH {SNAPSHOTS},
-new AS (SELECT * FROM snapshots WHERE updated_on >= TIMESTAMP '2024-01-16'),
-history AS (SELECT * FROM snapshots WHERE updated_on < TIMESTAMP '2024-01-16'),
-merged AS (
-  SELECT *, row_number() OVER (PARTITION BY data ORDER BY CASE tipo WHEN 'realizado' THEN 0 ELSE 1 END, updated_on DESC, valor) AS rn
-  FROM (SELECT * FROM history WHERE data >= (SELECT min(data) FROM new) UNION ALL SELECT * FROM new))
-SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f') AS updated_on, CAST(data AS VARCHAR) AS data, tipo, valor
-FROM history WHERE data < (SELECT min(data) FROM new)
-UNION ALL
-SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f'), CAST(data AS VARCHAR), tipo, valor FROM merged WHERE rn = 1""",
+history AS (SELECT updated_on, data, tipo, valor FROM snapshots WHERE updated_on < TIMESTAMP '2024-01-16'),
+new AS (SELECT updated_on, data, tipo, valor FROM snapshots WHERE updated_on >= TIMESTAMP '2024-01-16'), {MERGE}""",
+    "snapshot_update": f"""WITH {CAPTURED},
+history AS (SELECT updated_on, data, tipo, valor FROM snapshots WHERE updated_on < TIMESTAMP '2024-01-16'),
+new AS (SELECT updated_on, parsed AS data, tipo, cut AS valor FROM labelled WHERE updated_on >= TIMESTAMP '2024-01-16'), {MERGE}""",
 }

@@ -17,6 +17,7 @@ from ..operators import calendars, cards, index_returns, purchases, receivables,
 from ..sources import reports, storage
 from ..sources.schemas import report_kind
 from . import fixtures as fx
+from . import jobs
 
 RUN_DATE = dt.date(2024, 1, 31)
 
@@ -117,19 +118,21 @@ def cycle_amounts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cycle_remuneration(spark: SparkSession, sf: str) -> DataFrame:
-    return purchases.cycle_remuneration(
-        fx.purchase_events(spark, sf), fx.purchase_cards(spark, sf), _returns(spark, sf), fx.REMUNERATION)
+    return jobs.cycle_remuneration(
+        spark, fx.purchase_events(spark, sf), fx.purchase_cards(spark, sf), fx.holidays(spark, sf),
+        fx.daily_index(spark, sf), fx.REMUNERATION)
 
 
 def prior_row_cycle(spark: SparkSession, sf: str) -> DataFrame:
-    return purchases.cycle_remuneration(
-        fx.purchase_events(spark, sf), fx.purchase_cards(spark, sf), _returns(spark, sf), fx.REMUNERATION,
-        attribution="previous_row")
+    return jobs.cycle_remuneration(
+        spark, fx.purchase_events(spark, sf), fx.purchase_cards(spark, sf), fx.holidays(spark, sf),
+        fx.daily_index(spark, sf), fx.REMUNERATION, attribution="previous_row")
 
 
 def issuer_daily_remuneration(spark: SparkSession, sf: str) -> DataFrame:
-    return purchases.issuer_daily_remuneration(
-        _log(spark, sf), _returns(spark, sf, "due"), fx.sub_issuers(spark, sf), fx.REMUNERATION)
+    return jobs.issuer_daily_remuneration(
+        spark, fx.purchase_events(spark, sf), fx.purchase_cards(spark, sf), fx.sub_issuers(spark, sf),
+        fx.holidays(spark, sf), fx.daily_index(spark, sf), fx.REMUNERATION)
 
 
 def previous_event_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,6 +255,13 @@ def divergence_report(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.divergences(_compared(spark, sf))
 
 
+def issuer_divergences(spark: SparkSession, sf: str) -> DataFrame:
+    """Divergences of the cards of one issuer; the partner also lists cards of other issuers."""
+    return reconcile.divergences(jobs.card_comparison(
+        fx.card_log(spark, sf), fx.sub_issuers(spark, sf), fx.raw_cards(spark, sf), fx.partner_cards(spark, sf),
+        fx.CARDS_ISSUER, fx.CARDS_END, fx.CARDS_CUTOFF))
+
+
 def _history(spark: SparkSession, sf: str, side: str) -> DataFrame:
     divergent = storage.stored(divergence_report(spark, sf))
     return reconcile.event_history(divergent, fx.card_log(spark, sf), side)
@@ -310,11 +320,15 @@ def factoring_flag(spark: SparkSession, sf: str) -> DataFrame:
                        receivables.tag_flag(F.col("tags"), fx.RECEIVABLES.factoring_marker).alias("isFactoring"))
 
 
-def _fact(spark: SparkSession, sf: str) -> DataFrame:
-    return receivables.installment_fact(
+def _receivables_tables(spark: SparkSession, sf: str) -> jobs.ReceivablesTables:
+    return jobs.ReceivablesTables(
         fx.installments(spark, sf), fx.installment_log(spark, sf), fx.merchant_purchases(spark, sf),
         fx.acquiring_purchases(spark, sf), fx.acquiring_installments(spark, sf), fx.workspaces(spark, sf),
-        _next_days(spark, sf), fx.RECEIVABLES)
+        fx.acquiring_holidays(spark, sf))
+
+
+def _fact(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.receivables_fact(spark, _receivables_tables(spark, sf), fx.RECEIVABLES)
 
 
 def installment_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -334,7 +348,7 @@ def acquirer_due_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def daily_receive_pay(spark: SparkSession, sf: str) -> DataFrame:
-    return receivables.daily_receive_pay(_fact(spark, sf), fx.workspaces(spark, sf))
+    return jobs.receive_pay(spark, _receivables_tables(spark, sf), fx.RECEIVABLES)
 
 
 def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -366,10 +380,11 @@ def conversion_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich(spark: SparkSession, sf: str) -> DataFrame:
-    enriched = weekly.enrich(
-        _converted(spark, sf), fx.corporate_holders(spark, sf), fx.nation_workspaces(spark, sf),
-        fx.raw_cards(spark, sf), fx.raw_sub_issuers(spark, sf), fx.merchant_categories(spark, sf))
-    return enriched.select(
+    base = jobs.purchase_base(
+        fx.purchase_records(spark, sf), fx.corporate_holders(spark, sf), fx.nation_workspaces(spark, sf),
+        fx.raw_cards(spark, sf), fx.raw_sub_issuers(spark, sf), fx.merchant_categories(spark, sf),
+        dt.date(1998, 1, 1))
+    return base.select(
         "endToEndId", "logAmount", "holderName", "workspaceId", "centerId", "companyName", "companyTaxId",
         "binId", "cardType", "subIssuerWorkspaceId", "subIssuerName", "merchantCategoryNumber")
 
@@ -459,6 +474,15 @@ def snapshot_merge(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.snapshot_merge(*_snapshots(spark, sf))
 
 
+def snapshot_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The history stored, then replaced by its merge with the captured statements."""
+    path = storage.new_folder(spark, "snapshot")
+    history, _ = _snapshots(spark, sf)
+    storage.publish(history.select("updated_on", "data", "tipo", "valor"), path)
+    captured = fx.captured_text(spark, sf).filter(F.col("updated_on") >= F.lit(fx.SNAPSHOT_SPLIT))
+    return jobs.update_snapshot(spark, captured, path, fx.SNAPSHOT_AS_OF)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "working_calendar": working_calendar,
     "next_business_day": next_business_day,
@@ -494,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_flag_unknown": reconcile_flag_unknown,
     "reconcile_only_own": reconcile_only_own,
     "divergence_report": divergence_report,
+    "issuer_divergences": issuer_divergences,
     "event_history": event_history,
     "event_history_partner": event_history_partner,
     "explode_history": explode_history,
@@ -523,6 +548,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_money": parse_money_texts,
     "collect_statements": collect_statements,
     "snapshot_merge": snapshot_merge,
+    "snapshot_update": snapshot_update,
 }
 
 

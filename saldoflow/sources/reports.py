@@ -22,6 +22,7 @@ from .storage import land_csv, publish
 
 ROWS_SCHEMA = "archive string, member string, kind string, line bigint, values map<string,string>, problem string"
 CHUNK_ROWS = 20_000
+KEPT_BYTES = 64 * 1024 * 1024
 
 # Day-first patterns accepted in date columns, and ISO dates.
 DATE_PATTERNS = ("d/M/yyyy", "d/M/yyyy H:mm:ss", "d-M-yyyy", "yyyy-M-d", "yyyy-M-d H:mm:ss")
@@ -60,21 +61,29 @@ def _batch(archive: str, member: str, kind: str, first: int, frame: pd.DataFrame
     )
 
 
-def _member_rows(archive: str, data: zipfile.ZipFile, name: str) -> Iterator[pa.RecordBatch]:
-    member = name.rsplit("/", 1)[-1]
+def _member_rows(archive: str, data: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[pa.RecordBatch]:
+    """Rows of a member. It counts as a whole or not at all, so it is read to its end before
+    any row goes out: a small one is kept meanwhile, a large one is read twice."""
+    member = info.filename.rsplit("/", 1)[-1]
     prefix = re.match(r"([^\-]+)-", member)
     if prefix is None or not member.endswith((".csv", ".xlsx")):
         return
     kind = prefix.group(1)
-    try:
-        # A file counts as a whole or not at all, so it is read through before any row goes out.
-        for _ in _frames(data, name):
-            pass
+
+    def batches() -> Iterator[pa.RecordBatch]:
         first = 1
-        for frame in _frames(data, name):
+        for frame in _frames(data, info.filename):
             if len(frame):
                 yield _batch(archive, member, kind, first, frame, None)
             first += len(frame)
+
+    try:
+        if info.file_size <= KEPT_BYTES:
+            yield from list(batches())
+        else:
+            for _ in batches():
+                pass
+            yield from batches()
     except Exception as e:  # an unreadable file is reported, the others go on
         yield _batch(archive, member, kind, 0, None, f"{type(e).__name__}: {e}")
 
@@ -83,8 +92,8 @@ def _read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
             with zipfile.ZipFile(io.BytesIO(content.as_py())) as data:
-                for name in data.namelist():
-                    yield from _member_rows(path.as_py(), data, name)
+                for info in data.infolist():
+                    yield from _member_rows(path.as_py(), data, info)
 
 
 def report_rows(archives: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Stored results: checkpoints, replaced tables and partitioned tables."""
+"""Stored results: intermediate, replaced and partitioned tables."""
 
 from __future__ import annotations
 
@@ -17,9 +17,6 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return tempfile.mkdtemp(prefix="saldoflow-")
@@ -31,11 +28,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """The result computed once and read back by every later use; survives lost executors."""
+    """The result computed once, as a table in the shared folder, for all later uses.
+
+    It survives lost executors, cuts the lineage and, unlike a checkpoint, has a known size
+    and columns that are read only if needed.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
+    path = new_folder(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _replace_folder(spark: SparkSession, staging: str, target: str) -> None:
