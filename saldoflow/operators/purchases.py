@@ -84,11 +84,14 @@ def reversal_cycles(log: DataFrame, cycles: DataFrame) -> DataFrame:
     ``cycles`` itself aggregates the confirmations once and reuses that exchange.
     """
     entry = F.struct("firstConfirmed", "confirmedAmount")
-    starts = cycles.groupBy("endToEndId").agg(F.collect_list(entry).alias("_starts"))
-    past = F.filter("_starts", lambda s: s["firstConfirmed"] <= F.col("logTime"))
+    starts = (
+        cycles.groupBy("endToEndId").agg(F.collect_list(entry).alias("_entries"))
+        .select("endToEndId", F.col("_entries.firstConfirmed").alias("_starts"))
+    )
+    past = F.filter("_starts", lambda t: t <= F.col("logTime"))
     return (
         join_splittable(log.filter(reversed_()), starts, ["endToEndId"])
-        .withColumn("cycleDate", F.to_date(F.array_max(past)["firstConfirmed"]))
+        .withColumn("cycleDate", F.to_date(F.array_max(past)))
         .drop("_starts")
     )
 

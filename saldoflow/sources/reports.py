@@ -187,7 +187,7 @@ def land_reports(archives: DataFrame, out: str, run_date: dt.date, fmt: str = "p
     spark = archives.sparkSession
     lines = f"{out}/_lines"
     publish(report_rows(archives), lines, "kind")  # archives are opened once, not once per kind
-    rows = spark.read.parquet(lines)
+    rows = spark.read.schema(ROWS_SCHEMA).parquet(lines)
     kinds = [r["kind"] for r in rows.filter("line = 1").select("kind").distinct().collect()]
     written = {}
     for kind in sorted(set(kinds) - set(SKIPPED_KINDS)):

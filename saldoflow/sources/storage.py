@@ -65,7 +65,7 @@ def publish(df: DataFrame, path: str, by: str | None = None) -> None:
 
 
 def repartition_table(spark: SparkSession, path: str, by: str) -> None:
-    """Rewrite the table at ``path`` partitioned by ``by``."""
+    """Rewrite the table at ``path`` partitioned by ``by``, a date column."""
     publish(spark.read.parquet(path), path, by)
 
 
