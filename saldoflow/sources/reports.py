@@ -107,14 +107,17 @@ def report_rows(archives: DataFrame) -> DataFrame:
 
 
 def report_columns(rows: DataFrame, kind: str) -> list[str]:
-    """Column names that occur in any member of a kind, sorted.
+    """Columns of a kind: in file order if all members have the same ones, else all that
+    occur, sorted.
 
     Every line of a member has the same names, so the first lines suffice; what reaches
-    the driver are distinct names.
+    the driver are distinct header lines.
     """
     first_lines = rows.filter((F.col("kind") == kind) & (F.col("line") == 1))
-    names = first_lines.select(F.explode(F.map_keys("values")).alias("name")).distinct()
-    return sorted(r["name"] for r in names.collect())
+    headers = [r["header"] for r in first_lines.select(F.map_keys("values").alias("header")).distinct().collect()]
+    if len(headers) == 1:
+        return list(headers[0])
+    return sorted({name for header in headers for name in header})
 
 
 def report_table(rows: DataFrame, kind: str, columns: Sequence[str] | None = None) -> DataFrame:

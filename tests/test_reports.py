@@ -51,6 +51,13 @@ def test_clean_report(spark, folder):
                           (RUN, None, "visa", D(2024, 2, 1), None)], key=repr)
 
 
+def test_columns_keep_file_order_if_all_files_agree(spark, folder):
+    rows = reports.report_rows(reports.read_archives(spark, folder))
+    assert reports.report_columns(rows, "capa") == ["a", "b"]
+    assert reports.report_columns(rows, "outros") == ["Taxa_percent", "b"]
+    assert reports.report_columns(rows, "recebidos") == ["Razao_Social_ID", "bandeira", "data", "valor_depositado"]
+
+
 def test_land_reports(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     written = reports.land_reports(reports.read_archives(spark, folder), out, RUN)
