@@ -1,5 +1,5 @@
 """The registered queries in SQL, written from the definitions rather than from the Spark
-plans: windows over whole keys, range joins, grids and full joins."""
+plans: windows over whole keys, as-of joins, grids and full joins."""
 
 from __future__ import annotations
 
@@ -53,77 +53,52 @@ log AS (
 
 CYCLES = LOG + """,
 attributed AS (
-  SELECT *, id || CAST(cycle AS VARCHAR) AS internal
-  FROM (SELECT *, last_value(CASE WHEN type = 'confirmed' THEN d END IGNORE NULLS) OVER (
-          PARTITION BY id ORDER BY ts, type, lid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cycle
+  SELECT *, id || CAST(cycle AS VARCHAR) AS internal, type = 'reversed' AND coalesce(d < cycle + 7, FALSE) AS early
+  FROM (SELECT *, max(CASE WHEN type = 'confirmed' THEN d END) OVER (
+          PARTITION BY id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cycle
         FROM log)),
-cycles AS (
-  SELECT internal, id, cycle, min(ts) AS first_confirmed FROM attributed WHERE type = 'confirmed' GROUP BY ALL),
-reversals AS (
-  SELECT a.*, coalesce(a.d < c.cycle + 7, FALSE) AS before_settlement
-  FROM attributed a LEFT JOIN cycles c USING (internal) WHERE a.type = 'reversed'),
-confirmed_sums AS (
-  SELECT c.internal, sum(a.amount) AS amount
-  FROM cycles c LEFT JOIN attributed a ON c.internal = a.internal AND a.type = 'confirmed' GROUP BY ALL),
-before_sums AS (
-  SELECT c.internal, sum(r.amount) AS amount
-  FROM cycles c LEFT JOIN reversals r ON c.internal = r.internal AND r.before_settlement GROUP BY ALL),
-after_sums AS (
-  SELECT c.internal, sum(r.amount) AS amount
-  FROM cycles c LEFT JOIN reversals r ON c.internal = r.internal AND NOT r.before_settlement GROUP BY ALL),
 amounts AS (
-  SELECT c.internal AS "internalId", c.id AS "endToEndId", CAST(c.cycle AS VARCHAR) AS "confirmationDate",
-         strftime(c.first_confirmed, '%Y-%m-%d %H:%M:%S.%f') AS "firstConfirmed",
-         CAST(c.cycle + 5 AS VARCHAR) AS "dueDate", CAST(c.cycle + 7 AS VARCHAR) AS "settlementDate",
-         CAST(k.amount AS BIGINT) AS "confirmedAmount", CAST(b.amount AS BIGINT) AS "reversedBeforeSettlement",
-         CAST(a.amount AS BIGINT) AS "reversedAfterSettlement"
-  FROM cycles c LEFT JOIN confirmed_sums k USING (internal) LEFT JOIN before_sums b USING (internal)
-    LEFT JOIN after_sums a USING (internal))"""
+  SELECT internal AS "internalId", id AS "endToEndId", CAST(cycle AS VARCHAR) AS "confirmationDate",
+         strftime(min(ts) FILTER (type = 'confirmed'), '%Y-%m-%d %H:%M:%S.%f') AS "firstConfirmed",
+         CAST(cycle + 5 AS VARCHAR) AS "dueDate", CAST(cycle + 7 AS VARCHAR) AS "settlementDate",
+         CAST(sum(amount) FILTER (type = 'confirmed') AS BIGINT) AS "confirmedAmount",
+         CAST(sum(amount) FILTER (early) AS BIGINT) AS "reversedBeforeSettlement",
+         CAST(sum(amount) FILTER (type = 'reversed' AND NOT early) AS BIGINT) AS "reversedAfterSettlement"
+  FROM attributed WHERE cycle IS NOT NULL GROUP BY internal, id, cycle)"""
 
 PREVIOUS_ROW = LOG + """,
 dated AS (SELECT *, coalesce(confirmed_on, d) AS day FROM log),
-confirmations AS (
-  SELECT * FROM (SELECT id, day, confirmed_on,
-                        row_number() OVER (PARTITION BY id ORDER BY ts, lid) AS rn
-                 FROM dated WHERE type = 'confirmed') WHERE rn = 1),
-collection AS (SELECT DISTINCT id, day, id || CAST(day AS VARCHAR) AS internal FROM dated),
-moved AS (
-  SELECT id, type, amount, last_value(day) OVER (
-           PARTITION BY id ORDER BY day, ts, lid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ref
+first_of_id AS (
+  SELECT id, arg_min(day, (ts, lid)) AS day, arg_min(confirmed_on, (ts, lid)) AS confirmed_on
+  FROM dated WHERE type = 'confirmed' GROUP BY id),
+assigned AS (
+  SELECT id, type, amount, CASE type WHEN 'confirmed' THEN day ELSE lag(day) OVER (PARTITION BY id ORDER BY day, ts, lid) END AS to_day
   FROM dated),
-reversals AS (
-  SELECT m.id || CAST(m.ref AS VARCHAR) AS internal, m.amount, coalesce(m.ref < c.day + 7, FALSE) AS before_settlement
-  FROM moved m LEFT JOIN confirmations c USING (id) WHERE m.type = 'reversed'),
-before_sums AS (
-  SELECT internal, sum(amount) AS amount FROM reversals WHERE before_settlement GROUP BY ALL),
-after_sums AS (
-  SELECT internal, sum(amount) AS amount FROM reversals WHERE NOT before_settlement GROUP BY ALL),
-confirmed_sums AS (SELECT id, day, sum(amount) AS amount FROM dated WHERE type = 'confirmed' GROUP BY ALL),
+sums AS (
+  SELECT id, to_day, sum(amount) FILTER (type = 'confirmed') AS confirmed, sum(amount) FILTER (type = 'reversed') AS reversed
+  FROM assigned GROUP BY id, to_day),
 amounts AS (
-  SELECT c.id, c.day, f.confirmed_on, CASE WHEN f.id IS NOT NULL THEN c.day + 5 END AS due,
-         CASE WHEN f.id IS NOT NULL THEN c.day + 7 END AS settled,
-         k.amount AS confirmed, b.amount AS before, a.amount AS after
-  FROM collection c LEFT JOIN confirmations f ON c.id = f.id AND c.day = f.day
-    LEFT JOIN confirmed_sums k ON c.id = k.id AND c.day = k.day
-    LEFT JOIN before_sums b USING (internal) LEFT JOIN after_sums a USING (internal))"""
+  SELECT c.id, c.day, CASE WHEN c.day = f.day THEN f.confirmed_on END AS confirmed_on,
+         CASE WHEN c.day = f.day THEN c.day + 5 END AS due, CASE WHEN c.day = f.day THEN c.day + 7 END AS settled,
+         s.confirmed, CASE WHEN c.day < f.day + 7 THEN s.reversed END AS before,
+         CASE WHEN f.day IS NULL OR c.day >= f.day + 7 THEN s.reversed END AS after
+  FROM (SELECT DISTINCT id, day FROM dated) c LEFT JOIN first_of_id f USING (id)
+    LEFT JOIN sums s ON s.id = c.id AND s.to_day = c.day)"""
 
 ISSUER_DAILY = LOG + """,
-confirmations AS (
-  SELECT * FROM (SELECT id, confirmed_on, d + 5 AS due, d + 7 AS settled,
-                        row_number() OVER (PARTITION BY id ORDER BY ts, lid) AS rn
-                 FROM log WHERE type = 'confirmed') WHERE rn = 1),
-confirmed AS (
-  SELECT sum(amount) AS amount, due AS d, issuer FROM log LEFT JOIN confirmations USING (id)
-  WHERE type = 'confirmed' GROUP BY ALL),
-early AS (
-  SELECT sum(amount) AS amount, due AS d, issuer FROM log LEFT JOIN confirmations c USING (id)
-  WHERE type = 'reversed' AND log.d BETWEEN c.confirmed_on AND c.settled GROUP BY ALL),
-late AS (
-  SELECT sum(amount) AS amount, log.d AS d, issuer FROM log LEFT JOIN confirmations c USING (id)
-  WHERE type = 'reversed' AND log.d > c.settled GROUP BY ALL),
-grid AS (
-  SELECT r.d, i.issuer FROM (SELECT d FROM returns WHERE d <= DATE '2024-01-30') r
-  CROSS JOIN (SELECT DISTINCT issuer FROM log) i)"""
+dated AS (
+  SELECT *, first_value(d IGNORE NULLS) OVER w AS first_day, first_value(confirmed_on IGNORE NULLS) OVER w AS first_confirmed
+  FROM (SELECT *, CASE WHEN type = 'confirmed' THEN d END AS confirmed_day FROM log)
+  WINDOW w AS (PARTITION BY id ORDER BY confirmed_day IS NULL, ts, lid ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+flows AS (
+  SELECT CASE WHEN type = 'reversed' AND d > first_day + 7 THEN d ELSE first_day + 5 END AS day, issuer, amount,
+         CASE WHEN type = 'confirmed' THEN 'confirmed' WHEN d > first_day + 7 THEN 'late'
+              WHEN d >= first_confirmed THEN 'early' END AS kind
+  FROM dated WHERE first_confirmed IS NOT NULL),
+sums AS (
+  SELECT day, issuer, sum(amount) FILTER (kind = 'confirmed') AS confirmed, sum(amount) FILTER (kind = 'early') AS early,
+         sum(amount) FILTER (kind = 'late') AS late
+  FROM flows GROUP BY day, issuer)"""
 
 # --- cards ---------------------------------------------------------------------------------
 
@@ -173,62 +148,38 @@ deltas AS (
 HOLDERS = DELTAS + """,
 activity AS (SELECT holder, issuer, quarter, sum(delta) AS delta FROM deltas GROUP BY ALL),
 balances AS (
-  SELECT * FROM (
-    SELECT holder, issuer, quarter,
-           sum(delta) OVER (PARTITION BY holder ORDER BY quarter, issuer
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance,
-           row_number() OVER (PARTITION BY holder, quarter ORDER BY issuer DESC) AS rn
-    FROM activity) WHERE rn = 1),
+  SELECT holder, quarter, max(issuer) AS issuer, sum(sum(delta)) OVER (PARTITION BY holder ORDER BY quarter) AS balance
+  FROM activity GROUP BY holder, quarter),
 quarters AS (
   SELECT CAST(unnest(generate_series(CAST(min(quarter) AS TIMESTAMP), CAST(max(quarter) AS TIMESTAMP), INTERVAL 3 MONTH)) AS DATE) AS quarter
   FROM activity),
-full_grid AS (
-  SELECT q.quarter, h.holder,
-         coalesce(b.issuer, last_value(b.issuer IGNORE NULLS) OVER w) AS issuer,
-         coalesce(b.balance, last_value(b.balance IGNORE NULLS) OVER w) AS balance
-  FROM quarters q CROSS JOIN (SELECT DISTINCT holder FROM balances) h
-    LEFT JOIN balances b ON q.quarter = b.quarter AND h.holder = b.holder
-  WINDOW w AS (PARTITION BY h.holder ORDER BY q.quarter ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-active AS (
-  SELECT quarter, issuer, count(holder) AS holders FROM full_grid WHERE balance > 0 GROUP BY ALL)"""
+dense AS (
+  SELECT g.quarter, g.holder, b.issuer, b.balance
+  FROM (SELECT quarter, holder FROM quarters CROSS JOIN (SELECT DISTINCT holder FROM balances)) g
+  ASOF JOIN balances b ON g.holder = b.holder AND g.quarter >= b.quarter),
+active AS (SELECT quarter, issuer, count(*) AS holders FROM dense WHERE balance > 0 GROUP BY ALL)"""
 
 RECONCILED = DELTAS + """,
 collection AS (SELECT DISTINCT card, issuer_name, card_type FROM deltas),
-until_cutoff AS (SELECT * FROM deltas WHERE quarter <= DATE '2000-01-01'),
-running AS (
-  SELECT card, quarter, sum(delta) OVER (PARTITION BY card ORDER BY delta DESC, quarter, number
-                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
-  FROM until_cutoff),
 peaks AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY card, quarter ORDER BY balance DESC) AS rn FROM running)
-  WHERE rn = 1),
-quarters AS (
-  SELECT CAST(unnest(generate_series(CAST(min(quarter) AS TIMESTAMP), TIMESTAMP '2000-01-01', INTERVAL 3 MONTH)) AS DATE) AS quarter
-  FROM deltas),
-grid AS (
-  SELECT q.quarter, c.card, c.issuer_name, c.card_type,
-         coalesce(p.balance, last_value(p.balance IGNORE NULLS) OVER (
-           PARTITION BY c.card, c.issuer_name, c.card_type ORDER BY q.quarter
-           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS balance
-  FROM quarters q CROSS JOIN collection c LEFT JOIN peaks p ON p.card = c.card AND p.quarter = q.quarter),
-own AS (SELECT * FROM grid WHERE quarter = DATE '2000-01-01'),
-status AS (
-  SELECT * FROM (SELECT CAST(o_orderkey AS VARCHAR) AS card, o_orderstatus AS status,
-                        row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate, o_orderstatus) AS rn
-                 FROM orders) WHERE rn = 1),
+  SELECT card, quarter, max(balance) AS balance
+  FROM (SELECT card, quarter, sum(delta) OVER (PARTITION BY card ORDER BY delta DESC, quarter, number
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS balance
+        FROM deltas WHERE quarter <= DATE '2000-01-01')
+  GROUP BY card, quarter),
+own AS (
+  SELECT c.card, c.issuer_name, c.card_type, DATE '2000-01-01' AS quarter, p.balance
+  FROM collection c LEFT JOIN (SELECT card, arg_max(balance, quarter) AS balance FROM peaks GROUP BY card) p USING (card)),
+own_cards AS (SELECT card, min(card_type) AS card_type, any_value(balance) AS balance FROM own GROUP BY card),
+status AS (SELECT CAST(o_orderkey AS VARCHAR) AS card, arg_min(o_orderstatus, (o_orderdate, o_orderstatus)) AS status FROM orders GROUP BY 1),
 partner AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS card, 'partner' AS origin FROM orders WHERE o_orderpriority <> '5-LOW'),
 listed AS (
-  SELECT * FROM (
-    SELECT p.card, p.origin, o.balance, o.card_type, s.status,
-           row_number() OVER (PARTITION BY p.card ORDER BY o.card_type, o.issuer_name) AS rn
-    FROM partner p LEFT JOIN own o USING (card) LEFT JOIN status s USING (card)) WHERE rn = 1),
+  SELECT p.card, p.origin, o.balance, o.card_type, s.status
+  FROM (SELECT DISTINCT card, origin FROM partner) p LEFT JOIN own_cards o USING (card) LEFT JOIN status s USING (card)),
 missing AS (
-  SELECT * FROM (
-    SELECT o.card, p.origin, o.balance, o.card_type, s.status,
-           row_number() OVER (PARTITION BY o.card ORDER BY o.card_type, o.issuer_name) AS rn
-    FROM own o LEFT JOIN partner p USING (card) LEFT JOIN status s USING (card)
-    WHERE o.balance > 0 AND p.origin IS NULL) WHERE rn = 1),
+  SELECT o.card, CAST(NULL AS VARCHAR) AS origin, o.balance, o.card_type, s.status
+  FROM own_cards o LEFT JOIN status s USING (card) WHERE o.balance > 0 AND o.card NOT IN (SELECT card FROM partner)),
 divergent AS (
   SELECT * FROM listed WHERE balance <= 0 UNION ALL SELECT * FROM missing)"""
 
@@ -236,14 +187,10 @@ CARD_COLUMNS = """card AS "issuingCardId", origin, CAST(balance AS BIGINT) AS ba
 
 HISTORY = RECONCILED + """,
 histories AS (
-  SELECT * FROM (
-    SELECT v.*,
-           list(CAST(coalesce(CAST(l.happened AS DATE), DATE '1900-01-01') AS VARCHAR)) OVER w AS dates,
-           list(coalesce(l.type, 'NULL')) OVER w AS types,
-           row_number() OVER (PARTITION BY v.card ORDER BY l.happened DESC, l.type DESC) AS last_first
-    FROM divergent v LEFT JOIN card_log l ON v.card = l.card
-    WINDOW w AS (PARTITION BY v.card ORDER BY l.happened, l.type ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
-  WHERE last_first = 1)"""
+  SELECT v.card, v.origin, v.balance, v.card_type, v.status,
+         list(CAST(coalesce(CAST(l.happened AS DATE), DATE '1900-01-01') AS VARCHAR) ORDER BY l.happened, l.type) AS dates,
+         list(coalesce(l.type, 'NULL') ORDER BY l.happened, l.type) AS types
+  FROM divergent v LEFT JOIN card_log l ON v.card = l.card GROUP BY ALL)"""
 
 
 def _history(condition: str) -> str:
@@ -275,7 +222,7 @@ days AS (
   FROM (SELECT CAST(unnest(generate_series(CAST(min(d) AS TIMESTAMP), CAST(max(d) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM holidays) c
   LEFT JOIN holidays h ON c.d = h.d),
 next_days AS (
-  SELECT a.d, min(b.d) AS moved FROM days a JOIN days b ON b.d >= a.d AND b.working GROUP BY ALL),
+  SELECT a.d, b.d AS moved FROM days a ASOF JOIN (SELECT d FROM days WHERE working) b ON a.d <= b.d),
 merchant_purchases AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS purchase, 'e' || o_orderkey AS e2e,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'credit' WHEN '2-HIGH' THEN 'debit'
@@ -448,7 +395,8 @@ SELECT id AS "endToEndId", lid AS "issuingPurchaseLogId", type, CAST(d AS VARCHA
        CAST(cycle AS VARCHAR) AS "cycleDate", internal AS "internalId" FROM attributed""",
     "classify_reversals": f"""WITH {CYCLES}
 SELECT lid AS "issuingPurchaseLogId", id AS "endToEndId", CAST(cycle AS VARCHAR) AS "cycleDate",
-       CAST(d AS VARCHAR) AS "logDate", amount AS "logAmount", before_settlement AS "beforeSettlement" FROM reversals""",
+       CAST(d AS VARCHAR) AS "logDate", amount AS "logAmount", early AS "beforeSettlement"
+FROM attributed WHERE type = 'reversed'""",
     "cycle_amounts": f"""WITH {CYCLES} SELECT * FROM amounts""",
     "cycle_remuneration": f"""WITH {CYCLES}, {INDEX},
 joined AS (
@@ -469,9 +417,11 @@ SELECT id AS "endToEndId", CAST(day AS VARCHAR) AS "cycleDate", CAST(confirmed_o
        remuneration, greatest(remuneration, 0) AS "nonNegativeRemuneration" FROM paid""",
     "issuer_daily_remuneration": f"""WITH {INDEX}, {ISSUER_DAILY},
 joined AS (
-  SELECT g.d, g.issuer, n.n_name, r.by_due AS acc, r.value, r.forecast, c.amount AS confirmed, e.amount AS early, t.amount AS late
-  FROM grid g LEFT JOIN confirmed c USING (d, issuer) LEFT JOIN early e USING (d, issuer) LEFT JOIN late t USING (d, issuer)
-    LEFT JOIN returns r USING (d) JOIN nation n ON g.issuer = CAST(n.n_nationkey AS VARCHAR))
+  SELECT r.d, i.issuer, n.n_name, r.by_due AS acc, r.value, r.forecast, s.confirmed, s.early, s.late
+  FROM returns r CROSS JOIN (SELECT DISTINCT issuer FROM log) i
+    JOIN nation n ON i.issuer = CAST(n.n_nationkey AS VARCHAR)
+    LEFT JOIN sums s ON s.day = r.d AND s.issuer = i.issuer
+  WHERE r.d <= DATE '2024-01-30')
 SELECT CAST(d AS VARCHAR) AS "referenceDate", issuer AS "subIssuerTaxId", n_name AS "subIssuerName",
        round(acc, 6) AS "accumulatedReturn", round(value, 6) AS "indexValue", forecast AS "isForecast",
        CAST(coalesce(confirmed, 0) - coalesce(early, 0) AS BIGINT) AS "baseValue",
@@ -514,18 +464,13 @@ SELECT holder AS "issuingHolderId", issuer AS "subIssuerTaxId", CAST(quarter AS
        CAST(balance AS BIGINT) AS balance FROM balances""",
     "densify_fill": f"""WITH {HOLDERS}
 SELECT holder AS "issuingHolderId", issuer AS "subIssuerTaxId", CAST(quarter AS VARCHAR) AS quarter,
-       CAST(balance AS BIGINT) AS balance FROM full_grid
-WHERE balance IS NOT NULL AND quarter <= DATE '2000-01-01'""",
+       CAST(balance AS BIGINT) AS balance FROM dense WHERE quarter <= DATE '2000-01-01'""",
     "active_holders": f"""WITH {HOLDERS}
 SELECT issuer AS "subIssuerTaxId", CAST(quarter AS VARCHAR) AS quarter, holders FROM active""",
-    "active_holders_report": f"""WITH {HOLDERS},
-report AS (
-  SELECT q.quarter, i.n_nationkey, i.n_name,
-         coalesce(a.holders, last_value(a.holders IGNORE NULLS) OVER (
-           PARTITION BY i.n_nationkey ORDER BY q.quarter ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS holders
-  FROM quarters q CROSS JOIN nation i LEFT JOIN active a ON a.quarter = q.quarter AND a.issuer = CAST(i.n_nationkey AS VARCHAR))
-SELECT CAST(quarter AS VARCHAR) AS quarter, CAST(n_nationkey AS VARCHAR) AS "subIssuerTaxId", n_name AS "subIssuerName", holders
-FROM report WHERE holders IS NOT NULL""",
+    "active_holders_report": f"""WITH {HOLDERS}
+SELECT CAST(g.quarter AS VARCHAR) AS quarter, a.issuer AS "subIssuerTaxId", g.n_name AS "subIssuerName", a.holders
+FROM (SELECT quarter, n_name, CAST(n_nationkey AS VARCHAR) AS issuer FROM quarters CROSS JOIN nation) g
+ASOF JOIN active a ON g.issuer = a.issuer AND g.quarter >= a.quarter""",
     "card_balance_listing": f"""WITH {DELTAS},
 running AS (
   SELECT card, issuer_name, quarter, sum(delta) OVER (
@@ -563,11 +508,9 @@ SELECT v.card AS "issuingCardId", v.origin, CAST(v.balance AS BIGINT) AS balance
 FROM divergent v JOIN collection c ON v.card = c.card WHERE c.issuer_name = 'NATION_3'""",
     "event_history": _history("origin IS NULL"),
     "event_history_partner": _history("balance <= 0 AND origin = 'partner'"),
-    "explode_history": f"""WITH {HISTORY},
-pairs AS (
-  SELECT card, origin, balance, card_type, status, unnest(dates) AS date_, types FROM histories WHERE origin IS NULL),
-events_ AS (SELECT card, origin, balance, card_type, status, date_, unnest(types) AS event FROM pairs)
-SELECT {CARD_COLUMNS}, min(date_) AS "eventDate", event FROM events_ WHERE event = 'canceled' GROUP BY ALL""",
+    "explode_history": f"""WITH {HISTORY}
+SELECT {CARD_COLUMNS}, list_min(dates) AS "eventDate", 'canceled' AS event
+FROM histories WHERE origin IS NULL AND list_contains(types, 'canceled')""",
     "explode_history_zip": f"""WITH {HISTORY}
 SELECT {CARD_COLUMNS}, CAST(min(CAST(happened AS DATE)) AS VARCHAR) AS "eventDate", type AS event
 FROM missing JOIN (SELECT card, happened, type FROM card_log) USING (card)
