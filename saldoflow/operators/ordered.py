@@ -17,15 +17,15 @@ from pyspark.sql.window import Window
 
 
 def running(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
-            last: Mapping[str, Column] | None = None, count: Mapping[str, Column] | None = None,
+            last: Mapping[str, Column] | None = None, total: Mapping[str, Column] | None = None,
             bucket: str = "minute") -> DataFrame:
     """Adds, for each row, values over the rows of its key up to and including it.
 
-    ``last`` names the last non-null value of a column, ``count`` the number of rows on
-    which a condition holds. ``order`` starts with ``ts`` and is unique within a key; NULL
+    ``last`` names the last non-null value of a column, ``total`` the sum of a whole number,
+    NULL counting as 0. ``order`` starts with ``ts`` and is unique within a key; NULL
     keys form a key of their own.
     """
-    last, count = last or {}, count or {}
+    last, total = last or {}, total or {}
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*[f"_part.{k}" for k in keys]).orderBy("_part._bucket").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -35,25 +35,25 @@ def running(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
     rows = df.withColumn("_part", F.struct(*keys, F.date_trunc(bucket, F.col(ts)).alias("_bucket")))
     for name, value in last.items():
         rows = rows.withColumn(f"_in_{name}", value)
-    for name, condition in count.items():
-        rows = rows.withColumn(f"_in_{name}", F.coalesce(condition, F.lit(False)).cast("long"))
+    for name, value in total.items():
+        rows = rows.withColumn(f"_in_{name}", F.coalesce(value, F.lit(0)).cast("long"))
 
     at = F.struct(*order)
     summary = rows.groupBy("_part").agg(
         *[F.max_by(f"_in_{n}", F.when(F.col(f"_in_{n}").isNotNull(), at)).alias(f"_sum_{n}") for n in last],
-        *[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in count],
+        *[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in total],
     ).select(
         "_part",
         *[F.last(f"_sum_{n}", ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in last],
-        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_carry_{n}") for n in count],
+        *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_carry_{n}") for n in total],
     )
     local = rows.select(
         *df.columns, "_part",
         *[F.last(f"_in_{n}", ignorenulls=True).over(within).alias(f"_local_{n}") for n in last],
-        *[F.sum(f"_in_{n}").over(within).alias(f"_local_{n}") for n in count],
+        *[F.sum(f"_in_{n}").over(within).alias(f"_local_{n}") for n in total],
     )
     return local.join(summary, "_part").select(
         *df.columns,
         *[F.coalesce(f"_local_{n}", f"_carry_{n}").alias(n) for n in last],
-        *[(F.col(f"_carry_{n}") + F.col(f"_local_{n}")).alias(n) for n in count],
+        *[(F.col(f"_carry_{n}") + F.col(f"_local_{n}")).alias(n) for n in total],
     )

@@ -79,9 +79,9 @@ def reversal_cycles(log: DataFrame, cycles: DataFrame) -> DataFrame:
     """Reversals with ``cycleDate``: the day of the last confirmation at or before them.
 
     The first confirmation of each day decides which days precede a reversal, so an id
-    needs one entry per day. The
-    entries hold all measures of ``cycles``, needed or not, so that a plan which also uses
-    ``cycles`` itself aggregates the confirmations once and reuses that exchange.
+    needs one entry per day. The entries hold all measures of ``cycles``, needed or not, so
+    that a plan which also uses ``cycles`` itself aggregates the confirmations once and
+    reuses that exchange.
     """
     entry = F.struct("firstConfirmed", "confirmedAmount")
     starts = (
@@ -321,7 +321,7 @@ def previous_event_lookup(log: DataFrame) -> DataFrame:
     other = F.when(~reversed_(), F.struct("issuingPurchaseLogId", "type", "logDate"))
     looked_up = running(
         ranked, ["endToEndId"], "logTime", ["logTime", "_rank", "issuingPurchaseLogId"],
-        last={"_previous": other}, count={"rowNumber": reversed_()},
+        last={"_previous": other}, total={"rowNumber": reversed_().cast("long")},
     )
     return looked_up.filter(reversed_()).select(
         "endToEndId",

@@ -128,16 +128,33 @@ def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str =
     missing_date, missing_type = F.lit(dt.date(1900, 1, 1)), F.lit("NULL")
     events = log.select("issuingCardId", F.col("logCreated").cast("timestamp_ntz").alias("_at"), F.col("type").alias("_type"))
     # The card's columns travel with the events: pages joined to cards afterwards would
-    # bring all pages of a card into one task.
-    events = join_splittable(events, wanted, ["issuingCardId"], "inner")
-    numbered = running(events, ["issuingCardId"], "_at", ["_at", "_type"], count={"_n": F.lit(True)})
-    entry = F.struct("_n", F.coalesce(F.to_date("_at"), missing_date).alias("d"),
-                     F.coalesce("_type", missing_type).alias("t"))
+    # bring all pages of a card into one task. Equal events become one row with their
+    # number, so copies of an event cannot make a group large either.
+    counted = (
+        join_splittable(events, wanted, ["issuingCardId"], "inner")
+        .groupBy(*card, "_at", "_type").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    placed = running(counted, ["issuingCardId"], "_at", ["_at", "_type"], total={"_end": F.col("_n")}).withColumn(
+        "_start", F.col("_end") - F.col("_n"))
+    first_page = F.floor(F.col("_start") / page_size)
+    last_page = F.floor((F.col("_end") - 1) / page_size)
+    on_page = F.least(F.col("_end"), (F.col("page") + 1) * page_size) - F.greatest(
+        F.col("_start"), F.col("page") * page_size)
+    entry = F.struct(
+        "_start",
+        F.coalesce(F.to_date("_at"), missing_date).alias("d"),
+        F.coalesce("_type", missing_type).alias("t"),
+        on_page.cast("int").alias("n"),
+    )
+
+    def repeated(field: str) -> Column:
+        return F.flatten(F.transform("_entries", lambda e: F.array_repeat(e[field], e["n"])))
+
     pages = (
-        numbered.withColumn("page", F.floor((F.col("_n") - 1) / page_size))
+        placed.withColumn("page", F.explode(F.sequence(first_page, last_page)))
         .groupBy(*card, "page")
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(*card, "page", F.col("_entries.d").alias("eventDates"), F.col("_entries.t").alias("events"))
+        .select(*card, "page", repeated("d").alias("eventDates"), repeated("t").alias("events"))
     )
     without_log = wanted.join(log.select("issuingCardId").distinct(), "issuingCardId", "left_anti").select(
         *card, F.lit(0).cast("long").alias("page"), F.array(missing_date).alias("eventDates"),

@@ -79,6 +79,15 @@ def test_long_history_goes_on_in_pages(divergent, log):
         assert reconcile.explode_history(paged, pairing).collect() == reconcile.explode_history(whole, pairing).collect()
 
 
+def test_copies_of_an_event_are_spread_over_pages(spark, divergent):
+    rows = [("own", T(2024, 1, 2), "created")] * 5 + [("own", T(2024, 1, 1), "created"), ("own", T(2024, 1, 2), "unblocked")]
+    log = spark.createDataFrame(rows, "issuingCardId string, logCreated timestamp_ntz, type string")
+    pages = {r["page"]: (r["eventDates"], r["events"]) for r in reconcile.event_history(divergent, log, "own", page_size=3).collect()
+             if r["issuingCardId"] == "own"}
+    one, two = D(2024, 1, 1), D(2024, 1, 2)
+    assert pages == {0: ([one, two, two], ["created"] * 3), 1: ([two] * 3, ["created"] * 3), 2: ([two], ["unblocked"])}
+
+
 def test_pairing_of_dates_and_events(divergent, log):
     history = reconcile.event_history(divergent, log, "own")
     date = lambda pairing: [r["eventDate"] for r in reconcile.explode_history(history, pairing).collect()]
@@ -92,7 +101,7 @@ def test_running_equals_a_plain_window(spark):
     rows = [(rnd.choice(["hot", "hot", None, "a", "b"]), T(2024, 1, 1) + dt.timedelta(seconds=rnd.randrange(7200)), i,
              rnd.choice([None, i])) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz, i int, v int")
-    got = running(df, ["k"], "t", ["t", "i"], last={"lastValue": F.col("v")}, count={"n": F.col("v").isNotNull()})
+    got = running(df, ["k"], "t", ["t", "i"], last={"lastValue": F.col("v")}, total={"n": F.col("v").isNotNull().cast("long")})
     w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("lastValue", F.last("v", True).over(w)).withColumn("n", F.count("v").over(w))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
