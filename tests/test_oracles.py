@@ -5,7 +5,9 @@ import os
 import pytest
 
 import oracle
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from saldoflow.plans.oracles import ORACLES
+from saldoflow.plans.queries import registered
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,7 +18,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registered()) == set(ORACLES)
 
 
 def test_entry_is_the_flagship(spark):
@@ -24,6 +26,6 @@ def test_entry_is_the_flagship(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registered()))
 def test_query(spark, con, name):
-    assert oracle.difference(queries()[name](spark, SF_DIR), con, oracle_sql()[name]) is None
+    assert oracle.difference(registered()[name](spark, SF_DIR), con, ORACLES[name]) is None
