@@ -27,9 +27,9 @@ FROM q
 
 LINE_RULES = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
-         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
-  FROM documents
+  SELECT row_number() OVER () AS r, d.doc_id, d.source, coalesce(d.text, '') AS t,
+         regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents d
 ), windows AS (
   SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
   FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
@@ -88,9 +88,9 @@ WITH sizes AS (
     FROM (SELECT *, unnest(range(0, (mean + 12 * sqrt(mean) + 40)::INT + 1)) AS k FROM means)
   ) GROUP BY source, pieces
 ), drawn AS (
-  SELECT d.*, list_sum(list_transform(range(1, pieces + 1), lambda p: len(list_filter(cdf, lambda c:
-    c <= (('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || p), 1, 13))::BIGINT + 0.5) / 4503599627370496.0))))::INT AS n_copies
-  FROM documents d JOIN cdfs c ON d.source IS NOT DISTINCT FROM c.source
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, list_sum(list_transform(range(1, r.pieces + 1), lambda p: len(list_filter(r.cdf, lambda c:
+    c <= (('0x' || substr(md5('{seed}:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || p), 1, 13))::BIGINT + 0.5) / 4503599627370496.0))))::INT AS n_copies
+  FROM documents d JOIN cdfs r ON d.source IS NOT DISTINCT FROM r.source
 )
 SELECT *, ('0x' || substr(md5('{seed}:order:' || coalesce(doc_id::VARCHAR, 'null') || ':' || "copy"), 1, 13))::BIGINT AS shuffle_key
 FROM (SELECT *, unnest(range(1, n_copies + 1))::INT AS "copy" FROM drawn)

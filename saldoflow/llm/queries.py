@@ -27,6 +27,7 @@ from saldoflow.sources.storage import new_folder
 #: Sources by name that the mix wants more or less of; all others have weight 1.
 MIX_WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 2.0, "src3": 0.5}
 MIX_SEED = 17
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -51,7 +52,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir), MIX_WEIGHTS, seed=MIX_SEED)
-    return mixed.select("doc.*", "n_copies", F.col("copy").cast("int"), "shuffle_key")
+    return mixed.select(*[f"doc.{c}" for c in DOCUMENT_COLUMNS], "n_copies", "copy", "shuffle_key")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
