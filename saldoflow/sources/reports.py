@@ -1,13 +1,19 @@
-"""Settlement reports: ZIP archives of CSV (or XLSX) members to typed tables."""
+"""Settlement reports: ZIP archives of CSV members to typed tables.
+
+Nothing is lost in silence: an archive, a member or a value that can't be read is reported.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
 import io
-import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -18,92 +24,164 @@ from pyspark.sql import types as T
 
 from ..functions.text import column_name, decimal_point
 from .schemas import SKIPPED_KINDS, report_kind
-from .storage import land_csv, publish
+from .storage import land_csv, publish, stored, temporary
 
-ROWS_SCHEMA = "archive string, member string, kind string, line bigint, values map<string,string>, problem string"
+PIECES_SCHEMA = ("archive string, entry int, member string, kind string, piece int, data binary, method int, "
+                 "crc bigint, problem string")
+ROWS_SCHEMA = ("archive string, entry int, member string, kind string, line bigint, values map<string,string>, "
+               "problem string")
 CHUNK_ROWS = 20_000
-KEPT_BYTES = 64 * 1024 * 1024
+PIECE_BYTES = 4 * 1024 * 1024
 
 # Day-first patterns accepted in date columns, and ISO dates.
-DATE_PATTERNS = ("d/M/yyyy", "d/M/yyyy H:mm:ss", "d-M-yyyy", "yyyy-M-d", "yyyy-M-d H:mm:ss")
+DATE_PATTERNS = (
+    "d/M/yyyy", "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d-M-yyyy", "d-M-yyyy H:mm:ss", "d-M-yyyy H:mm", "d.M.yyyy",
+    "yyyy-M-d", "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d'T'H:mm:ss", "yyyy/M/d",
+)
+# The same with years of two digits, of which 69 to 99 lie in the last century.
+SHORT_DATE_PATTERNS = ("d/M/yy", "d/M/yy H:mm:ss", "d/M/yy H:mm", "d-M-yy", "d.M.yy")
+LAST_SHORT_YEAR = 2068
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The ZIP files of a folder as (path, content); a ZIP file is the unit of parallelism."""
+    """The ZIP files of a folder as (path, content).
+
+    Spark reads a file whole here, up to ``spark.sql.sources.binaryFile.maxLength`` (2 GB).
+    """
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
 
 
-def _frames(data: zipfile.ZipFile, name: str) -> Iterator[pd.DataFrame]:
-    """Chunks of a member as text columns."""
-    with data.open(name) as stream:
-        if name.endswith(".csv"):
-            yield from pd.read_csv(stream, dtype=str, encoding="utf-8", sep=";", chunksize=CHUNK_ROWS)
-        else:
-            yield pd.read_excel(stream, dtype=str)
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compressed pieces of the members of each archive; what can't be read has a problem instead."""
+    names = ["archive", "entry", "member", "kind", "piece", "data", "method", "crc", "problem"]
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.string()]
 
+    def row(*values: object) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
 
-def _batch(archive: str, member: str, kind: str, first: int, frame: pd.DataFrame | None,
-           problem: str | None) -> pa.RecordBatch:
+    for batch in batches:
+        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            archive, content = path.as_py(), content.as_py()
+            try:
+                infos = zipfile.ZipFile(io.BytesIO(content)).infolist()
+            except Exception as e:  # the other archives go on
+                yield row(archive, None, None, None, 0, None, None, None, f"{type(e).__name__}: {e}")
+                continue
+            for entry, info in enumerate(infos):
+                member = info.filename.rsplit("/", 1)[-1]
+                prefix, dash, _ = member.partition("-")
+                if not dash or not prefix or not member.endswith((".csv", ".xlsx")):
+                    continue
+                known = (archive, entry, member, prefix.lower())
+                name_size, extra_size = struct.unpack_from("<HH", content, info.header_offset + 26)
+                start = info.header_offset + 30 + name_size + extra_size
+                problem = (
+                    "workbooks are not read" if member.endswith(".xlsx") else
+                    "encrypted" if info.flag_bits & 1 else
+                    None if info.compress_type in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED) else
+                    f"compression method {info.compress_type}")
+                if problem:
+                    yield row(*known, 0, None, None, None, problem)
+                    continue
+                for piece, at in enumerate(range(0, max(info.compress_size, 1), PIECE_BYTES)):
+                    data = content[start + at:start + min(at + PIECE_BYTES, info.compress_size)]
+                    yield row(*known, piece, data, info.compress_type, info.CRC, None)
+
+
+class _Member(io.RawIOBase):
+    """A member's bytes, inflated piece by piece and checked at the end."""
+
+    def __init__(self, pieces: Iterator[dict], first: dict):
+        self.pieces, self.next, self.crc, self.sum, self.rest = pieces, first, first["crc"], 0, b""
+        self.inflate = zlib.decompressobj(-15) if first["method"] == zipfile.ZIP_DEFLATED else None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer: memoryview) -> int:
+        while not self.rest and self.next is not None:
+            data = self.next["data"]
+            self.rest = self.inflate.decompress(data) if self.inflate else data
+            self.next = next(self.pieces, None)
+            if self.next is None and self.inflate:
+                self.rest += self.inflate.flush()
+        size = min(len(buffer), len(self.rest))
+        buffer[:size], self.rest = self.rest[:size], self.rest[size:]
+        self.sum = zlib.crc32(buffer[:size], self.sum)
+        if not size and self.sum != self.crc:
+            raise zipfile.BadZipFile("bad checksum")
+        return size
+
+
+def _batch(first: dict, line: int, frame: pd.DataFrame | None, problem: str | None) -> pa.RecordBatch:
     """Rows of a chunk; the cells become one map per row, built column-wise."""
     if frame is None:
         n, lines, maps = 1, [None], pa.array([None], pa.map_(pa.string(), pa.string()))
     else:
         n, width = frame.shape
-        names = [column_name(c) for c in frame.columns]
         cells = pa.array(frame.to_numpy(dtype=object).ravel(), pa.string(), from_pandas=True)
-        keys = pa.array(np.tile(np.array(names, dtype=object), n), pa.string())
+        keys = pa.array(np.tile(np.array(frame.columns, dtype=object), n), pa.string())
         maps = pa.MapArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), keys, cells)
-        lines = range(first, first + n)
+        lines = range(line, line + n)
     return pa.RecordBatch.from_arrays(
-        [pa.array([v] * n, pa.string()) for v in (archive, member, kind)]
-        + [pa.array(lines, pa.int64()), maps, pa.array([problem] * n, pa.string())],
-        names=["archive", "member", "kind", "line", "values", "problem"],
+        [pa.array([first["archive"]] * n, pa.string()), pa.array([first["entry"]] * n, pa.int32()),
+         pa.array([first["member"]] * n, pa.string()), pa.array([first["kind"]] * n, pa.string()),
+         pa.array(lines, pa.int64()), maps, pa.array([problem] * n, pa.string())],
+        names=["archive", "entry", "member", "kind", "line", "values", "problem"],
     )
 
 
-def _member_rows(archive: str, data: zipfile.ZipFile, info: zipfile.ZipInfo) -> Iterator[pa.RecordBatch]:
-    """Rows of a member. It counts as a whole or not at all, so it is read to its end before
-    any row goes out: a small one is kept meanwhile, a large one is read twice."""
-    member = info.filename.rsplit("/", 1)[-1]
-    prefix = re.match(r"([^\-]+)-", member)
-    if prefix is None or not member.endswith((".csv", ".xlsx")):
-        return
-    kind = prefix.group(1)
-
-    def batches() -> Iterator[pa.RecordBatch]:
-        first = 1
-        for frame in _frames(data, info.filename):
-            if len(frame):
-                yield _batch(archive, member, kind, first, frame, None)
-            first += len(frame)
-
-    try:
-        if info.file_size <= KEPT_BYTES:
-            yield from list(batches())
-        else:
-            for _ in batches():
-                pass
-            yield from batches()
-    except Exception as e:  # an unreadable file is reported, the others go on
-        yield _batch(archive, member, kind, 0, None, f"{type(e).__name__}: {e}")
-
-
-def _read_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            with zipfile.ZipFile(io.BytesIO(content.as_py())) as data:
-                for info in data.infolist():
-                    yield from _member_rows(path.as_py(), data, info)
+def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of each member, in one pass; a problem row ends a member that can't be read to its end."""
+    pieces = (row for batch in batches for row in batch.to_pylist())
+    for _, rows in groupby(pieces, key=lambda r: (r["archive"], r["entry"])):
+        first = next(rows)
+        if first["problem"]:
+            yield _batch(first, 0, None, first["problem"])
+            continue
+        line = 1
+        try:
+            text = io.TextIOWrapper(io.BufferedReader(_Member(rows, first)), encoding="utf-8", newline="")
+            for frame in pd.read_csv(text, dtype=str, sep=";", chunksize=CHUNK_ROWS):
+                frame = normalise_columns(frame)
+                if len(frame):
+                    yield _batch(first, line, frame, None)
+                line += len(frame)
+        except Exception as e:  # the other members go on
+            yield _batch(first, 0, None, f"{type(e).__name__}: {e}")
+
+
+def normalise_columns(frame: pd.DataFrame) -> pd.DataFrame:
+    """Headings as column names; two headings with one name are an error of the file."""
+    names = [column_name(str(c)) for c in frame.columns]
+    alike = sorted({n for n in names if names.count(n) > 1})
+    if alike:
+        raise ValueError(f"several headings become {', '.join(alike)}")
+    return frame.set_axis(names, axis="columns")
 
 
 def report_rows(archives: DataFrame) -> DataFrame:
     """One row per line of every member, cells as a map from normalised column name to text.
 
-    ``kind`` is the file name up to the first "-"; members without one, or neither CSV nor
-    XLSX, are left out. A member that cannot be read gives one row with ``problem`` (XLSX
-    needs the openpyxl package).
+    ``kind`` is the file name up to the first "-", in lower case; members without one, or neither CSV
+    nor XLSX, are left out. An archive or member that cannot be read gives a row with ``problem``;
+    ``whole_lines`` drops the lines that came before it. The compressed members are dealt out before
+    they are read, so the members of an archive are read by many tasks, each in one pass.
     """
-    return archives.select("path", "content").mapInArrow(_read_archives, ROWS_SCHEMA)
+    pieces = archives.select("path", "content").mapInArrow(_pieces, PIECES_SCHEMA)
+    dealt = pieces.repartition("archive", "entry").sortWithinPartitions("archive", "entry", "piece")
+    return dealt.mapInArrow(_lines, ROWS_SCHEMA)
+
+
+def report_problems(rows: DataFrame) -> DataFrame:
+    """Archives and members that could not be read, and why."""
+    return rows.filter(F.col("problem").isNotNull()).select("archive", "member", "kind", "problem")
+
+
+def whole_lines(rows: DataFrame) -> DataFrame:
+    """Lines of the members that could be read to their end: a member counts as a whole or not at all."""
+    failed = rows.filter(F.col("problem").isNotNull() & F.col("entry").isNotNull()).select("archive", "entry")
+    return rows.filter(F.col("line").isNotNull()).join(failed, ["archive", "entry"], "left_anti")
 
 
 def report_columns(rows: DataFrame, kind: str) -> list[str]:
@@ -113,7 +191,7 @@ def report_columns(rows: DataFrame, kind: str) -> list[str]:
     Every line of a member has the same names, so the first lines suffice; what reaches
     the driver are distinct header lines.
     """
-    first_lines = rows.filter((F.col("kind") == kind) & (F.col("line") == 1))
+    first_lines = whole_lines(rows).filter((F.col("kind") == kind) & (F.col("line") == 1))
     headers = [r["header"] for r in first_lines.select(F.map_keys("values").alias("header")).distinct().collect()]
     if len(headers) == 1:
         return list(headers[0])
@@ -123,12 +201,7 @@ def report_columns(rows: DataFrame, kind: str) -> list[str]:
 def report_table(rows: DataFrame, kind: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All lines of a kind as text columns; a column missing from a file is NULL there."""
     columns = report_columns(rows, kind) if columns is None else columns
-    lines = rows.filter((F.col("kind") == kind) & F.col("problem").isNull())
-    return lines.select(*[F.col("values")[c].alias(c) for c in columns])
-
-
-def normalise_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[column_name(c) for c in df.columns])
+    return whole_lines(rows).filter(F.col("kind") == kind).select(*[F.col("values")[c].alias(c) for c in columns])
 
 
 def normalise_decimals(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -151,7 +224,9 @@ def outer_union(frames: Sequence[DataFrame]) -> DataFrame:
 
 def parse_day_first(text: Column) -> Column:
     """Date of a day-first (or ISO) text, NULL if it is none."""
-    return F.coalesce(*[F.try_to_date(text, p) for p in DATE_PATTERNS])
+    short = F.coalesce(*[F.try_to_date(text, p) for p in SHORT_DATE_PATTERNS])
+    century = F.when(F.year(short) > LAST_SHORT_YEAR, F.add_months(short, -1200)).otherwise(short)
+    return F.coalesce(*[F.try_to_date(text, p) for p in DATE_PATTERNS], century)
 
 
 def typed_dates(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -174,6 +249,17 @@ def stamp(df: DataFrame, run_date: dt.date) -> DataFrame:
     return df.select(F.lit(run_date).alias("updated_on"), *[c for c in df.columns if c != "updated_on"])
 
 
+def lost_values(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """``column`` and ``lost``: texts that ``apply_schema`` turns into NULL, for each column it types."""
+    typed = [f.name for f in schema if f.name in texts.columns and not isinstance(f.dataType, T.StringType)]
+    if not typed:
+        return texts.sparkSession.createDataFrame([], "column string, lost bigint")
+    both = apply_schema(texts.withColumns({f"_text_{c}": F.col(c) for c in typed}), schema)
+    counts = both.agg(*[F.count_if(F.col(f"_text_{c}").isNotNull() & F.col(c).isNull()).alias(c) for c in typed])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("lost")) for c in typed])
+    return counts.select(F.inline(pairs))
+
+
 def clean_report(rows: DataFrame, kind: str, run_date: dt.date, columns: Sequence[str] | None = None) -> DataFrame:
     """One report kind from lines to typed, stamped rows; an unknown kind stays text."""
     known = report_kind(kind)
@@ -181,24 +267,41 @@ def clean_report(rows: DataFrame, kind: str, run_date: dt.date, columns: Sequenc
     return stamp(apply_schema(table, known.schema) if known else table, run_date)
 
 
-def land_reports(archives: DataFrame, out: str, run_date: dt.date, fmt: str = "parquet") -> dict[str, str]:
+class Landing(NamedTuple):
+    """What ``land_reports`` wrote, read back with ``storage.read_table``."""
+
+    paths: dict[str, str]  # by kind
+    problems: str  # archive, member, kind, problem
+    lost_values: str  # kind, column, lost
+
+
+def land_reports(archives: DataFrame, out: str, run_date: dt.date, fmt: str = "parquet", strict: bool = False) -> Landing:
     """Write every kind of the archives below ``out``, replacing what is there.
 
-    Registered kinds are partitioned by their business date when written as parquet.
-    Returns the folder per kind. The loop is over kinds, a handful of file prefixes.
+    A registered kind goes to a folder with its table's name, partitioned by its business date
+    when written as parquet; any other kind to one with its own. Members that can't be read and
+    values that no type takes are written beside them; ``strict`` makes such a member an error
+    before anything is replaced. The loop is over kinds, a handful of file prefixes.
     """
     spark = archives.sparkSession
-    lines = f"{out}/_lines"
-    publish(report_rows(archives), lines, "kind")  # archives are opened once, not once per kind
-    rows = spark.read.schema(ROWS_SCHEMA).parquet(lines)
-    kinds = [r["kind"] for r in rows.filter("line = 1").select("kind").distinct().collect()]
-    written = {}
-    for kind in sorted(set(kinds) - set(SKIPPED_KINDS)):
-        df, path = clean_report(rows, kind, run_date), f"{out}/{kind}"
-        known = report_kind(kind)
-        if fmt == "csv":
-            land_csv(df, path)
-        else:
-            publish(df, path, known.partition_by if known and known.partition_by in df.columns else None)
-        written[kind] = path
-    return written
+    with temporary(spark):
+        rows = stored(report_rows(archives))  # archives are opened once, not once per kind
+        publish(report_problems(rows), f"{out}/problems")
+        if strict and not rows.filter("problem IS NOT NULL").isEmpty():
+            raise ValueError(f"some members can't be read, see {out}/problems")
+        kinds = [r["kind"] for r in whole_lines(rows).filter("line = 1").select("kind").distinct().collect()]
+        written, lost = {}, spark.createDataFrame([], "kind string, column string, lost bigint")
+        for kind in sorted(set(kinds) - set(SKIPPED_KINDS)):
+            known, columns = report_kind(kind), report_columns(rows, kind)
+            df, path = clean_report(rows, kind, run_date, columns), f"{out}/{known.table if known else kind}"
+            if known:
+                texts = normalise_decimals(report_table(rows, kind, columns))
+                lost = lost.unionByName(lost_values(texts, known.schema).filter("lost > 0").select(
+                    F.lit(kind).alias("kind"), "column", "lost"))
+            if fmt == "csv":
+                land_csv(df, path)
+            else:
+                publish(df, path, known.partition_by if known and known.partition_by in df.columns else None)
+            written[kind] = path
+        publish(lost, f"{out}/lost_values")
+    return Landing(written, f"{out}/problems", f"{out}/lost_values")

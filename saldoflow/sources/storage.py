@@ -1,25 +1,47 @@
-"""Stored results: intermediate, replaced and partitioned tables."""
+"""Stored results: intermediate, replaced and partitioned tables.
+
+Everything is written and removed by Spark itself, so a path may lie in any store Spark reaches.
+"""
 
 from __future__ import annotations
 
+import atexit
+import json
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+VERSIONS = "sequence long, folder string, format string, schema string"
+CSV_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8"}
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors reach, as named by ``spark.checkpoint.dir``.
+_stored: list[tuple[str, T.StructType]] = []
 
-    Where the session names none, a temporary folder serves in local mode only.
-    """
+
+@cache
+def _local_dir() -> str:
+    """Folder of a session in local mode that names none, as in a test; it goes with the process."""
+    folder = tempfile.mkdtemp(prefix="saldoflow-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder that all executors reach, as named by ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="saldoflow-")
+    return _local_dir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -31,44 +53,101 @@ def stored(df: DataFrame) -> DataFrame:
     """The result computed once, as a table in the shared folder, for all later uses.
 
     It survives lost executors, cuts the lineage and, unlike a checkpoint, has a known size
-    and columns that are read only if needed.
+    and columns that are read only if needed. ``temporary`` removes it.
     """
     spark = df.sparkSession
     path = new_folder(spark, "stored")
     df.write.parquet(path)
+    _stored.append((path, df.schema))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _replace_folder(spark: SparkSession, staging: str, target: str) -> None:
-    fs_api = spark._jvm.org.apache.hadoop.fs
-    old, new = fs_api.Path(target), fs_api.Path(staging)
-    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {staging} to {target}; the data is complete in {staging}")
+def _emptied(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Removes the files of a folder by overwriting it with no rows."""
+    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes what was ``stored`` inside; for jobs that have published their result by then."""
+    before = len(_stored)
+    try:
+        yield
+    finally:
+        for path, schema in _stored[before:]:
+            _emptied(spark, path, schema)
+        del _stored[before:]
+
+
+def _versions(spark: SparkSession, path: str) -> list[Row]:
+    """Versions of a published table, the current one last; of two of one number the larger name."""
+    try:
+        rows = spark.read.schema(VERSIONS).json(f"{path}/versions/*").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(rows, key=lambda r: (r.sequence, r.folder))
+
+
+def _schema(version: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(version.schema))
+
+
+def _switch(spark: SparkSession, path: str, row: tuple) -> None:
+    """Makes a complete version the current one: one small file, which appears as a whole."""
+    spark.createDataFrame([row], VERSIONS).coalesce(1).write.json(f"{path}/versions/{row[1]}")
+
+
+def _publish(df: DataFrame, path: str, fmt: str, write: Callable[[str], None]) -> None:
+    spark, path = df.sparkSession, path.rstrip("/")
+    folder = f"version-{uuid.uuid4().hex}"
+    write(f"{path}/{folder}")
+    before = _versions(spark, path)
+    number = before[-1].sequence + 1 if before else 0
+    _switch(spark, path, (number, folder, fmt, df.schema.json()))
+    # The version before stays for those who still read it.
+    for old in before:
+        if old.sequence == number - 2:
+            _emptied(spark, f"{path}/{old.folder}", _schema(old))
 
 
 def publish(df: DataFrame, path: str, by: str | None = None) -> None:
-    """Replace the table at ``path``, optionally partitioned by a date column.
+    """Replace the table at ``path``, optionally partitioned by a date column; ``read_table`` reads it.
 
-    The rows are written beside the table first, so ``df`` may read the table it replaces
-    and a failed write leaves the old one. Rebalancing by the date gives few files per
-    date, and adaptive execution still splits a date that is too large for one task.
+    The rows go to a folder of their own below ``path``, which becomes the current version only
+    when it is complete: ``df`` may read the table it replaces, a run that fails at any point
+    leaves the old table, and of two runs at once one wins as a whole. Rebalancing by the date gives
+    few files per date, and adaptive execution still splits a date too large for one task.
     """
-    spark = df.sparkSession
-    staging = path.rstrip("/") + "__staging"
-    if by is None:
-        df.write.mode("overwrite").parquet(staging)
-    else:
-        df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).parquet(staging)
-    _replace_folder(spark, staging, path)
+    def write(target: str) -> None:
+        if by is None:
+            df.write.parquet(target)
+        else:
+            df.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(target)
+
+    _publish(df, path, "parquet", write)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published table; its columns as they were published."""
+    versions = _versions(spark, path.rstrip("/"))
+    if not versions:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    current = versions[-1]
+    schema = _schema(current)
+    folder = f"{path.rstrip('/')}/{current.folder}"
+    if current.format == "csv":
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+        return spark.read.schema(texts).options(**CSV_OPTIONS).csv(folder)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def repartition_table(spark: SparkSession, path: str, by: str) -> None:
     """Rewrite the table at ``path`` partitioned by ``by``, a date column."""
-    publish(spark.read.parquet(path), path, by)
+    publish(read_table(spark, path), path, by)
 
 
 def land_csv(df: DataFrame, path: str) -> None:
-    """Replace a report with ``;`` separated UTF-8 text with a header per file."""
-    df.write.mode("overwrite").option("sep", ";").option("header", True).option("encoding", "UTF-8").csv(path)
+    """Replace a report with ``;`` separated UTF-8 text with a header per file, as ``publish`` does."""
+    _publish(df, path, "csv", lambda target: df.write.options(**CSV_OPTIONS).csv(target))

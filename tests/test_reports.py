@@ -1,5 +1,6 @@
 import datetime as dt
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +42,35 @@ def test_rows_and_problems(spark, folder):
     assert {r["member"] for r in rows if r["problem"]} == {"recebidos-3.csv", "recebidos-4.csv", "planilha-1.xlsx"}
 
 
+def test_a_member_counts_as_a_whole_or_not_at_all(spark, tmp_path):
+    lines = "a;b\n" + "1;2\n" * 3 * reports.CHUNK_ROWS
+    with zipfile.ZipFile(tmp_path / "bad.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("outros-1.csv", lines.encode() + b"\xff;1\n")
+        z.writestr("outros-2.csv", "Código/A;Codigo-A\n1;2\n")
+        z.writestr("outros-3.csv", lines)
+        z.writestr("deep/outros-3.csv", "a;b\n5;6\n")
+    (tmp_path / "broken.zip").write_bytes(b"no archive")
+    content = (tmp_path / "bad.zip").read_bytes()
+    (tmp_path / "cut.zip").write_bytes(content[:100] + bytes([content[100] ^ 1]) + content[101:])
+    rows = reports.report_rows(reports.read_archives(spark, str(tmp_path)))
+    problems = {(r["archive"].rsplit("/", 1)[-1], r["member"]) for r in reports.report_problems(rows).collect()}
+    assert {("bad.zip", "outros-1.csv"), ("bad.zip", "outros-2.csv"), ("broken.zip", None), ("cut.zip", "outros-1.csv")} <= problems
+    whole = reports.whole_lines(rows).filter("archive like '%bad.zip'").groupBy("entry").count().collect()
+    assert {r["entry"]: r["count"] for r in whole} == {2: 3 * reports.CHUNK_ROWS, 3: 1}
+
+
+def test_members_of_an_archive_are_read_by_many_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "many.zip", "w") as z:
+        for i in range(64):
+            z.writestr(f"outros-{i}.csv", "a;b\n1;2\n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = reports.report_rows(reports.read_archives(spark, str(tmp_path)))
+        assert rows.select(F.spark_partition_id()).distinct().count() > 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_clean_report(spark, folder):
     rows = reports.report_rows(reports.read_archives(spark, folder))
     df = reports.clean_report(rows, "recebidos", RUN)
@@ -61,12 +91,18 @@ def test_columns_keep_file_order_if_all_files_agree(spark, folder):
 def test_land_reports(spark, folder, tmp_path):
     out = str(tmp_path / "out")
     written = reports.land_reports(reports.read_archives(spark, folder), out, RUN)
-    assert set(written) == {"recebidos", "outros"}
-    assert spark.read.parquet(written["recebidos"]).count() == 3
-    assert spark.read.parquet(written["outros"]).select("Taxa_percent").collect()[0][0] == "15"  # every point goes
+    assert set(written.paths) == {"recebidos", "outros"} and written.paths["recebidos"].endswith("/Recebidos")
+    read = lambda path: storage.read_table(spark, path)
+    assert read(written.paths["recebidos"]).count() == 3
+    assert read(written.paths["outros"]).select("Taxa_percent").collect()[0][0] == "15"  # every point goes
+    problems = {r["member"]: r["problem"] for r in read(written.problems).collect()}
+    assert set(problems) == {"recebidos-3.csv", "recebidos-4.csv", "planilha-1.xlsx"}
+    assert [tuple(r) for r in read(written.lost_values).collect()] == [("recebidos", "data", 1)]
     csv = reports.land_reports(reports.read_archives(spark, folder), str(tmp_path / "csv"), RUN, fmt="csv")
-    back = spark.read.option("sep", ";").option("header", True).csv(csv["recebidos"])
+    back = read(csv.paths["recebidos"])
     assert back.columns[0] == "updated_on" and back.count() == 3
+    with pytest.raises(ValueError, match="can't be read"):
+        reports.land_reports(reports.read_archives(spark, folder), out, RUN, strict=True)
 
 
 def test_decimals_change_every_text_unless_told(spark):
@@ -77,7 +113,8 @@ def test_decimals_change_every_text_unless_told(spark):
 
 @pytest.mark.parametrize("text,date", [
     ("05/02/2024", D(2024, 2, 5)), ("5/2/2024", D(2024, 2, 5)), ("31/12/2024 10:30:00", D(2024, 12, 31)),
-    ("2024-12-31", D(2024, 12, 31)), ("31/02/2024", None), ("xx", None), ("", None), (None, None),
+    ("2024-12-31", D(2024, 12, 31)), ("01/02/24", D(2024, 2, 1)), ("1/2/99 10:30", D(1999, 2, 1)),
+    ("01/02/2024 10:30", D(2024, 2, 1)), ("1.2.2024", D(2024, 2, 1)), ("2024-02-01T10:30:00", D(2024, 2, 1)), ("31/02/2024", None), ("xx", None), ("", None), (None, None),
 ])
 def test_day_first(spark, text, date):
     df = spark.createDataFrame([(text,)], "t string").select(reports.parse_day_first(F.col("t")))
@@ -107,10 +144,43 @@ def test_publish_replaces_the_table_it_reads(spark, tmp_path):
     path = str(tmp_path / "table")
     rows = spark.createDataFrame([(D(2024, 1, 1), 1), (D(2024, 1, 2), 2), (None, 3)], "d date, v int")
     storage.publish(rows, path, "d")
-    storage.publish(spark.read.parquet(path).withColumn("v", F.col("v") * 10), path)
-    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [10, 20, 30]
+    storage.publish(storage.read_table(spark, path).withColumn("v", F.col("v") * 10), path)
+    assert sorted(r["v"] for r in storage.read_table(spark, path).collect()) == [10, 20, 30]
     storage.repartition_table(spark, path, "d")
-    back = spark.read.parquet(path)
+    back = storage.read_table(spark, path)
     assert back.filter("d = date'2024-01-02'").collect()[0]["v"] == 20
     assert back.filter("d is null").count() == 1
-    assert (tmp_path / "table" / "d=2024-01-01").is_dir() and not (tmp_path / "table__staging").exists()
+    assert len(list((tmp_path / "table").glob("version-*/d=2024-01-01"))) == 1  # the first version is emptied by now
+    storage.publish(back.withColumn("v", F.lit(1)), path)
+    storage.publish(storage.read_table(spark, path).limit(0), path, "d")
+    assert storage.read_table(spark, path).count() == 0 and set(storage.read_table(spark, path).columns) == {"d", "v"}
+    assert len(list((tmp_path / "table").glob("version-*/d=2024-01-01"))) == 0  # all but the last two are
+
+
+def test_a_failed_replace_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    storage.publish(spark.range(3), path)
+    with pytest.raises(Exception, match="no luck"):
+        storage.publish(spark.range(9).select(F.raise_error(F.lit("no luck")).cast("long").alias("id")), path)
+    assert storage.read_table(spark, path).count() == 3
+    monkeypatch.setattr(storage, "_switch", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        storage.publish(spark.range(5), path)
+    with pytest.raises(ZeroDivisionError):
+        storage.land_csv(spark.range(5), path)
+    assert storage.read_table(spark, path).count() == 3
+
+
+def test_two_runs_at_once_leave_one_whole_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    storage.publish(spark.range(1), path)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda n: storage.publish(spark.range(n), path), (40, 50)))
+    assert storage.read_table(spark, path).count() in (40, 50)
+
+
+def test_stored_results_are_removed(spark):
+    with storage.temporary(spark):
+        kept = storage.stored(spark.range(100))
+        assert kept.count() == 100
+    assert spark.read.parquet(*{f.rsplit("/", 1)[0] for f in kept.inputFiles()}).count() == 0
