@@ -38,7 +38,8 @@ def snapshot_merge(history: DataFrame, new: DataFrame) -> DataFrame:
     """History before the first new date as it is; from there on one row per date.
 
     A realised amount beats a forecast, then the newest ``updated_on`` wins, then the
-    smallest amount. Rows without date are lost.
+    smallest amount. Rows without date are left out; without any new date the history stays as it
+    is. ``new`` is read twice and should be a stored result.
     """
     first_new = new.agg(F.min("data")).scalar()
     columns = ["updated_on", "data", "tipo", "valor"]
@@ -47,4 +48,5 @@ def snapshot_merge(history: DataFrame, new: DataFrame) -> DataFrame:
     best = first_per_key(later, ["data"], [
         F.when(F.col("tipo") == REALISED, 0).otherwise(1), F.desc("updated_on"), F.col("tipo"), F.col("valor"),
     ])
-    return history.filter(F.col("data") < first_new).unionByName(best)
+    earlier = F.when(first_new.isNull(), True).otherwise(F.col("data") < first_new)
+    return history.filter(earlier).unionByName(best)

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import calendars, cards, index_returns, purchases, receivables, reconcile, snapshots, weekly
 from ..params import ReceivablesParams, RemunerationParams
-from ..sources.storage import publish
+from ..sources.storage import publish, read_table, stored, temporary
 
 
 # --- purchase remuneration -----------------------------------------------------------------
@@ -60,13 +61,13 @@ def publish_divergences(compared: DataFrame, log: DataFrame, folder: str) -> dic
     paths = {name: f"{folder}/{name}" for name in ("matched", "divergences", "history_own", "history_partner", "canceled")}
     spark = compared.sparkSession
     publish(compared, f"{folder}/compared")
-    stored = spark.read.parquet(f"{folder}/compared")
-    publish(reconcile.outcome(stored, "matched"), paths["matched"])
-    publish(reconcile.divergences(stored), paths["divergences"])
-    divergent = spark.read.parquet(paths["divergences"])
+    whole = read_table(spark, f"{folder}/compared")
+    publish(reconcile.outcome(whole, "matched"), paths["matched"])
+    publish(reconcile.divergences(whole), paths["divergences"])
+    divergent = read_table(spark, paths["divergences"])
     for side in ("own", "partner"):
         publish(reconcile.event_history(divergent, log, side), paths[f"history_{side}"])
-    publish(reconcile.explode_history(spark.read.parquet(paths["history_own"])), paths["canceled"])
+    publish(reconcile.explode_history(read_table(spark, paths["history_own"])), paths["canceled"])
     return paths
 
 
@@ -92,12 +93,16 @@ def receivables_fact(spark: SparkSession, tables: ReceivablesTables, params: Rec
 
 def receive_pay(spark: SparkSession, tables: ReceivablesTables, params: ReceivablesParams,
                 path: str | None = None) -> DataFrame:
-    """Daily amounts to receive and to pay, published by date if a path is given."""
-    daily = receivables.daily_receive_pay(receivables_fact(spark, tables, params), tables.workspaces)
+    """Daily amounts to receive and to pay, published by date if a path is given.
+
+    The rollup is stored here, so the join of the fact runs once, when this is called.
+    """
+    rollup = receivables.dated_rollup(receivables_fact(spark, tables, params))
     if path is None:
-        return daily
-    publish(daily, path, "referenceDate")
-    return spark.read.parquet(path)
+        return receivables.daily_receive_pay(stored(rollup), tables.workspaces)
+    with temporary(spark):
+        publish(receivables.daily_receive_pay(stored(rollup), tables.workspaces), path, "referenceDate")
+    return read_table(spark, path)
 
 
 # --- weekly report and snapshots -----------------------------------------------------------
@@ -110,8 +115,26 @@ def purchase_base(log: DataFrame, holders: DataFrame, workspaces: DataFrame, raw
     return weekly.enrich(converted, holders, workspaces, raw_cards, sub_issuers, categories)
 
 
-def update_snapshot(spark: SparkSession, captured: DataFrame, path: str, as_of: dt.date) -> DataFrame:
-    """Merges newly captured statements into the stored snapshot at ``path``."""
-    merged = snapshots.snapshot_merge(spark.read.parquet(path), snapshots.collect_statements(captured, as_of))
-    publish(merged, path)
-    return spark.read.parquet(path)
+class SnapshotUpdate(NamedTuple):
+    snapshot: DataFrame
+    unreadable: DataFrame  # label, rows: captured labels that are no day
+
+
+def update_snapshot(spark: SparkSession, captured: DataFrame, path: str, as_of: dt.date) -> SnapshotUpdate:
+    """Merges newly captured statements into the stored snapshot at ``path``.
+
+    A capture without rows leaves the snapshot as it is. One in which no label is a day is an error,
+    as the page has changed then, and leaves it too. Labels that are no day are published
+    at ``path``/unreadable.
+    """
+    with temporary(spark):
+        captured = stored(captured)
+        publish(snapshots.unreadable_labels(captured, as_of), f"{path}/unreadable")
+        unreadable = read_table(spark, f"{path}/unreadable")
+        new = stored(snapshots.collect_statements(captured, as_of))
+        if new.filter("data IS NOT NULL").isEmpty():
+            if not new.isEmpty():
+                raise ValueError(f"no captured label is a day, see {path}/unreadable")
+        else:
+            publish(snapshots.snapshot_merge(read_table(spark, path), new), path)
+    return SnapshotUpdate(read_table(spark, path), unreadable)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from saldoflow.functions.text import parse_day_label, parse_money
 from saldoflow.operators import snapshots
+from saldoflow.plans import jobs
 from saldoflow.sources import storage
 
 D, T = dt.date, dt.datetime
@@ -62,5 +63,29 @@ def test_merge_twice_changes_nothing(snapshot):
 def test_replaced_snapshot(spark, snapshot, tmp_path):
     path = str(tmp_path / "snapshot")
     storage.publish(snapshot[0], path)
-    storage.publish(snapshots.snapshot_merge(spark.read.parquet(path), snapshot[1]), path)
-    assert sorted(r["valor"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 6]
+    storage.publish(snapshots.snapshot_merge(storage.read_table(spark, path), snapshot[1]), path)
+    assert sorted(r["valor"] for r in storage.read_table(spark, path).collect()) == [1, 2, 3, 6]
+
+
+def test_merge_without_a_new_date_keeps_the_history(snapshot):
+    history, new = snapshot
+    for nothing in (new.limit(0), new.withColumn("data", F.lit(None).cast("date"))):
+        assert sorted(r["valor"] for r in snapshots.snapshot_merge(history, nothing).collect()) == [1, 2, 3, 4]
+
+
+def test_update_never_loses_the_history(spark, snapshot, tmp_path):
+    path, as_of = str(tmp_path / "snapshot"), D(2024, 1, 20)
+    storage.publish(snapshot[0], path)
+    columns = "updated_on timestamp_ntz, kind string, label string, value string"
+    row = lambda label: (T(2024, 1, 9), "forecast", label, "R$ 0,06")
+    kept = lambda: sorted(r["valor"] for r in storage.read_table(spark, path).collect())
+
+    empty = jobs.update_snapshot(spark, spark.createDataFrame([], columns), path, as_of)
+    assert kept() == [1, 2, 3, 4] and empty.unreadable.count() == 0
+    with pytest.raises(ValueError, match="no captured label"):
+        jobs.update_snapshot(spark, spark.createDataFrame([row("soon"), row("later")], columns), path, as_of)
+    assert kept() == [1, 2, 3, 4]
+    assert storage.read_table(spark, f"{path}/unreadable").count() == 2
+    mixed = jobs.update_snapshot(spark, spark.createDataFrame([row("soon"), row("11/jan")], columns), path, as_of)
+    assert sorted(r["valor"] for r in mixed.snapshot.collect()) == [1, 2, 3, 6]
+    assert [tuple(r) for r in mixed.unreadable.collect()] == [("soon", 1)]
