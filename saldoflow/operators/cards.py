@@ -35,7 +35,7 @@ def issuer_names(sub_issuers: DataFrame) -> DataFrame:
 def of_issuer(log: DataFrame, sub_issuers: DataFrame, name: str) -> DataFrame:
     """Card log rows of the issuers called ``name``."""
     wanted = issuer_names(sub_issuers).filter(F.col("subIssuerName") == name).select("subIssuerTaxId")
-    return log.join(wanted, "subIssuerTaxId", "left_semi")
+    return join_splittable(log, wanted, ["subIssuerTaxId"], "left_semi")
 
 
 def _first_row(order: str) -> Column:

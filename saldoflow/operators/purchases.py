@@ -18,6 +18,9 @@ from .dims import dedupe_dim
 from .joins import join_splittable
 from .ordered import running
 
+#: Characters of a log id that part the rows of one instant.
+ID_PREFIX = 2
+
 
 def confirmed() -> Column:
     return F.col("type") == "confirmed"
@@ -49,6 +52,7 @@ def purchase_log(log: DataFrame, cards: DataFrame, params: RemunerationParams) -
         "type",
         "logAmount",
         F.to_date("purchaseConfirmed").alias("purchaseConfirmed"),
+        F.col("purchaseConfirmed").alias("confirmedTime"),
     )
     owners = cards.select("issuingCardId", "subIssuerTaxId")
     how = "left"
@@ -232,37 +236,39 @@ def previous_row_amounts(log: DataFrame, params: RemunerationParams) -> DataFram
 
 
 def issuer_daily_remuneration(log: DataFrame, returns: DataFrame, sub_issuers: DataFrame,
-                              params: RemunerationParams, settled_inclusive: bool = True) -> DataFrame:
+                              params: RemunerationParams, settled_inclusive: bool = True,
+                              compare: str = "instant") -> DataFrame:
     """Totals per date and issuer on a full date grid.
 
     Confirmed amounts and reversals up to settlement count on the due date of the first
     confirmation of the purchase, later reversals on their own date. ``returns`` is keyed
-    by due date. ``settled_inclusive`` says whether a reversal on the settlement date is
-    still before it.
+    by due date. A reversal is compared with the first confirmation, as its ``purchaseConfirmed``
+    states it, and with its settlement: as an ``instant``, or as a ``day``. ``settled_inclusive`` says
+    whether a reversal at the settlement itself is still before it.
     """
-    amount = F.col("logAmount")
-    daily = log.groupBy("endToEndId", "subIssuerTaxId", "logDate").agg(
-        F.sum(F.when(confirmed(), amount)).alias("_confirmed"),
-        F.sum(F.when(reversed_(), amount)).alias("_reversed"),
-        F.min(F.when(confirmed(), F.struct("logTime", "issuingPurchaseLogId", "logDate", "purchaseConfirmed")))
-        .alias("_first"),
-    )
-    first = F.when(F.col("endToEndId").isNotNull(), F.min("_first").over(Window.partitionBy("endToEndId")))
+    if compare not in ("instant", "day"):
+        raise ValueError(f"compare is instant or day, not {compare}")
+    time, confirmed_time, when = (
+        ("logTime", "confirmedTime", "logTime") if compare == "instant" else ("logDate", "purchaseConfirmed", "logDate"))
+    first = log.filter(confirmed() & F.col("endToEndId").isNotNull()).groupBy("endToEndId").agg(
+        F.min(F.struct("logTime", "issuingPurchaseLogId", "logDate", "purchaseConfirmed", "confirmedTime")).alias("_first"))
+    known = join_splittable(log, first, ["endToEndId"])
+    settled = F.date_add(f"_first.{when}", params.settlement_days) if compare == "day" else (
+        F.col(f"_first.{when}") + F.make_dt_interval(days=F.lit(params.settlement_days)))
     due = F.date_add("_first.logDate", params.due_days)
-    settled = F.date_add("_first.logDate", params.settlement_days)
-    late = F.col("logDate") > settled if settled_inclusive else F.col("logDate") >= settled
-    early = ~late & (F.col("logDate") >= F.col("_first.purchaseConfirmed"))
-    none = F.lit(None).cast("long")
+    late = F.col(time) > settled if settled_inclusive else F.col(time) >= settled
+    early = ~late & (F.col(time) >= F.col(f"_first.{confirmed_time}"))
+    amount = F.col("logAmount")
 
     def flow(date: Column, confirmed: Column, early_: Column, late_: Column) -> Column:
         return F.struct(date.alias("referenceDate"), confirmed.alias("confirmed"),
                         early_.alias("reversedBefore"), late_.alias("reversedAfter"))
 
+    none = F.lit(None).cast("long")
     flows = (
-        daily.withColumn("_first", first)
-        .select("subIssuerTaxId", F.explode(F.array(
-            flow(due, F.col("_confirmed"), F.when(early, F.col("_reversed")), none),
-            flow(F.col("logDate"), none, none, F.when(late, F.col("_reversed"))),
+        known.select("subIssuerTaxId", F.explode(F.array(
+            flow(due, F.when(confirmed(), amount), F.when(reversed_() & early, amount), none),
+            flow(F.col("logDate"), none, none, F.when(reversed_() & late, amount)),
             # every issuer has a row on the first date
             flow(F.lit(params.start), none, none, none),
         )).alias("f"))
@@ -312,16 +318,18 @@ def issuer_daily_remuneration(log: DataFrame, returns: DataFrame, sub_issuers: D
 
 
 def previous_event_lookup(log: DataFrame) -> DataFrame:
-    """Reversals with the id, type and date of the last non-reversal row at or before them.
+    """Reversals with the id, type, date and time of the last non-reversal row at or before them.
 
     Rows of one instant: confirmations come first. ``rowNumber`` counts the reversals of
     the purchase.
     """
     ranked = log.withColumn("_rank", F.when(reversed_(), 1).otherwise(0))
-    other = F.when(~reversed_(), F.struct("issuingPurchaseLogId", "type", "logDate"))
+    other = F.when(~reversed_(), F.struct("issuingPurchaseLogId", "type", "logDate", "logTime"))
     looked_up = running(
         ranked, ["endToEndId"], "logTime", ["logTime", "_rank", "issuingPurchaseLogId"],
         last={"_previous": other}, total={"rowNumber": reversed_().cast("long")},
+        # a bulk load may give one instant to all rows of a purchase
+        ranges={"_rank": F.col("_rank"), "_prefix": F.substring("issuingPurchaseLogId", 1, ID_PREFIX)},
     )
     return looked_up.filter(reversed_()).select(
         "endToEndId",
@@ -333,5 +341,6 @@ def previous_event_lookup(log: DataFrame) -> DataFrame:
         F.col("_previous.issuingPurchaseLogId").alias("previousLogId"),
         F.col("_previous.type").alias("previousType"),
         F.col("_previous.logDate").alias("previousDate"),
+        F.col("_previous.logTime").alias("previousTime"),
     )
 

@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import SAO_PAULO, local_date, local_date_between
 from ..params import ReceivablesParams
-from ..sources.storage import stored
 from .calendars import business_day_adjust, date_range
 from .dims import dedupe_dim
 from .joins import join_splittable
@@ -203,7 +202,7 @@ MERCHANT_COLUMNS = ["amountToMerchant", "amountWithoutFeeAndExternalFeeToMerchan
                     "amountWithoutFeeOnlyToMerchant", "amountWithoutExternalFeeOnlyToMerchant"]
 
 
-def daily_receive_pay(fact: DataFrame, workspaces: DataFrame, match_factoring: bool = False) -> DataFrame:
+def daily_receive_pay(rollup: DataFrame, workspaces: DataFrame, match_factoring: bool = False) -> DataFrame:
     """Amounts to receive and to pay per day, network, status and company.
 
     The result is the full outer join of the three rollups on date, network, status and
@@ -214,9 +213,8 @@ def daily_receive_pay(fact: DataFrame, workspaces: DataFrame, match_factoring: b
 
     A key has at most one row per side and flag, so instead of joining three branches of
     the same fact the rows of a key (six at most) are gathered and paired in place. The
-    rollup is stored, hence this call runs the join of the fact, once.
+    ``rollup`` (of ``dated_rollup``) is read three times and should be a stored result.
     """
-    rollup = stored(dated_rollup(fact))
     day = rollup.agg(
         F.min(F.when(F.col("side") == "created", F.col("referenceDate"))).alias("first"),
         F.max(F.when(F.col("side") == "merchant", F.col("referenceDate"))).alias("last"),

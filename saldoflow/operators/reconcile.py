@@ -111,14 +111,13 @@ def divergences(compared: DataFrame) -> DataFrame:
     return outcome(compared, "only_partner", "only_own")
 
 
-def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str = "partner",
-                  page_size: int = 100_000) -> DataFrame:
-    """Divergent cards of one side with the dates and types of all their log rows, in time order.
-
-    ``side`` is "partner" (origin given, balance <= 0) or "own" (no origin). A card without
-    log gets one entry, 1900-01-01 and "NULL". A history longer than ``page_size`` goes on
-    in further rows, numbered by ``page``, so that no task holds an unbounded one.
-    ``divergent`` is read more than once and should be a stored result.
+def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str = "partner") -> DataFrame:
+    """Divergent cards of one side with all their log rows, in time order.
+
+    ``side`` is "partner" (origin given, balance <= 0) or "own" (no origin). One row per card, instant
+    and type: ``position`` counts the card's log rows before it, ``copies`` the equal ones it
+    stands for, so no row grows with the log. A card without log gets one row, 1900-01-01 and
+    "NULL". ``divergent`` is read more than once and should be a stored result.
     """
     wanted = (
         divergent.filter((F.col("balance") <= 0) & (F.col("origin") == origin)) if side == "partner"
@@ -127,39 +126,47 @@ def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str =
     card = wanted.columns
     missing_date, missing_type = F.lit(dt.date(1900, 1, 1)), F.lit("NULL")
     events = log.select("issuingCardId", F.col("logCreated").cast("timestamp_ntz").alias("_at"), F.col("type").alias("_type"))
-    # The card's columns travel with the events: pages joined to cards afterwards would
-    # bring all pages of a card into one task. Equal events become one row with their
-    # number, so copies of an event cannot make a group large either.
+    # The card's columns travel with the events: a second join would meet the hot cards again.
     counted = (
         join_splittable(events, wanted, ["issuingCardId"], "inner")
-        .groupBy(*card, "_at", "_type").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    placed = running(counted, ["issuingCardId"], "_at", ["_at", "_type"], total={"_end": F.col("_n")}).withColumn(
-        "_start", F.col("_end") - F.col("_n"))
-    first_page = F.floor(F.col("_start") / page_size)
-    last_page = F.floor((F.col("_end") - 1) / page_size)
-    on_page = F.least(F.col("_end"), (F.col("page") + 1) * page_size) - F.greatest(
-        F.col("_start"), F.col("page") * page_size)
-    entry = F.struct(
-        "_start",
-        F.coalesce(F.to_date("_at"), missing_date).alias("d"),
-        F.coalesce("_type", missing_type).alias("t"),
-        on_page.cast("int").alias("n"),
+        .groupBy(*card, "_at", "_type").agg(F.count(F.lit(1)).alias("copies"))
     )
+    placed = running(counted, ["issuingCardId"], "_at", ["_at", "_type"], total={"_end": F.col("copies")})
+    with_log = placed.select(
+        *card, (F.col("_end") - F.col("copies")).alias("position"),
+        F.coalesce(F.to_date("_at"), missing_date).alias("eventDate"),
+        F.coalesce("_type", missing_type).alias("event"), "copies")
+    # Reads the counted events again, out of their shuffle, and not the log.
+    seen = counted.select("issuingCardId").distinct()
+    without_log = wanted.join(seen, "issuingCardId", "left_anti").select(
+        *card, F.lit(0).cast("long").alias("position"), missing_date.alias("eventDate"),
+        missing_type.alias("event"), F.lit(1).cast("long").alias("copies"))
+    return with_log.unionByName(without_log)
+
+
+def history_arrays(history: DataFrame, page_size: int | None = None) -> DataFrame:
+    """The history as one row per card with arrays ``eventDates`` and ``events``, equal rows repeated.
+
+    A card's arrays must fit a task. With ``page_size`` a card has a row for each ``page`` of so many
+    entries instead, which bounds them.
+    """
+    card = [c for c in history.columns if c not in ("position", "eventDate", "event", "copies")]
+    start, end = F.col("position"), F.col("position") + F.col("copies")
+    keys, n = [*card], F.col("copies")
+    if page_size is not None:
+        history = history.withColumn("page", F.explode(F.sequence(
+            F.floor(start / page_size), F.floor((end - 1) / page_size))))
+        first = F.col("page") * page_size
+        keys, n = [*card, "page"], F.least(end, first + page_size) - F.greatest(start, first)
+    entry = F.struct("position", F.col("eventDate").alias("d"), F.col("event").alias("t"), n.cast("int").alias("n"))
 
     def repeated(field: str) -> Column:
         return F.flatten(F.transform("_entries", lambda e: F.array_repeat(e[field], e["n"])))
 
-    pages = (
-        placed.withColumn("page", F.explode(F.sequence(first_page, last_page)))
-        .groupBy(*card, "page")
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(*card, "page", repeated("d").alias("eventDates"), repeated("t").alias("events"))
+    return (
+        history.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        .select(*keys, repeated("d").alias("eventDates"), repeated("t").alias("events"))
     )
-    without_log = wanted.join(log.select("issuingCardId").distinct(), "issuingCardId", "left_anti").select(
-        *card, F.lit(0).cast("long").alias("page"), F.array(missing_date).alias("eventDates"),
-        F.array(missing_type).alias("events"))
-    return pages.unionByName(without_log)
 
 
 def explode_history(history: DataFrame, pairing: str = "cross",
@@ -167,28 +174,22 @@ def explode_history(history: DataFrame, pairing: str = "cross",
     """First date of each reported event of the cards in ``event_history``.
 
     ``cross`` pairs every event with every date, so that the first date of an event is the
-    first of the card; it is read off the arrays, no pairs are made. ``zip`` takes the dates
-    of the event itself. Creation says nothing about a physical card and unblocking nothing
-    about a virtual one, so these are left out.
+    first of the card; no pairs are made. ``zip`` takes the dates of the event itself. Creation says
+    nothing about a physical card and unblocking nothing about a virtual one, so these are left out.
     """
     card = ["issuingCardId", "origin", "balance", "cardType", "status"]
 
-    def date_on_page(event: str) -> Column:
-        own = F.filter(F.arrays_zip("eventDates", "events"), lambda x: x["events"] == event)
-        return F.array_min(F.transform(own, lambda x: x["eventDates"]))
-
     def first_date(event: str) -> Column:
+        has = F.col("event") == event
         if pairing == "zip":
-            return F.min(date_on_page(event))
-        return F.when(F.max(F.array_contains("events", event)), F.min(F.array_min("eventDates")))
+            return F.min(F.when(has, F.col("eventDate")))
+        return F.when(F.max(has), F.min("eventDate"))
 
+    reported = F.array(*[F.struct(F.lit(e).alias("event"), first_date(e).alias("eventDate")) for e in report])
     idle = ((F.col("cardType") == "physical") & (F.col("event") == "created")) | (
         (F.col("cardType") == "virtual") & (F.col("event") == "unblocked"))
     return (
-        # the pages of a long history meet here
-        history.groupBy(*card)
-        .agg(F.array(*[F.struct(F.lit(e).alias("event"), first_date(e).alias("eventDate")) for e in report]).alias("_e"))
-        .select(*card, F.inline("_e"))
+        history.groupBy(*card).agg(reported.alias("_e")).select(*card, F.inline("_e"))
         .filter(F.col("eventDate").isNotNull() & ~F.coalesce(idle, F.lit(False)))
     )
 

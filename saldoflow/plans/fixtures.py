@@ -48,13 +48,17 @@ def cents(amount: Column) -> Column:
 # --- purchases -----------------------------------------------------------------------------
 
 def holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter("n_regionkey = 0")
-    return nation.select(F.date_add(F.lit(D(2024, 1, 1)), F.col("n_nationkey")).alias("holidayDate"),
-                         F.col("n_name").alias("holidayName"))
+    """A holiday per nation, every fifth day from 2024 on."""
+    return table(spark, sf_dir, "nation").select(
+        F.date_add(F.lit(D(2024, 1, 1)), 5 * F.col("n_nationkey").cast("int")).alias("holidayDate"),
+        F.col("n_name").alias("holidayName"))
 
 
 def daily_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Factor per weekday that is no holiday, up to 2024-01-20, from the number of views."""
+    """Factor per weekday that is no holiday, up to 2024-01-20, from the number of views.
+
+    The days after it have no factor on purpose: they are forecast.
+    """
     views = table(spark, sf_dir, "events").filter(
         (F.col("event_type") == "view") & (F.col("ts") < F.lit(D(2024, 1, 21)))
     ).groupBy(F.date_trunc("day", "ts").alias("referenceDate")).agg(
@@ -343,9 +347,8 @@ def report_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- snapshots -----------------------------------------------------------------------------
 
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views are forecasts and purchases realised amounts, due up to three days later."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase"))
-    return events.select(
+    """Purchases are realised amounts and all other events forecasts, due up to three days later."""
+    return table(spark, sf_dir, "events").select(
         F.col("ts").alias("updated_on"),
         F.date_add(F.to_date("ts"), F.floor(F.hour("ts") / 6).cast("int")).alias("data"),
         F.when(F.col("event_type") == "purchase", "realizado").otherwise("previsto").alias("tipo"),

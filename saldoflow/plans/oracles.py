@@ -6,7 +6,7 @@ from __future__ import annotations
 # --- calendar and index --------------------------------------------------------------------
 
 HOLIDAYS = """
-holidays AS (SELECT DISTINCT DATE '2024-01-01' + n_nationkey AS d FROM nation WHERE n_regionkey = 0)"""
+holidays AS (SELECT DISTINCT DATE '2024-01-01' + CAST(5 * n_nationkey AS INTEGER) AS d FROM nation)"""
 
 INDEX = HOLIDAYS + """,
 index_days AS (
@@ -46,7 +46,7 @@ log AS (
          CASE event_type WHEN 'purchase' THEN 'confirmed' ELSE 'reversed' END AS type,
          CAST(round(value * 100) AS BIGINT) AS amount,
          CASE WHEN event_type = 'purchase' THEN CAST(ts AS DATE) END AS confirmed_on,
-         CAST(c_nationkey AS VARCHAR) AS issuer
+         CASE WHEN event_type = 'purchase' THEN ts END AS confirmed_at, CAST(c_nationkey AS VARCHAR) AS issuer
   FROM events JOIN customer ON user_id = c_custkey
   WHERE event_type IN ('purchase', 'error') AND NOT value < 5 AND NOT value > 200 AND c_nationkey <> 0
     AND CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30')"""
@@ -85,15 +85,20 @@ amounts AS (
   FROM (SELECT DISTINCT id, day FROM dated) c LEFT JOIN first_of_id f USING (id)
     LEFT JOIN sums s ON s.id = c.id AND s.to_day = c.day)"""
 
-ISSUER_DAILY = LOG + """,
+
+def _issuer_daily(time: str, confirmed: str) -> str:
+    """Reversals against the first confirmation and its settlement, as instants or as days."""
+    return LOG + f""",
 dated AS (
-  SELECT *, first_value(d IGNORE NULLS) OVER w AS first_day, first_value(confirmed_on IGNORE NULLS) OVER w AS first_confirmed
-  FROM (SELECT *, CASE WHEN type = 'confirmed' THEN d END AS confirmed_day FROM log)
+  SELECT *, first_value(d IGNORE NULLS) OVER w AS first_day, first_value({time} IGNORE NULLS) OVER w AS first_time,
+         first_value({confirmed} IGNORE NULLS) OVER w AS first_confirmed
+  FROM (SELECT * REPLACE (CASE WHEN type = 'confirmed' THEN d END AS d), {time} AS compared, d AS own_day,
+               CASE WHEN type = 'confirmed' THEN d END AS confirmed_day, type = 'confirmed' AS first_row FROM log)
   WINDOW w AS (PARTITION BY id ORDER BY confirmed_day IS NULL, ts, lid ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 flows AS (
-  SELECT CASE WHEN type = 'reversed' AND d > first_day + 7 THEN d ELSE first_day + 5 END AS day, issuer, amount,
-         CASE WHEN type = 'confirmed' THEN 'confirmed' WHEN d > first_day + 7 THEN 'late'
-              WHEN d >= first_confirmed THEN 'early' END AS kind
+  SELECT CASE WHEN type = 'reversed' AND compared > first_time + INTERVAL 7 DAY THEN own_day ELSE first_day + 5 END AS day, issuer, amount,
+         CASE WHEN type = 'confirmed' THEN 'confirmed' WHEN compared > first_time + INTERVAL 7 DAY THEN 'late'
+              WHEN compared >= first_confirmed THEN 'early' END AS kind
   FROM dated WHERE first_confirmed IS NOT NULL),
 sums AS (
   SELECT day, issuer, sum(amount) FILTER (kind = 'confirmed') AS confirmed, sum(amount) FILTER (kind = 'early') AS early,
@@ -193,13 +198,21 @@ histories AS (
   FROM divergent v LEFT JOIN card_log l ON v.card = l.card GROUP BY ALL)"""
 
 
-def _history(condition: str) -> str:
+def _history_arrays(condition: str) -> str:
     return f"""WITH {HISTORY}
-SELECT {CARD_COLUMNS}, CAST(0 AS BIGINT) AS page, array_to_string(dates, ',') AS "eventDates",
-       array_to_string(types, ',') AS events
+SELECT {CARD_COLUMNS}, array_to_string(dates, ',') AS "eventDates", array_to_string(types, ',') AS events
 FROM histories WHERE {condition}"""
 
 
+def _history(condition: str) -> str:
+    return f"""WITH {RECONCILED}
+SELECT {CARD_COLUMNS}, CAST(coalesce(sum(n) OVER (PARTITION BY card ORDER BY happened, type
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS position,
+       CAST(coalesce(CAST(happened AS DATE), DATE '1900-01-01') AS VARCHAR) AS "eventDate", coalesce(type, 'NULL') AS event, n AS copies
+FROM (SELECT v.card, v.origin, v.balance, v.card_type, v.status, l.happened, l.type, count(*) AS n
+      FROM divergent v LEFT JOIN card_log l ON v.card = l.card WHERE {condition} GROUP BY ALL)"""
+
+
 # --- receivables ---------------------------------------------------------------------------
 
 LINES = """
@@ -343,7 +356,7 @@ snapshots AS (
   SELECT event_id, ts AS updated_on, CAST(ts AS DATE) + CAST(floor(hour(ts) / 6) AS INTEGER) AS data,
          CASE event_type WHEN 'purchase' THEN 'realizado' ELSE 'previsto' END AS tipo,
          CAST(round(value * 100) AS BIGINT) AS valor
-  FROM events WHERE event_type IN ('view', 'purchase'))"""
+  FROM events)"""
 
 CAPTURED = SNAPSHOTS + f""",
 captured AS (
@@ -367,6 +380,26 @@ FROM history WHERE data < (SELECT min(data) FROM new)
 UNION ALL
 SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f'), CAST(data AS VARCHAR), tipo, valor FROM merged WHERE rn = 1"""
 
+def _issuer_daily_remuneration(time: str, confirmed: str) -> str:
+    return f"""WITH {INDEX}, {_issuer_daily(time, confirmed)},
+joined AS (
+  SELECT r.d, i.issuer, n.n_name, r.by_due AS acc, r.value, r.forecast, s.confirmed, s.early, s.late
+  FROM returns r CROSS JOIN (SELECT DISTINCT issuer FROM log) i
+    JOIN nation n ON i.issuer = CAST(n.n_nationkey AS VARCHAR)
+    LEFT JOIN sums s ON s.day = r.d AND s.issuer = i.issuer
+  WHERE r.d <= DATE '2024-01-30')
+SELECT CAST(d AS VARCHAR) AS "referenceDate", issuer AS "subIssuerTaxId", n_name AS "subIssuerName",
+       round(acc, 6) AS "accumulatedReturn", round(value, 6) AS "indexValue", forecast AS "isForecast",
+       CAST(coalesce(confirmed, 0) - coalesce(early, 0) AS BIGINT) AS "baseValue",
+       CAST(round((coalesce(confirmed * acc - confirmed, 0) - coalesce(early * acc - early, 0)) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS remuneration,
+       CAST(coalesce(confirmed, 0) AS BIGINT) AS confirmed,
+       CAST(coalesce(early, 0) AS BIGINT) AS "reversedBeforeSettlement",
+       CAST(coalesce(late, 0) AS BIGINT) AS "reversedAfterSettlement",
+       CAST(round(coalesce(confirmed * acc - confirmed, 0) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS "remunerationConfirmed",
+       CAST(round(coalesce(early * acc - early, 0) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS "remunerationReversedBeforeSettlement"
+FROM joined"""
+
+
 ORACLES: dict[str, str] = {
     "working_calendar": f"""WITH {HOLIDAYS},
 bounds AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
@@ -389,7 +422,7 @@ FROM returns""",
     "purchase_log": f"""WITH {LOG}
 SELECT id AS "endToEndId", lid AS "issuingPurchaseLogId", strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "logTime",
        CAST(d AS VARCHAR) AS "logDate", type, amount AS "logAmount", CAST(confirmed_on AS VARCHAR) AS "purchaseConfirmed",
-       issuer AS "subIssuerTaxId" FROM log""",
+       strftime(confirmed_at, '%Y-%m-%d %H:%M:%S.%f') AS "confirmedTime", issuer AS "subIssuerTaxId" FROM log""",
     "cycle_attribution": f"""WITH {CYCLES}
 SELECT id AS "endToEndId", lid AS "issuingPurchaseLogId", type, CAST(d AS VARCHAR) AS "logDate", amount AS "logAmount",
        CAST(cycle AS VARCHAR) AS "cycleDate", internal AS "internalId" FROM attributed""",
@@ -415,23 +448,8 @@ SELECT id AS "endToEndId", CAST(day AS VARCHAR) AS "cycleDate", CAST(confirmed_o
        CAST(confirmed AS BIGINT) AS "confirmedAmount", CAST(before AS BIGINT) AS "reversedBeforeSettlement",
        CAST(after AS BIGINT) AS "reversedAfterSettlement", round(acc, 6) AS "accumulatedReturn", net AS "netAmount",
        remuneration, greatest(remuneration, 0) AS "nonNegativeRemuneration" FROM paid""",
-    "issuer_daily_remuneration": f"""WITH {INDEX}, {ISSUER_DAILY},
-joined AS (
-  SELECT r.d, i.issuer, n.n_name, r.by_due AS acc, r.value, r.forecast, s.confirmed, s.early, s.late
-  FROM returns r CROSS JOIN (SELECT DISTINCT issuer FROM log) i
-    JOIN nation n ON i.issuer = CAST(n.n_nationkey AS VARCHAR)
-    LEFT JOIN sums s ON s.day = r.d AND s.issuer = i.issuer
-  WHERE r.d <= DATE '2024-01-30')
-SELECT CAST(d AS VARCHAR) AS "referenceDate", issuer AS "subIssuerTaxId", n_name AS "subIssuerName",
-       round(acc, 6) AS "accumulatedReturn", round(value, 6) AS "indexValue", forecast AS "isForecast",
-       CAST(coalesce(confirmed, 0) - coalesce(early, 0) AS BIGINT) AS "baseValue",
-       CAST(round((coalesce(confirmed * acc - confirmed, 0) - coalesce(early * acc - early, 0)) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS remuneration,
-       CAST(coalesce(confirmed, 0) AS BIGINT) AS confirmed,
-       CAST(coalesce(early, 0) AS BIGINT) AS "reversedBeforeSettlement",
-       CAST(coalesce(late, 0) AS BIGINT) AS "reversedAfterSettlement",
-       CAST(round(coalesce(confirmed * acc - confirmed, 0) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS "remunerationConfirmed",
-       CAST(round(coalesce(early * acc - early, 0) * CAST(0.6 AS DOUBLE)) AS BIGINT) AS "remunerationReversedBeforeSettlement"
-FROM joined""",
+    "issuer_daily_remuneration": _issuer_daily_remuneration("ts", "confirmed_at"),
+    "issuer_daily_remuneration_by_day": _issuer_daily_remuneration("d", "confirmed_on"),
     "previous_event_lookup": f"""WITH {LOG},
 looked AS (
   SELECT *, last_value(CASE WHEN type <> 'reversed' THEN lid END IGNORE NULLS) OVER (
@@ -440,7 +458,8 @@ looked AS (
   FROM log)
 SELECT k.id AS "endToEndId", k.lid AS "issuingPurchaseLogId", k.number AS "rowNumber", k.type,
        CAST(coalesce(k.confirmed_on, k.d) AS VARCHAR) AS "logDate", CAST(k.confirmed_on AS VARCHAR) AS "purchaseConfirmed",
-       k.previous AS "previousLogId", p.type AS "previousType", CAST(p.d AS VARCHAR) AS "previousDate"
+       k.previous AS "previousLogId", p.type AS "previousType", CAST(p.d AS VARCHAR) AS "previousDate",
+       strftime(p.ts, '%Y-%m-%d %H:%M:%S.%f') AS "previousTime"
 FROM looked k LEFT JOIN log p ON p.lid = k.previous WHERE k.type = 'reversed'""",
     "sub_issuer_dim": """SELECT CAST(c_nationkey AS VARCHAR) AS "subIssuerTaxId", min(c_mktsegment) AS "subIssuerName"
 FROM customer WHERE c_nationkey IS NOT NULL GROUP BY ALL""",
@@ -508,6 +527,7 @@ SELECT v.card AS "issuingCardId", v.origin, CAST(v.balance AS BIGINT) AS balance
 FROM divergent v JOIN collection c ON v.card = c.card WHERE c.issuer_name = 'NATION_3'""",
     "event_history": _history("origin IS NULL"),
     "event_history_partner": _history("balance <= 0 AND origin = 'partner'"),
+    "event_history_arrays": _history_arrays("origin IS NULL"),
     "explode_history": f"""WITH {HISTORY}
 SELECT {CARD_COLUMNS}, list_min(dates) AS "eventDate", 'canceled' AS event
 FROM histories WHERE origin IS NULL AND list_contains(types, 'canceled')""",
@@ -634,4 +654,21 @@ new AS (SELECT updated_on, data, tipo, valor FROM snapshots WHERE updated_on >=
     "snapshot_update": f"""WITH {CAPTURED},
 history AS (SELECT updated_on, data, tipo, valor FROM snapshots WHERE updated_on < TIMESTAMP '2024-01-16'),
 new AS (SELECT updated_on, parsed AS data, tipo, cut AS valor FROM labelled WHERE updated_on >= TIMESTAMP '2024-01-16'), {MERGE}""",
+    "snapshot_empty_update": f"""WITH {SNAPSHOTS}
+SELECT strftime(updated_on, '%Y-%m-%d %H:%M:%S.%f') AS updated_on, CAST(data AS VARCHAR) AS data, tipo, valor FROM snapshots""",
+    "snapshot_unreadable": f"""WITH {SNAPSHOTS}
+SELECT 'since ' || strftime(updated_on, '%H') || 'h' AS label, count(*) AS rows FROM snapshots
+WHERE minute(updated_on) < 10 GROUP BY ALL""",
+    "land_reports": f"""WITH {REPORT}
+SELECT fmt, '2024-01-31' AS updated_on, id AS "NSU_CV", number AS parcela, sold_iso AS data_original_da_venda,
+       l_extendedprice AS valor_bruto_da_parcela_original, l_linestatus AS status
+FROM sales, (VALUES ('csv'), ('parquet')) AS f(fmt)""",
+    "landing_problems": """SELECT member, kind, count(*) AS archives
+FROM (SELECT DISTINCT l_orderkey % 16 AS archive FROM lineitem),
+     (VALUES ('recebidos-1.csv', 'recebidos'), ('outros-2.csv', 'outros'), ('ajustes-1.xlsx', 'ajustes')) AS m(member, kind)
+GROUP BY ALL
+UNION ALL
+SELECT NULL, NULL, 1""",
+    "landing_lost_values": """SELECT 'pagamentos' AS kind, 'data_original_da_venda' AS "column", count(*) AS lost
+FROM lineitem WHERE l_tax = 0 OR l_linenumber = 1""",
 }

@@ -5,9 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import io
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +135,12 @@ def issuer_daily_remuneration(spark: SparkSession, sf: str) -> DataFrame:
         fx.holidays(spark, sf), fx.daily_index(spark, sf), fx.REMUNERATION)
 
 
+def issuer_daily_remuneration_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    log = purchases.purchase_log(fx.purchase_events(spark, sf), fx.purchase_cards(spark, sf), fx.REMUNERATION)
+    return purchases.issuer_daily_remuneration(
+        log, _returns(spark, sf, "due"), fx.sub_issuers(spark, sf), fx.REMUNERATION, compare="day")
+
+
 def previous_event_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return purchases.previous_event_lookup(_log(spark, sf))
 
@@ -271,6 +277,10 @@ def event_history(spark: SparkSession, sf: str) -> DataFrame:
     return _history(spark, sf, "own")
 
 
+def event_history_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.history_arrays(_history(spark, sf, "own"))
+
+
 def event_history_partner(spark: SparkSession, sf: str) -> DataFrame:
     return _history(spark, sf, "partner")
 
@@ -359,7 +369,7 @@ def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         fx.cents(F.col("l_extendedprice")).alias("amount"))
     storage.publish(rows, path, "month")
     storage.repartition_table(spark, path, "l_linestatus")
-    return spark.read.parquet(path).select("month", "l_orderkey", "l_linestatus", "amount")
+    return storage.read_table(spark, path).select("month", "l_orderkey", "l_linestatus", "amount")
 
 
 # --- weekly report -------------------------------------------------------------------------
@@ -416,29 +426,90 @@ def stamp(spark: SparkSession, sf: str) -> DataFrame:
     return reports.stamp(fx.report_receipts(spark, sf), RUN_DATE)
 
 
-def _zip_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One archive per batch of lines: the lines as CSV beside members that must be skipped."""
-    for batch in batches:
-        first = batch.column("l_id")[0].as_py()
-        frame = batch.to_pandas().drop(columns="l_id")
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as data:
-            data.writestr(f"pagamentos-{first}.csv", frame.to_csv(index=False, sep=";"))
-            data.writestr("capa-1.csv", "Título;Número\nx;1\n")
-            data.writestr("recebidos-1.csv", "")
-            data.writestr("outros-1.csv", "Código/A;Taxa %\n1.5;2,5\n")
-            data.writestr("leiame.txt", "no report")
-        yield pa.RecordBatch.from_pydict({"path": [f"{first}.zip"], "content": [out.getvalue()]})
-
-
-def _archives(spark: SparkSession, sf: str) -> DataFrame:
-    """The sales report as ZIP archives, one per Arrow batch of line items."""
-    lines = fx.report_sales(spark, sf).withColumn("l_id", F.col("NSU_CV"))
+def _zip(lines: pd.DataFrame, name: str) -> bytes:
+    """Lines as a CSV member beside members that are skipped, odd or unreadable."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as data:
+        data.writestr(f"Pagamentos-{name}.csv", lines.to_csv(index=False, sep=";"))
+        data.writestr("capa-1.csv", "Título;Número\nx;1\n")
+        data.writestr("recebidos-1.csv", "")
+        data.writestr("outros-1.csv", "Código/A;Taxa %\n1.5;2,5\n")
+        data.writestr("outros-2.csv", "Código/A;Codigo-A\n1;2\n")
+        data.writestr("ajustes-1.xlsx", b"a workbook")
+        data.writestr("leiame.txt", "no report")
+    return out.getvalue()
+
+
+def _sales(spark: SparkSession, sf: str, odd_dates: bool = False) -> DataFrame:
+    """The sales report with headings, dealt to sixteen archives by order; with ``odd_dates`` each order's
+    first line has a date that no pattern fits."""
+    lines = fx.report_sales(spark, sf).withColumn("archive", F.split("NSU_CV", "-")[0].cast("long") % 16)
+    if odd_dates:
+        lines = lines.withColumn("data_original_da_venda", F.when(F.col("parcela") == "1", "1 fev").otherwise(
+            F.col("data_original_da_venda")))
     headings = {"data_original_da_venda": "data original da venda",
                 "valor_bruto_da_parcela_original": "valor bruto da parcela original"}
     for name, heading in headings.items():
         lines = lines.withColumnRenamed(name, heading)
-    return lines.mapInArrow(_zip_batches, "path string, content binary")
+    return lines
+
+
+def _archives(spark: SparkSession, sf: str) -> DataFrame:
+    """The sales report as sixteen ZIP archives."""
+    def zipped(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"path": [f"{key[0]}.zip"], "content": [_zip(lines.drop(columns="archive"), key[0])]})
+
+    return _sales(spark, sf).groupBy("archive").applyInPandas(zipped, "path string, content binary")
+
+
+def _archive_folder(spark: SparkSession, sf: str, odd_dates: bool = False) -> str:
+    """The archives as files of the shared folder, beside a broken one."""
+    folder = storage.new_folder(spark, "archives")
+
+    def written(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        store.create_dir(path)
+        with store.open_output_stream(f"{path}/{key[0]}.zip") as out:
+            out.write(_zip(lines.drop(columns="archive"), key[0]))
+        if key[0] == 0:
+            with store.open_output_stream(f"{path}/broken.zip") as out:
+                out.write(b"no archive")
+        return pd.DataFrame({"path": [f"{key[0]}.zip"]})
+
+    _sales(spark, sf, odd_dates).groupBy("archive").applyInPandas(written, "path string").write.format("noop").mode(
+        "overwrite").save()
+    return folder
+
+
+def _landed(spark: SparkSession, sf: str, fmt: str, odd_dates: bool = False) -> reports.Landing:
+    archives = reports.read_archives(spark, _archive_folder(spark, sf, odd_dates))
+    return reports.land_reports(archives, storage.new_folder(spark, "landed"), RUN_DATE, fmt)
+
+
+def land_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives written to the shared folder, landed in both formats, and the sales table read back."""
+    columns = ["updated_on", "NSU_CV", "parcela", "data_original_da_venda", "valor_bruto_da_parcela_original", "status"]
+    number = F.col("valor_bruto_da_parcela_original").cast("double")
+    frames = []
+    for fmt in ("csv", "parquet"):
+        table = storage.read_table(spark, _landed(spark, sf, fmt).paths["pagamentos"])
+        texts = table.withColumn("valor_bruto_da_parcela_original", number).select(
+            *[F.col(c) if c.startswith("valor") else F.col(c).cast("string").alias(c) for c in columns])
+        frames.append(texts.withColumn("fmt", F.lit(fmt)))
+    return frames[0].unionByName(frames[1])
+
+
+def landing_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """What the landing could not read, by member."""
+    problems = storage.read_table(spark, _landed(spark, sf, "parquet").problems)
+    return problems.groupBy("member", "kind").agg(F.count(F.lit(1)).alias("archives"))
+
+
+def landing_lost_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts that became NULL because no type takes them, by column."""
+    return storage.read_table(spark, _landed(spark, sf, "parquet", odd_dates=True).lost_values)
 
 
 def read_zipped_reports(spark: SparkSession, sf: str) -> DataFrame:
@@ -480,7 +551,27 @@ def snapshot_update(spark: SparkSession, sf: str) -> DataFrame:
     history, _ = _snapshots(spark, sf)
     storage.publish(history.select("updated_on", "data", "tipo", "valor"), path)
     captured = fx.captured_text(spark, sf).filter(F.col("updated_on") >= F.lit(fx.SNAPSHOT_SPLIT))
-    return jobs.update_snapshot(spark, captured, path, fx.SNAPSHOT_AS_OF)
+    return jobs.update_snapshot(spark, captured, path, fx.SNAPSHOT_AS_OF).snapshot
+
+
+def _stored_snapshot(spark: SparkSession, sf: str) -> str:
+    path = storage.new_folder(spark, "snapshot")
+    storage.publish(fx.snapshot_rows(spark, sf).select("updated_on", "data", "tipo", "valor"), path)
+    return path
+
+
+def snapshot_empty_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole history, updated by a capture without rows: as it was."""
+    none = fx.captured_text(spark, sf).filter("event_id IS NULL")
+    return jobs.update_snapshot(spark, none, _stored_snapshot(spark, sf), fx.SNAPSHOT_AS_OF).snapshot
+
+
+def snapshot_unreadable(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels that are no day: those captured in the first ten minutes of an hour tell the hour."""
+    hour = F.concat(F.lit("since "), F.date_format("updated_on", "HH"), F.lit("h"))
+    captured = fx.captured_text(spark, sf).withColumn(
+        "label", F.when(F.minute("updated_on") < 10, hour).otherwise(F.col("label")))
+    return jobs.update_snapshot(spark, captured, _stored_snapshot(spark, sf), fx.SNAPSHOT_AS_OF).unreadable
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -496,6 +587,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cycle_remuneration": cycle_remuneration,
     "prior_row_cycle": prior_row_cycle,
     "issuer_daily_remuneration": issuer_daily_remuneration,
+    "issuer_daily_remuneration_by_day": issuer_daily_remuneration_by_day,
     "previous_event_lookup": previous_event_lookup,
     "sub_issuer_dim": sub_issuer_dim,
     "card_expirations": card_expirations,
@@ -521,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "issuer_divergences": issuer_divergences,
     "event_history": event_history,
     "event_history_partner": event_history_partner,
+    "event_history_arrays": event_history_arrays,
     "explode_history": explode_history,
     "explode_history_zip": explode_history_zip,
     "resolve_holder": resolve_holder,
@@ -549,6 +642,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "collect_statements": collect_statements,
     "snapshot_merge": snapshot_merge,
     "snapshot_update": snapshot_update,
+    "snapshot_empty_update": snapshot_empty_update,
+    "snapshot_unreadable": snapshot_unreadable,
+    "land_reports": land_reports,
+    "landing_problems": landing_problems,
+    "landing_lost_values": landing_lost_values,
 }
 
 

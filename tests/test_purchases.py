@@ -15,7 +15,8 @@ LOG = "endToEndId string, issuingPurchaseLogId string, logTime timestamp_ntz, ty
 def log(spark, rows):
     """rows: id, log id, time, type, amount."""
     full = [(i, n, t, k, a, t.date() if k == "confirmed" else None, "x") for i, n, t, k, a in rows]
-    return spark.createDataFrame(full, LOG).withColumn("logDate", F.to_date("logTime"))
+    return spark.createDataFrame(full, LOG).withColumn("logDate", F.to_date("logTime")).withColumn(
+        "confirmedTime", F.when(F.col("type") == "confirmed", F.col("logTime")))
 
 
 def returns(spark, key="settlementDate"):
@@ -56,6 +57,25 @@ def test_daily_report_counts_settlement_date_as_before(spark):
         assert days[D(2025, 1, 29)]["reversedAfterSettlement"] == 4
 
 
+def test_reversals_are_compared_as_instants_or_as_days(spark):
+    rows = [("p", "1", T(2025, 1, 1, 9), "confirmed", 1000), ("p", "2", T(2025, 1, 1, 8), "reversed", 1),
+            ("p", "3", T(2025, 1, 28, 8), "reversed", 2), ("p", "4", T(2025, 1, 28, 18), "reversed", 4)]
+    names = spark.createDataFrame([("x", "X")], "subIssuerTaxId string, subIssuerName string")
+    for compare, before, after in (("instant", 2, 4), ("day", 7, 0)):
+        report = purchases.issuer_daily_remuneration(log(spark, rows), returns(spark), names, PARAMS, compare=compare)
+        days = {r["referenceDate"]: r for r in report.collect()}
+        assert days[D(2025, 1, 26)]["reversedBeforeSettlement"] == before
+        assert days[D(2025, 1, 28)]["reversedAfterSettlement"] == after
+
+
+def test_previous_event_of_rows_of_one_instant(spark):
+    at = T(2025, 1, 1, 9)
+    rows = [("p", f"{i:03}", at, "confirmed" if i % 2 else "reversed", i) for i in range(100)]
+    got = purchases.previous_event_lookup(log(spark, rows)).collect()
+    assert {r["previousLogId"] for r in got} == {"099"} and {r["previousTime"] for r in got} == {at}
+    assert sorted(r["rowNumber"] for r in got) == list(range(1, 51))
+
+
 def test_remuneration_rounds_half_away_and_floors_at_zero(spark):
     rows = [("a", "1", T(2025, 1, 1, 9), "confirmed", 0), ("a", "2", T(2025, 1, 2, 9), "reversed", 25),
             ("b", "3", T(2025, 1, 1, 9), "confirmed", 25)]

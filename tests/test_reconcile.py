@@ -63,26 +63,41 @@ def log(spark):
 
 
 def test_event_history(divergent, log):
-    got = {r["issuingCardId"]: (r["eventDates"], r["events"]) for r in reconcile.event_history(divergent, log, "own").collect()}
+    rows = reconcile.event_history(divergent, log, "own")
+    assert sorted((r["issuingCardId"], r["position"], r["event"], r["copies"]) for r in rows.collect()) == [
+        ("bare", 0, "NULL", 1), ("own", 0, "created", 1), ("own", 1, "unblocked", 1), ("own", 2, "canceled", 1)]
+    got = {r["issuingCardId"]: (r["eventDates"], r["events"]) for r in reconcile.history_arrays(rows).collect()}
     assert got == {"own": ([D(2024, 1, 1), D(2024, 1, 5), D(2024, 1, 9)], ["created", "unblocked", "canceled"]),
                    "bare": ([D(1900, 1, 1)], ["NULL"])}
     partner = reconcile.event_history(divergent, log, "partner").collect()
-    assert [(r["issuingCardId"], r["events"]) for r in partner] == [("idle", ["created"])]
+    assert [(r["issuingCardId"], r["event"]) for r in partner] == [("idle", "created")]
 
 
 def test_long_history_goes_on_in_pages(divergent, log):
-    paged = reconcile.event_history(divergent, log, "own", page_size=2)
+    paged = reconcile.history_arrays(reconcile.event_history(divergent, log, "own"), page_size=2)
     pages = {(r["issuingCardId"], r["page"]): r["events"] for r in paged.collect()}
     assert pages == {("own", 0): ["created", "unblocked"], ("own", 1): ["canceled"], ("bare", 0): ["NULL"]}
-    whole = reconcile.event_history(divergent, log, "own")
-    for pairing in ("cross", "zip"):
-        assert reconcile.explode_history(paged, pairing).collect() == reconcile.explode_history(whole, pairing).collect()
+
+
+def test_history_has_one_shape_for_any_size(spark, divergent):
+    """One card holds a third of the log, most of it at one instant."""
+    n = F.col("id")
+    log = spark.range(30_000).select(
+        F.when(n % 3 == 0, "own").otherwise(F.concat(F.lit("x"), n % 5000)).alias("issuingCardId"),
+        (F.lit(T(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=F.when(n % 30 == 0, n % 7200).otherwise(0))).alias("logCreated"),
+        F.when(n % 2 == 0, "created").otherwise("canceled").alias("type"))
+    history = reconcile.event_history(divergent, log, "own").filter("issuingCardId = 'own'")
+    rows = sorted(history.collect(), key=lambda r: r["position"])
+    ends = [r["position"] + r["copies"] for r in rows]
+    assert ends[-1] == 10_000 and [r["position"] for r in rows] == [0, *ends[:-1]]
+    whole = reconcile.history_arrays(history).collect()
+    assert len(whole) == 1 and len(whole[0]["events"]) == 10_000
 
 
 def test_copies_of_an_event_are_spread_over_pages(spark, divergent):
     rows = [("own", T(2024, 1, 2), "created")] * 5 + [("own", T(2024, 1, 1), "created"), ("own", T(2024, 1, 2), "unblocked")]
     log = spark.createDataFrame(rows, "issuingCardId string, logCreated timestamp_ntz, type string")
-    pages = {r["page"]: (r["eventDates"], r["events"]) for r in reconcile.event_history(divergent, log, "own", page_size=3).collect()
+    pages = {r["page"]: (r["eventDates"], r["events"]) for r in reconcile.history_arrays(reconcile.event_history(divergent, log, "own"), 3).collect()
              if r["issuingCardId"] == "own"}
     one, two = D(2024, 1, 1), D(2024, 1, 2)
     assert pages == {0: ([one, two, two], ["created"] * 3), 1: ([two] * 3, ["created"] * 3), 2: ([two], ["unblocked"])}
@@ -96,12 +111,14 @@ def test_pairing_of_dates_and_events(divergent, log):
     assert sorted(r["event"] for r in both) == ["canceled", "created"]  # a virtual card is not unblocked
 
 
-def test_running_equals_a_plain_window(spark):
+@pytest.mark.parametrize("ranges,seconds", [(False, 7200), (True, 7200), (True, 3)])
+def test_running_equals_a_plain_window(spark, ranges, seconds):
     rnd = random.Random(1)
-    rows = [(rnd.choice(["hot", "hot", None, "a", "b"]), T(2024, 1, 1) + dt.timedelta(seconds=rnd.randrange(7200)), i,
+    rows = [(rnd.choice(["hot", "hot", None, "a", "b"]), T(2024, 1, 1) + dt.timedelta(seconds=37 * rnd.randrange(seconds)), i,
              rnd.choice([None, i])) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz, i int, v int")
-    got = running(df, ["k"], "t", ["t", "i"], last={"lastValue": F.col("v")}, total={"n": F.col("v").isNotNull().cast("long")})
+    got = running(df, ["k"], "t", ["t", "i"], last={"lastValue": F.col("v")}, total={"n": F.col("v").isNotNull().cast("long")},
+                  ranges={"r": F.floor(F.col("i") / 7)} if ranges else None)
     w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("lastValue", F.last("v", True).over(w)).withColumn("n", F.count("v").over(w))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
