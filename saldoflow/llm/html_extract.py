@@ -40,6 +40,7 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*+>"
     r"|<[a-zA-Z!?/][^>]*+\Z", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b(hidden)\b")
+_MODIFIER = re.compile(r"(?:no|has|with|without|is|hide|show)[-_]", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp", "noembed", "noframes", "math", "object"}
@@ -87,7 +88,9 @@ class Text(NamedTuple):
 
 
 def _names(value: str) -> set[str]:
-    return {x.lower() for x in _NAME.findall(value)} | set(re.split(r"[^a-z0-9]+", value.lower()))
+    """Words of class names; a name like no-sidebar or has-comments says what is elsewhere."""
+    told = " ".join(x for x in value.split() if not _MODIFIER.match(x))
+    return {x.lower() for x in _NAME.findall(told)} | set(re.split(r"[^a-z0-9]+", told.lower()))
 
 
 def _element(tag: str, attributes: str, parent: Element) -> Element:
@@ -163,7 +166,7 @@ def page_texts(html: str) -> tuple[list[Text], dict[str, list[str]]]:
                 if stack[depth].tag == tag:
                     close(depth)
                     break
-                if tag not in BLOCK and stack[depth].tag in BLOCK:
+                if tag not in BLOCK and tag not in ("select", "button") and stack[depth].tag in BLOCK:
                     break
             continue
         if tag in RAW:
