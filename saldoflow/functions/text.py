@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 # Portuguese month abbreviations.
 MONTHS = ["jan", "fev", "mar", "abr", "mai", "jun", "jul", "ago", "set", "out", "nov", "dez"]
 
+# A day label and what an amount keeps of its text.
+DAY_LABEL = r"(?i)(\d{1,2})/([a-z]{3})"
+NOT_OF_AN_AMOUNT = r"[^\d,]"
+
 # Replacements that turn a report heading into a column name.
 NAME_REPLACEMENTS = {"%": "percent", " ": "_", "/": "_", "-": "_", ".": "_"}
 
@@ -31,7 +35,7 @@ def parse_day_label(label: Column, as_of: dt.date) -> Column:
 
     A label without a known day and month gives NULL.
     """
-    pattern = r"(?i)(\d{1,2})/([a-z]{3})"
+    pattern = DAY_LABEL
     day = F.regexp_extract(label, pattern, 1)
     name = F.lower(F.regexp_extract(label, pattern, 2))
     number = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name).cast("int")
@@ -50,6 +54,6 @@ def parse_money(text: Column, rounding: str = "truncate") -> Column:
     Everything but digits and commas goes, the sign included; an empty rest is 0.
     ``truncate`` cuts the binary fraction (19,99 gives 1998), ``round`` does not.
     """
-    kept = F.regexp_replace(text, r"[^\d,]", "")
+    kept = F.regexp_replace(text, NOT_OF_AN_AMOUNT, "")
     cents = F.when(kept == "", F.lit(0.0)).otherwise(F.replace(kept, F.lit(","), F.lit(".")).cast("double")) * 100
     return (F.round(cents) if rounding == "round" else cents).cast("long")

@@ -136,8 +136,8 @@ def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str =
         *card, (F.col("_end") - F.col("copies")).alias("position"),
         F.coalesce(F.to_date("_at"), missing_date).alias("eventDate"),
         F.coalesce("_type", missing_type).alias("event"), "copies")
-    # Reads the counted events again, out of their shuffle, and not the log.
-    seen = counted.select("issuingCardId").distinct()
+    # With the number in use the plan is the one above, so its shuffle is read again and not the log.
+    seen = counted.groupBy("issuingCardId").agg(F.sum("copies").alias("_n")).filter("_n > 0")
     without_log = wanted.join(seen, "issuingCardId", "left_anti").select(
         *card, F.lit(0).cast("long").alias("position"), missing_date.alias("eventDate"),
         missing_type.alias("event"), F.lit(1).cast("long").alias("copies"))

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from saldoflow.operators import dims, purchases
+from saldoflow.operators import cards, dims, purchases, receivables, reconcile
 from saldoflow.operators.joins import join_splittable
 from saldoflow.plans import fixtures as fx
 from saldoflow.plans.queries import QUERIES
@@ -75,6 +75,47 @@ def test_hot_key_is_split_against_an_aggregated_side(spark, large_table_settings
     assert joined.agg(F.sum("n")).collect()[0][0] == log.count()
 
 
+def test_rows_of_one_instant_are_split(spark, large_table_settings):
+    """A third of the log is one purchase at one instant, as a bulk load may write it."""
+    log = hot_log(spark).withColumn("logTime", F.when(
+        F.col("endToEndId") == "hot", F.to_timestamp_ntz(F.lit("2024-01-05 10:00:00"))).otherwise(F.col("logTime")))
+    log = log.withColumn("logDate", F.to_date("logTime"))
+    found = purchases.previous_event_lookup(log)
+    window = re.findall(r"Window \[.*?\], \[(_part)#", final_plan(found))
+    assert window  # rows are windowed by part, never by purchase
+    hot = found.filter("endToEndId = 'hot'")
+    n = log.filter("endToEndId = 'hot' and type = 'reversed'").count()
+    last = log.filter("endToEndId = 'hot' and type = 'confirmed'").agg(F.max("issuingPurchaseLogId")).collect()[0][0]
+    assert hot.agg(F.max("rowNumber")).collect()[0][0] == n
+    assert [r[0] for r in hot.select("previousLogId").distinct().collect()] == [last]
+
+
+def test_issuer_rows_are_split(spark, large_table_settings):
+    log = hot_log(spark).withColumn("subIssuerTaxId", F.when(F.col("endToEndId") == "hot", "x").otherwise(F.col("endToEndId")))
+    names = log.select("subIssuerTaxId", F.lit("X").alias("subIssuerName")).distinct()
+    assert "skew=true" in final_plan(cards.of_issuer(log, names, "X"))
+
+
+def test_history_reads_the_log_once(spark, large_table_settings, tmp_path):
+    fx.card_log(spark, SF_DIR).write.parquet(f"{tmp_path}/log")
+    QUERIES["divergence_report"](spark, SF_DIR).write.parquet(f"{tmp_path}/divergent")
+    log, divergent = spark.read.parquet(f"{tmp_path}/log"), spark.read.parquet(f"{tmp_path}/divergent")
+    text = final_plan(reconcile.event_history(divergent, log, "own"))
+    assert len(re.findall(r"FileScan parquet [^\n]*/log\]", text)) == 1
+
+
+def test_plans_are_built_without_running_jobs(spark):
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        fact = QUERIES["installment_fact"](spark, SF_DIR)
+        rollup = receivables.dated_rollup(fact)
+        receivables.daily_receive_pay(rollup, fx.workspaces(spark, SF_DIR))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_join_splittable_ignores_missing_keys(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, w int")
