@@ -85,19 +85,19 @@ def company(spark):
 def test_rows_of_both_flags_are_paired_with_the_other_side(spark, company):
     one = D(2024, 1, 2)
     rows = [(one, D(2024, 1, 4), one, "visa", False), (one, one, D(2024, 1, 9), "visa", True)]
-    got = receivables.daily_receive_pay(fact(spark, rows), company).collect()
+    got = receivables.daily_receive_pay(receivables.dated_rollup(fact(spark, rows)), company).collect()
     that_day = [(r["isFactoring"], r["amountFromAcquirer"], r["amountToMerchant"]) for r in got if r["referenceDate"] == one]
     assert sorted(that_day) == [(False, 98, 99)] * 2 + [(True, 98, 99)] * 2
     # day 3 has no creation but lies between the first creation and the last due date
     assert [(r["network"], r["companyName"]) for r in got if r["referenceDate"] == D(2024, 1, 3)] == [(None, None)]
-    matched = receivables.daily_receive_pay(fact(spark, rows), company, match_factoring=True).collect()
+    matched = receivables.daily_receive_pay(receivables.dated_rollup(fact(spark, rows)), company, match_factoring=True).collect()
     that_day = [(r["isFactoring"], r["amountFromAcquirer"], r["amountToMerchant"]) for r in matched if r["referenceDate"] == one]
     assert sorted(that_day, key=repr) == [(False, 98, None), (True, 98, 99)]
 
 
 def test_unknown_network_matches_nothing(spark, company):
     one = D(2024, 1, 2)
-    got = receivables.daily_receive_pay(fact(spark, [(one, one, one, None, False)]), company).collect()
+    got = receivables.daily_receive_pay(receivables.dated_rollup(fact(spark, [(one, one, one, None, False)])), company).collect()
     sides = sorted([(r["isFactoring"], r["amountFromAcquirer"], r["amountToMerchant"]) for r in got], key=repr)
     assert sides == sorted([(False, None, None), (None, 98, None), (None, None, 99)], key=repr)
 
