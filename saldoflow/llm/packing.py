@@ -12,8 +12,10 @@ A null text is an empty document: its end token alone. Rows may repeat; each row
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -23,15 +25,27 @@ from pyspark.sql import functions as F
 
 from saldoflow.sources.storage import stored
 
-#: Words whose ids a task remembers, and the longest word that it does remember.
-CACHED_WORDS, CACHED_LENGTH = 400_000, 64
+#: Pieces of words whose ids a worker remembers, the longest one that it does, and characters taken at a time.
+CACHED_PIECES, CACHED_LENGTH, CHARACTERS = 600_000, 48, 1 << 20
 
+#: Runs of Latin letters and runs of ASCII signs and digits, between which no token can lie; where a word
+#: has an apostrophe or any other character, it is left whole.
+_PIECE = re.compile("[a-zÀ-ÖØ-öø-ɏ]+|[^a-zÀ-ÖØ-öø-ɏ \n]+")
+_ODD = re.compile("[^ -&(-~\nÀ-ÖØ-öø-ɏ]")
 
-class WordEncoder:
-    """Token ids of whole texts, encoded word by word and remembered.
 
-    Right for tokenizers that never join characters across a space or line feed into a token, and
-    drop both. Strings of special tokens in a text are ordinary text.
+def _pieces(text: str) -> list[str]:
+    text = text.encode().lower().decode()  # A-Z only
+    if not _ODD.search(text):
+        return _PIECE.findall(text)
+    return [p for w in text.replace("\n", " ").split(" ") for p in ([w] if _ODD.search(w) else _PIECE.findall(w))]
+
+
+class PieceEncoder:
+    """Token ids of whole texts, encoded by pieces of words and remembered.
+
+    For tokenizers that lower-case, drop white space, and part letters from signs. Strings of
+    special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -40,27 +54,40 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of the words, for the words that aren't remembered."""
-        missing = [w for w in set(words) if w not in self.known]
-        found = self.tokenizer.encode_batch(missing, add_special_tokens=False)
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(missing, found, strict=True)}
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        self.known.update((w, b) for w, b in ids.items() if len(w) <= CACHED_LENGTH)
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            before = self.known
-            ids = self._learn(words)
-            return b"".join([ids[w] if w in ids else before[w] for w in words])
+        self.known: dict[str, bytes] = {}
+
+    def ids(self, texts: Sequence[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit numbers."""
+        pieces = [_pieces(t) for t in texts]
+        distinct = {p for ps in pieces for p in ps}
+        ids = {p: self.known[p] for p in distinct if p in self.known}
+        missing = [p for p in distinct if p not in ids]
+        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        new = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(missing, found, strict=True)}
+        ids.update(new)
+        if len(self.known) < CACHED_PIECES:
+            self.known.update((p, b) for p, b in new.items() if len(p) <= CACHED_LENGTH)
+        return [b"".join(map(ids.__getitem__, ps)) for ps in pieces]
+
+
+def _portions(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts, in order, a bounded number of characters or a single text at a time."""
+    held, size = [], 0
+    for text in texts:
+        text = text.as_py() or ""
+        if held and size + len(text) > CHARACTERS:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
+@cache
+def _encoder(path: str) -> PieceEncoder:
+    """One per worker, which may run many tasks."""
+    return PieceEncoder(path)
 
 
 def first_fit_decreasing(lengths: Sequence[int], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,14 +116,14 @@ def _tokenised(path: str, size: int, end_id: int) -> Callable[[Iterator[pa.Recor
     """``doc_id``, number of ids and the checksum of each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             counts, sums = [], []
-            for text in batch.column(1):
-                ids = encoder.ids(text.as_py() or "") + end
-                counts.append(len(ids) // 4)
-                sums.append([zlib.crc32(ids[i:i + 4 * size]) for i in range(0, len(ids), 4 * size)])
+            for texts in _portions(batch.column(1)):
+                for ids in _encoder(path).ids(texts):
+                    ids += end
+                    counts.append(len(ids) // 4)
+                    sums.append([zlib.crc32(ids[i:i + 4 * size]) for i in range(0, len(ids), 4 * size)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.list_(pa.int64()))],
                 ["doc_id", "doc_tokens", "sums"])
