@@ -3,9 +3,11 @@
 A document's set holds its distinct word n-grams, as 64-bit hashes. Two documents link when their
 sets' Jaccard similarity reaches ``pct`` percent. The steps, each a Spark job over all documents:
 
-1. *Candidates.* Linked sets share one of each other's ``n - ceil(pct * n / 100) + 1`` smallest
-   tokens. Those are dealt by token, and only documents with a token that another set has as well
-   go on, through a bitmap of their digests. A bit set by chance costs time, not results.
+1. *Candidates.* A set that links shares ``ceil(pct * n / 100)`` of its ``n`` tokens with one other set, so
+   at least so many of its tokens stand in other sets at all. All tokens are dealt out to be counted,
+   packed by task and target; a token that several sets of a task share is counted there and sent once,
+   so a frequent one makes no large group. Only sets with enough shared tokens go on, through a
+   bitmap of their digests. A bit set by chance, or a copy counted twice, costs time, not results.
 2. *Tokens.* Equal sets become one node. Each node's tokens that other nodes have too are ordered
    from rare to frequent, which again gives a prefix that linked nodes share a token of.
 3. *Groups.* Every node is compared with the smallest node of the prefix token lists it meets most;
@@ -35,9 +37,9 @@ from saldoflow.llm.components import components
 from saldoflow.operators.joins import join_splittable
 from saldoflow.sources.storage import stored
 
-#: Documents to a bucket of step 1, and most tokens that a task holds before it hands them on.
-BUCKET_DOCS, HELD_TOKENS = 64, 2_000_000
-#: Most bits of the broadcast bitmap (16 MB). With more documents more bits are set by chance.
+#: Documents to a target of step 1, and most tokens that a task holds before it hands them on.
+TARGET_DOCS, HELD_TOKENS = 8192, 2_000_000
+#: Most bits of the broadcast bitmap (16 MB). With more candidates more bits are set by chance.
 MAX_BITS = 1 << 27
 
 
@@ -70,77 +72,116 @@ def set_digests(tokens: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
             ta.sums_by_row(ta.mix64(tokens ^ np.uint64(0x14057B7EF767814F)), counts))
 
 
-def _needed(n: np.ndarray, pct: int) -> np.ndarray:
-    """Least overlap with any set that a set of n links with."""
-    return -(-n * pct // 100)
-
+def _combined(token: np.ndarray, digest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which entries to send, the tokens that several sets share here, and the sets that share them."""
+    order = np.argsort(token)
+    again = token[order][1:] == token[order][:-1]
+    grouped = np.zeros(len(token), bool)
+    grouped[1:] |= again
+    grouped[:-1] |= again
+    send = np.ones(len(token), bool)
+    some = order[grouped]
+    some = some[np.lexsort((digest[some], token[some]))]
+    new_token = np.ones(len(some), bool)
+    new_token[1:] = token[some[1:]] != token[some[:-1]]
+    new_pair = new_token.copy()
+    new_pair[1:] |= digest[some[1:]] != digest[some[:-1]]
+    group = np.cumsum(new_token) - 1
+    several = np.bincount(group[new_pair], minlength=int(new_token.sum())) > 1
+    send[some[~new_pair | several[group]]] = False
+    return send, token[some[new_token]][several], digest[some[new_pair & several[group]]]
+
+
+def _token_blobs(words: int, targets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Tokens by target: 32 bits of each, the digest of each run of one set's tokens, and its length.
+
+    Digest 0 stands for several sets. Targets below 0 hold digests with counts of shared tokens.
+    """
 
-def _prefix_blobs(words: int, pct: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Tokens of the prefixes by bucket: 32 more bits of each token, and the digest of its set."""
+    def rows(target: np.ndarray, token: np.ndarray, digest: np.ndarray, length: np.ndarray | None) -> pa.RecordBatch:
+        order = np.argsort(target, kind="stable")
+        target, digest = target[order], digest[order]
+        some, at = np.unique(target, return_index=True)
+        cut = lambda x, places: pa.array([v.tobytes() for v in np.split(x, places[1:])], pa.binary())
+        if length is not None:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)), cut(token, at[:1].repeat(len(at))), cut(digest, at),
+                 cut(length[order].astype(np.uint32), at)], ["target", "tokens", "digests", "lengths"])
+        new = np.ones(len(target), bool)
+        new[1:] = (target[1:] != target[:-1]) | (digest[1:] != digest[:-1])
+        start = np.flatnonzero(new)
+        length = np.diff(np.append(start, len(target))).astype(np.uint32)
+        runs = np.searchsorted(start, at)
+        token = (token[order] // np.uint64(targets)).astype(np.uint32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), cut(token, at), cut(digest[start], runs), cut(length, runs)],
+            ["target", "tokens", "digests", "lengths"])
 
-    def dealt(tokens: list[np.ndarray], digests: list[np.ndarray]) -> pa.RecordBatch:
+    def dealt(tokens: list[np.ndarray], digests: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         token, digest = np.concatenate(tokens), np.concatenate(digests)
-        bucket = (token & np.uint64(buckets - 1)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        counts = np.bincount(bucket, minlength=buckets)
-        token = (token[order] >> np.uint64(24)).astype(np.uint32)
-        cuts = np.cumsum(counts)[:-1]
-        some = np.flatnonzero(counts)
-        tokens, digests = np.split(token, cuts), np.split(digest[order], cuts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array([tokens[b].tobytes() for b in some], pa.binary()),
-             pa.array([digests[b].tobytes() for b in some], pa.binary())], ["bucket", "tokens", "digests"])
+        send, several, sharing = _combined(token, digest)
+        token = np.concatenate([token[send], several])
+        digest = np.concatenate([digest[send], np.zeros(len(several), np.uint64)])
+        small = np.int16 if targets < 1 << 15 else np.int32  # of the former, sorting is much faster
+        yield rows((token % np.uint64(targets)).astype(small), token, digest, None)
+        if len(sharing):
+            sharing, counts = np.unique(sharing, return_counts=True)
+            yield rows(-1 - (sharing % np.uint64(targets)).astype(np.int32), token[:0], sharing, counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, digests, held = [], [], 0
         for batch in batches:
             for block in ta.blocks(batch.column(0)):
                 token, counts = shingle_sets(block, words)
-                rank = np.arange(len(token)) - np.repeat(np.cumsum(counts) - counts, counts)
-                low = rank <= np.repeat(counts - _needed(counts, pct), counts)
-                tokens.append(token[low])
-                digests.append(np.repeat(set_digests(token, counts)[0], counts)[low])
-                held += len(tokens[-1])
+                tokens.append(token)
+                digests.append(np.repeat(set_digests(token, counts)[0], counts))
+                held += len(token)
                 if held > HELD_TOKENS:
-                    yield dealt(tokens, digests)
+                    yield from dealt(tokens, digests)
                     tokens, digests, held = [], [], 0
         if held:
-            yield dealt(tokens, digests)
-
-    return run
-
-
-def _shared_bits(bits: int) -> Callable[[pa.Table], pa.Table]:
-    """Bits of the digests of sets with a token that another set has too, as words of 64."""
-
-    def run(table: pa.Table) -> pa.Table:
-        token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint32)
-        digest = np.frombuffer(b"".join(table.column("digests").to_pylist()), np.uint64)
-        order = np.lexsort((digest, token))
-        token, digest = token[order], digest[order]
-        new = np.ones(len(token), bool)
-        new[1:] = token[1:] != token[:-1]
-        other = np.zeros(len(token), bool)
-        other[1:] = ~new[1:] & (digest[1:] != digest[:-1])
-        at = np.cumsum(new) - 1
-        shared = np.bincount(at[other], minlength=at[-1] + 1 if len(at) else 0) > 0
-        bit = np.unique(digest[shared[at]] & np.uint64(bits - 1))
-        word, first = np.unique(bit >> np.uint64(6), return_index=True)
-        value = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first) if len(bit) else bit
-        return pa.table({"word": word.astype(np.int64), "bits": value.view(np.int64)})
+            yield from dealt(tokens, digests)
 
     return run
 
 
-def _candidate_bitmap(docs: DataFrame, words: int, pct: int) -> np.ndarray:
-    count = docs.count()
-    buckets = 1 << max(4, (count // BUCKET_DOCS).bit_length())
-    buckets = min(buckets, 1 << 24)  # the bits of a token below those kept
-    bits = min(1 << max(16, (16 * count).bit_length()), MAX_BITS)
+def _shared_counts(table: pa.Table) -> pa.Table:
+    """How many of a target's tokens each set shares with a set of another digest."""
+    def joined(name: str, kind: type) -> np.ndarray:
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+    digests, own = np.unique(joined("digests", np.uint64), return_inverse=True)
+    lengths = joined("lengths", np.uint32)
+    if table.column("target")[0].as_py() < 0:
+        counts = np.bincount(own, lengths, len(digests)).astype(np.int64)
+    else:
+        own = np.repeat(own, lengths)
+        # Token and set as one number; a set's copies fall together.
+        pair = np.unique((joined("tokens", np.uint32).astype(np.uint64) << np.uint64(32)) | own.astype(np.uint64))
+        token = pair >> np.uint64(32)
+        same = token[1:] == token[:-1]
+        shared = np.zeros(len(pair), bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        counts = np.bincount((pair[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(digests))
+    some = (counts > 0) & (digests > 0)
+    return pa.table({"d1": digests[some].view(np.int64), "shared": counts[some]})
+
+
+def _candidate_bitmap(docs: DataFrame, keys: DataFrame, words: int, pct: int) -> np.ndarray:
+    """Bits of the digests of sets of which enough tokens stand in other sets."""
+    targets = max(8, 1 << (keys.count() // TARGET_DOCS).bit_length())
     blobs = docs.select("text").mapInArrow(
-        _prefix_blobs(words, pct, buckets), "bucket int, tokens binary, digests binary")
-    found = blobs.groupBy("bucket").applyInArrow(_shared_bits(bits), "word bigint, bits bigint")
-    table = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        _token_blobs(words, targets), "target int, tokens binary, digests binary, lengths binary")
+    counts = blobs.groupBy("target").applyInArrow(_shared_counts, "d1 bigint, shared bigint").groupBy("d1").agg(
+        F.sum("shared").alias("shared"))
+    sizes = keys.filter("n > 0").groupBy("d1").agg(F.min("n").alias("n"))
+    found = stored(sizes.join(counts, "d1").filter(F.col("shared") >= _least(F.col("n"), pct)).select("d1"))
+    bits = min(1 << max(16, (16 * found.count()).bit_length()), MAX_BITS)
+    bit = F.col("d1").bitwiseAND(F.lit(bits - 1))
+    words_of = found.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+    table = words_of.toArrow()
     bitmap = np.zeros(bits >> 6, np.uint64)
     bitmap[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
     return bitmap
@@ -184,14 +225,17 @@ def _candidate_sets(words: int, bitmap) -> Callable[[Iterator[pa.RecordBatch]],
 
 
 def _shared_tokens(nodes: DataFrame, pct: int) -> DataFrame:
-    """Nodes that can link: ``node``, ``n``, ``tokens`` others have too, from rare to frequent."""
+    """Nodes that can link: ``node``, ``n``, ``tokens`` others have too, from rare to frequent.
+
+    A token is told by 57 bits below the logarithm of its frequency.
+    """
     rows = nodes.select("node", "n", F.explode("tokens").alias("token"))
-    counts = rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    entry = F.struct("df", "token")
-    kept = join_splittable(rows, counts, ["token"], "inner")
-    listed = kept.groupBy("node", "n").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    return listed.filter(F.size("entries") >= _least(F.col("n"), pct)).select(
-        "node", "n", F.col("entries.token").alias("tokens"))
+    counts = stored(rows.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select(
+        "token", F.floor(F.log2("df")).alias("level")))
+    key = F.shiftleft("level", 57).bitwiseOR(F.shiftrightunsigned("token", 7))
+    kept = rows.join(counts, "token").select("node", "n", key.alias("token"))
+    listed = kept.groupBy("node", "n").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    return listed.filter(F.size("tokens") >= _least(F.col("n"), pct))
 
 
 def _least(n, pct: int):
@@ -199,12 +243,16 @@ def _least(n, pct: int):
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """Those of the pairs ``(a, b)`` whose sets are similar enough."""
+    """Those of the pairs ``(a, b)`` whose sets are similar enough.
+
+    Many ``a`` may have one ``b``; both joins are of stored tables, so a hot one is split.
+    """
+    pairs = stored(pairs)
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = join_splittable(join_splittable(pairs, one, ["a"], "inner"), two, ["b"], "inner")
+    two = stored(sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")).join(
+        pairs.select("b").distinct(), "b"))
     shared = F.size(F.array_intersect("ta", "tb"))
-    return both.select("a", "b", "na", "nb", shared.alias("shared")).filter(
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", shared.alias("shared")).filter(
         100 * F.col("shared") >= pct * (F.col("na") + F.col("nb") - F.col("shared"))).select("a", "b")
 
 
@@ -248,9 +296,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, pct: int = 75) -> DataFrame
     ``component_id`` is the smallest ``doc_id`` that links lead to, the row's own included.
     """
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(_candidate_bitmap(docs, words, pct))
     keys = stored(docs.select("doc_id", "text").mapInArrow(
         _keys(words), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint"))
+    bitmap = spark.sparkContext.broadcast(_candidate_bitmap(docs, keys, words, pct))
     sets = docs.select("text").mapInArrow(
         _candidate_sets(words, bitmap), "d1 bigint, d2 bigint, n bigint, tokens array<bigint>")
     nodes = stored(sets.groupBy("d1", "d2").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
