@@ -10,7 +10,7 @@ sets' Jaccard similarity reaches ``pct`` percent. The steps, each a Spark job ov
    bitmap of their digests. A bit set by chance, or a copy counted twice, costs time, not results.
 2. *Tokens.* Equal sets become one node. Each node's tokens that other nodes have too are ordered
    from rare to frequent, which again gives a prefix that linked nodes share a token of.
-3. *Groups.* Every node is compared with the smallest node of the prefix token lists it meets most;
+3. *Groups.* Every node is compared with the most central node of the prefix token lists it meets most;
    components of these links partition similar documents into groups.
 4. *Token-group matrix.* Each group stores the union of its members' prefix tokens with the bounds
    of its members' sizes and of how many tokens can follow. A node's overlap with any member of a
@@ -38,7 +38,7 @@ from saldoflow.operators.joins import join_splittable
 from saldoflow.sources.storage import stored
 
 #: Documents to a target of step 1, and most tokens that a task holds before it hands them on.
-TARGET_DOCS, HELD_TOKENS = 8192, 2_000_000
+TARGET_DOCS, HELD_TOKENS = 4096, 2_000_000
 #: Most bits of the broadcast bitmap (16 MB). With more candidates more bits are set by chance.
 MAX_BITS = 1 << 27
 
@@ -257,8 +257,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 
 
 def _leader_pairs(prefixes: DataFrame) -> DataFrame:
-    """Each node with the smallest node of the lists it meets most often."""
-    leaders = prefixes.groupBy("token").agg(F.min("node").alias("leader"))
+    """Each node with the most central node of the lists it meets most often.
+
+    Copies of one text with changes of their own resemble it more than each other, and it has the most
+    frequent tokens of them.
+    """
+    central = F.max(F.struct("weight", (-F.col("node")).alias("minus")))
+    leaders = prefixes.groupBy("token").agg(central.alias("central")).select(
+        "token", (-F.col("central.minus")).alias("leader"))
     met = join_splittable(prefixes, leaders, ["token"], "inner").filter("node <> leader")
     counts = met.groupBy("node", "leader").agg(F.count("*").alias("hits"))
     best = F.max(F.struct("hits", (-F.col("leader")).alias("minus"))).alias("best")
@@ -305,8 +311,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, pct: int = 75) -> DataFrame
                    .withColumn("node", F.monotonically_increasing_id()))
     shared = stored(_shared_tokens(nodes, pct))
     prefix = F.slice("tokens", 1, (F.size("tokens") - _least(F.col("n"), pct) + 1).cast("int"))
-    prefixes = shared.select("node", "n", F.size("tokens").alias("size"), F.posexplode(prefix).alias("at", "token")).select(
-        "node", "n", "token", (F.col("size") - F.col("at")).alias("rest"))
+    weight = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda a, t: a + F.shiftright(t, 57)) / F.col("n")
+    prefixes = shared.select("node", "n", F.size("tokens").alias("size"), weight.alias("weight"), prefix.alias("prefix")).select(
+        "node", "n", "weight", "size", F.posexplode("prefix").alias("at", "token")).select(
+        "node", "n", "token", "weight", (F.col("size") - F.col("at")).alias("rest"))
 
     links = stored(_linked(_leader_pairs(prefixes), shared, pct))
     groups = components(links)
