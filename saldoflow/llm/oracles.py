@@ -13,6 +13,29 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)
 """
 
+NGRAM_JOIN = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT r, doc_id, array_to_string(ws[i:i + 4], ' ') AS t
+  FROM (SELECT r, doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)
+), n AS (SELECT r, doc_id, count(*) AS n FROM s GROUP BY r, doc_id),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.t = b.t AND a.r <> b.r
+    JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r
+  GROUP BY a.r, b.r HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))
+), reach(a, b) AS (
+  SELECT r, r FROM d
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.r = d.r JOIN reach ON reach.a = d.r JOIN d o ON o.r = reach.b
+GROUP BY d.r, d.doc_id
+"""
+
 WARC = r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages

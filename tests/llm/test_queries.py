@@ -17,7 +17,7 @@ from saldoflow.llm import language_id, quality
 from saldoflow.llm.queries import ORACLES, QUERIES, TOKENIZER
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-BUILT_BY_HAND = {"op1_language_id", "op3_ngram_join", "op5_quality", "op7_main_text", "op8_packing"}
+BUILT_BY_HAND = {"op1_language_id", "op5_quality", "op7_main_text", "op8_packing"}
 
 
 @pytest.fixture(scope="module", params=["given", "odd", "clashing"])
