@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter, defaultdict
 
 import brute
 import fixtures
@@ -64,6 +65,33 @@ def test_components(spark, seed):
     assert sorted((r.node, r.root) for r in got) == sorted(expected.items())
 
 
+def test_no_shared_token_is_missed():
+    """Counts of step 1 of the n-gram join, whatever rows a task has; copies may only add."""
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(60))) for _ in range(200)] + ["a b c d e f g"] * 5 + [None]
+    texts += [f"{t} x" for t in texts[:40]]
+    targets, groups, parts, got = 8, defaultdict(list), defaultdict(list), {}
+
+    def deal(table, column, into):
+        for i in range(table.num_rows):
+            into[table.column(column)[i].as_py()].append(table.slice(i, 1))
+
+    for rows in (texts[:90], texts[90:91], texts[91:]):
+        batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["text"])
+        for blob in ngram_join._token_blobs(5, targets)(iter([batch])):
+            deal(pa.Table.from_batches([blob]), "target", groups)
+    for tables in groups.values():
+        deal(ngram_join._shared_counts(targets)(pa.concat_tables(tables)), "part", parts)
+    for tables in parts.values():
+        summed = ngram_join._summed(pa.concat_tables(tables))
+        got |= dict(zip(summed.column("d1").to_pylist(), summed.column("shared").to_pylist(), strict=True))
+    block = next(ta.blocks(pa.array(texts, pa.string())))
+    digests = ngram_join.set_digests(*ngram_join.shingle_sets(block, 5))[0].view(np.int64).tolist()
+    sets = {d: brute.shingles(t) for d, t in zip(digests, texts, strict=True)}
+    holders = Counter(x for s in sets.values() for x in s)
+    assert all(got.get(d, 0) >= sum(holders[x] > 1 for x in s) for d, s in sets.items())
+
+
 # --- operators -----------------------------------------------------------------------------
 
 def test_index_takes_batches(spark):
