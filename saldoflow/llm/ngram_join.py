@@ -145,27 +145,44 @@ def _token_blobs(words: int, targets: int) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """How many of a target's tokens each set shares with a set of another digest."""
-    def joined(name: str, kind: type) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-    digests, own = np.unique(joined("digests", np.uint64), return_inverse=True)
-    lengths = joined("lengths", np.uint32)
-    if table.column("target")[0].as_py() < 0:
-        counts = np.bincount(own, lengths, len(digests)).astype(np.int64)
-    else:
-        own = np.repeat(own, lengths)
-        # Token and set as one number; a set's copies fall together.
-        pair = np.unique((joined("tokens", np.uint32).astype(np.uint64) << np.uint64(32)) | own.astype(np.uint64))
-        token = pair >> np.uint64(32)
-        same = token[1:] == token[:-1]
-        shared = np.zeros(len(pair), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        counts = np.bincount((pair[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(digests))
-    some = (counts > 0) & (digests > 0)
-    return pa.table({"d1": digests[some].view(np.int64), "shared": counts[some]})
+def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _shared_counts(parts: int) -> Callable[[pa.Table], pa.Table]:
+    """How many of a target's tokens each set shares with a set of another digest, packed by part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        digests, own = np.unique(_joined(table, "digests", np.uint64), return_inverse=True)
+        lengths = _joined(table, "lengths", np.uint32)
+        if table.column("target")[0].as_py() < 0:
+            counts = np.bincount(own, lengths, len(digests)).astype(np.int64)
+        else:
+            own = np.repeat(own, lengths)
+            # Token and set as one number; a set's copies fall together.
+            pair = np.unique((_joined(table, "tokens", np.uint32).astype(np.uint64) << np.uint64(32)) | own.astype(np.uint64))
+            token = pair >> np.uint64(32)
+            same = token[1:] == token[:-1]
+            shared = np.zeros(len(pair), bool)
+            shared[1:] |= same
+            shared[:-1] |= same
+            counts = np.bincount((pair[shared] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(digests))
+        some = (counts > 0) & (digests > 0)
+        digests, counts = digests[some], counts[some].astype(np.uint32)
+        part = (digests % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, at = np.unique(part[order], return_index=True)
+        cut = lambda x: pa.array([v.tobytes() for v in np.split(x[order], at[1:])][:len(part)], pa.binary())
+        return pa.table({"part": pa.array(part, pa.int32()), "digests": cut(digests), "counts": cut(counts)})
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Shared tokens of each set of a part."""
+    digests, own = np.unique(_joined(table, "digests", np.uint64), return_inverse=True)
+    counts = np.bincount(own, _joined(table, "counts", np.uint32), len(digests)).astype(np.int64)
+    return pa.table({"d1": digests.view(np.int64), "shared": counts})
 
 
 def _candidate_bitmap(docs: DataFrame, keys: DataFrame, words: int, pct: int) -> np.ndarray:
@@ -173,8 +190,8 @@ def _candidate_bitmap(docs: DataFrame, keys: DataFrame, words: int, pct: int) ->
     targets = max(8, 1 << (keys.count() // TARGET_DOCS).bit_length())
     blobs = docs.select("text").mapInArrow(
         _token_blobs(words, targets), "target int, tokens binary, digests binary, lengths binary")
-    counts = blobs.groupBy("target").applyInArrow(_shared_counts, "d1 bigint, shared bigint").groupBy("d1").agg(
-        F.sum("shared").alias("shared"))
+    packed = blobs.groupBy("target").applyInArrow(_shared_counts(targets), "part int, digests binary, counts binary")
+    counts = packed.groupBy("part").applyInArrow(_summed, "d1 bigint, shared bigint")
     sizes = keys.filter("n > 0").groupBy("d1").agg(F.min("n").alias("n"))
     found = stored(sizes.join(counts, "d1").filter(F.col("shared") >= _least(F.col("n"), pct)).select("d1"))
     bits = min(1 << max(16, (16 * found.count()).bit_length()), MAX_BITS)
