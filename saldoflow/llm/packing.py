@@ -29,9 +29,9 @@ from saldoflow.sources.storage import stored
 CACHED_PIECES, CACHED_LENGTH, CHARACTERS = 600_000, 48, 1 << 20
 
 #: Runs of Latin letters and runs of ASCII signs and digits, between which no token can lie; where a word
-#: has an apostrophe or any other character, it is left whole.
+#: has an apostrophe or any other character, it is left whole; so has U+0130, whose lower case is two characters.
 _PIECE = re.compile("[a-zÀ-ÖØ-öø-ɏ]+|[^a-zÀ-ÖØ-öø-ɏ \n]+")
-_ODD = re.compile("[^ -&(-~\nÀ-ÖØ-öø-ɏ]")
+_ODD = re.compile("[^ -&(-~\nÀ-ÖØ-öø-įı-ɏ]")
 
 
 def _pieces(text: str) -> list[str]:

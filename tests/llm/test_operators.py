@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from saldoflow.llm import exact_dedup, html_extract, license_scan, mixing, ngram_join, packing, quality, warc
@@ -185,6 +186,15 @@ def test_pieces_encode_like_whole_texts():
     assert encoder.ids(texts) == whole and encoder.ids(texts[::-1]) == whole[::-1]
 
 
+def test_every_plain_character_encodes_as_in_the_whole_text():
+    """The dotted capital I becomes two characters, the second of which joins a sign after it."""
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    chars = [chr(c) for c in [*range(0x20, 0x7F), *range(0xC0, 0x250)]]
+    texts = ["GAZETES\u0130."] + [x for c in chars for x in (f"a{c}.", f".{c}a", f"{c}{c}!1", f"1{c}.x y")]
+    whole = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert packing.PieceEncoder(TOKENIZER).ids(texts) == whole
+
+
 @pytest.mark.parametrize("k", [0, 1, 7, 999, 1000, 1001])
 def test_kth_largest(spark, k):
     keys = [float((i * 7919) % 1000) / 7 for i in range(990)] + [3.0] * 10
