@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saldoflow.operators.joins import join_splittable
 from saldoflow.sources.storage import stored
 
-#: Share of the children's importance in a node's; least importance; least pages of a node, and share
-#: of its host's pages, for it to be part of the host's template.
-DAMPING, LEAST_IMPORTANCE, LEAST_PAGES, LEAST_SHARE = 0.9, 0.3, 4, 0.05
+#: Share of the children's importance in a node's; least importance; least pages of a node for it to be
+#: part of the host's template.
+DAMPING, LEAST_IMPORTANCE, LEAST_PAGES = 0.9, 0.3, 4
 
 _MARKUP = re.compile(
     r"<!--(?:.*?--!?>|.*)"
@@ -216,12 +217,11 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What each page adds to the undecided nodes of its host's tree."""
     for batch in batches:
         hosts, paths, kinds, features, digests = [], [], [], [], []
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        for host, html, digest in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             html = html.as_py() or ""
             blocks, children = page_texts(html)
             own = {(p, 0, _hash(b.text)) for b in blocks for p in b.branch}
             own |= {(p, 1, _hash(" ".join(tags))) for p, tags in children.items()}
-            digest = _hash(html) if own else 0
             for path, kind, feature in own:
                 hosts.append(host), paths.append(path), kinds.append(kind), features.append(feature), digests.append(digest)
         yield pa.RecordBatch.from_arrays(
@@ -233,10 +233,22 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
+def _digest() -> Column:
+    return F.xxhash64(F.coalesce("html", F.lit("")))
+
+
+def tree_rows(pages: DataFrame) -> DataFrame:
+    """What each distinct page adds to its host's tree: ``host``, ``path``, ``kind``, ``feature``, ``digest``."""
+    return pages.select(host_of(F.col("url")).alias("host"), "html", _digest().alias("digest")).mapInArrow(
+        _tree_rows, "host string, path string, kind int, feature bigint, digest bigint").distinct()
+
+
 def site_style_tree(pages: DataFrame) -> DataFrame:
     """Undecided nodes of every host's tree: ``host``, ``path``, ``pages``, ``presentation``, ``content``, ``importance``."""
-    rows = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        _tree_rows, "host string, path string, kind int, feature bigint, digest bigint").distinct()
+    return _tree(tree_rows(pages))
+
+
+def _tree(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("host", "path", "kind", "feature").agg(F.count("*").alias("c"))
     shown, told = F.col("kind") == 1, F.col("kind") == 0
     logs = F.col("c") * F.log("c")
@@ -252,15 +264,16 @@ def site_style_tree(pages: DataFrame) -> DataFrame:
 
 
 def unimportant(pages: DataFrame) -> DataFrame:
-    """``host`` and ``low``, the paths of its template that show the same on all its pages.
+    """``host``, ``digest`` of a page and ``low``, its own paths that show the same on all pages of the host.
 
-    A path is on at least ``LEAST_SHARE`` of its host's pages, which bounds the array.
+    Pages without such paths have no row. Two pages of a host with one digest would share their paths,
+    which changes nothing, as each path is low for the whole host.
     """
-    sizes = pages.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.count("*").alias("all"))
-    tree = site_style_tree(pages).filter(
-        (F.col("importance") < LEAST_IMPORTANCE) & (F.col("pages") >= LEAST_PAGES))
-    part = tree.join(sizes, "host").filter(F.col("pages") >= LEAST_SHARE * F.col("all"))
-    return part.groupBy("host").agg(F.collect_set("path").alias("low"))
+    rows = stored(tree_rows(pages))
+    low = stored(_tree(rows).filter(
+        (F.col("importance") < LEAST_IMPORTANCE) & (F.col("pages") >= LEAST_PAGES)).select("host", "path"))
+    own = rows.filter("kind = 1").select("host", "path", "digest")  # one row per page and path
+    return join_splittable(own, low, ["host", "path"], "inner").groupBy("host", "digest").agg(F.collect_set("path").alias("low"))
 
 
 def _extracted(kind: pa.DataType | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -278,7 +291,8 @@ def _extracted(kind: pa.DataType | None = None) -> Callable[[Iterator[pa.RecordB
 def extract(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages``: ``page_id``, ``url``, ``text``, ``n_chars``."""
     low = stored(unimportant(pages))
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(low, "host", "left")
+    named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), _digest().alias("digest"))
+    rows = join_splittable(named, low, ["host", "digest"])
     kind = pages.schema["page_id"].dataType.simpleString()
     return rows.select("page_id", "url", "html", "low").mapInArrow(
         _extracted(), f"page_id {kind}, url string, text string, n_chars bigint")

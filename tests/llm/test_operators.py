@@ -248,6 +248,18 @@ def test_branches_that_show_the_same_everywhere_are_removed(spark):
     assert importance["div"] < 0.1 < 0.9 <= importance["div.x"]
 
 
+def test_a_host_of_any_size_loses_its_repeated_branches(spark):
+    """A notice on 4 of 200 pages, and one on all 41 distinct pages of a host with 1,000 rows."""
+    def page(i, notice):
+        return f'<div class="box">{notice}<div class="x">text {i}</div></div>'
+
+    note = '<div class="note">Shown on every page</div>'
+    rows = [(i, "http://large.example", page(i, note if i < 4 else "")) for i in range(200)]
+    rows += [(1000 + i, "http://copies.example", page(max(0, i - 959), note)) for i in range(1000)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(200)} | {1000 + i: f"text {max(0, i - 959)}" for i in range(1000)}
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
