@@ -8,8 +8,10 @@ from each page.
 
 The tree starts from what tags and well-known names say: menus, footers, forms, adverts,
 comments and the like have no importance, and the text of an article's own elements has full importance,
-also where many pages share a passage. The statistics decide on all other branches. Where a page
-has an article (else a main or content element), text outside it isn't main text.
+also where many pages share a passage. Inside an article or main element only tags, roles, hidden
+elements and whole known class names are dropped, and headings never by a name. The statistics decide
+on all other branches, and on a main element's own text on a page that has an article. Where a page
+has an article or main element (else a content element), text outside it isn't main text.
 
 A null html is an empty page; a null or odd url belongs to the host ''. Markup may be cut off
 anywhere. Equal pages of a host count once in the tree.
@@ -44,7 +46,7 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|\b(
 _MODIFIER = re.compile(r"(?:no|has|with|without|is|hide|show)[-_]", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
-RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp", "noembed", "noframes", "math", "object"}
+RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "xmp", "noembed", "noframes", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
@@ -57,7 +59,7 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
         "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
         "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 #: Elements without main text, by tag, role and words of class and id.
-DROPPED_TAGS = {"head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "fieldset"} | RAW
+DROPPED_TAGS = {"head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "fieldset", "annotation", "annotation-xml"} | RAW
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "search", "complementary", "dialog", "alert", "alertdialog", "menu", "menubar", "form"}
 DROPPED_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "alert", "banner", "breadcrumb", "breadcrumbs",
@@ -67,6 +69,12 @@ DROPPED_NAMES = {
     "respond", "search", "share", "sharing", "sidebar", "sidebars", "signup", "social", "sponsor", "sponsored", "subscribe",
     "subscription", "teaser", "toolbar", "widget", "widgets",
 }
+#: Words that stand beside one of DROPPED_NAMES in known class names, as in related-posts; not so related-work.
+FILLERS = {
+    "area", "articles", "bar", "block", "body", "box", "btn", "button", "buttons", "container", "form", "icons", "inner", "item", "items",
+    "label", "link", "links", "list", "outer", "panel", "posts", "slot", "stories", "unit", "wrap", "wrapper",
+}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 COMMENT_NAMES = {"comment", "comments", "reply", "replies", "respond", "disqus"}
 CONTENT_NAMES = {"article", "content", "entry", "main", "post", "story"}
 #: Elements whose text is content wherever a content element holds them.
@@ -79,6 +87,7 @@ class Element(NamedTuple):
     level: int  # 3 in an article, 2 in a main element, 1 in one named content, 0 else
     dropped: bool
     branch: tuple[str, ...]  # paths of the enclosing nodes on which the statistics decide
+    asked: tuple[str, ...]  # the same with nodes of a main element's own text, for a page with an article
     path: str
 
 
@@ -86,6 +95,7 @@ class Text(NamedTuple):
     text: str
     level: int
     branch: tuple[str, ...]
+    asked: tuple[str, ...]
 
 
 def _names(value: str) -> set[str]:
@@ -94,8 +104,19 @@ def _names(value: str) -> set[str]:
     return {x.lower() for x in _NAME.findall(told)} | set(re.split(r"[^a-z0-9]+", told.lower()))
 
 
+def _known(value: str) -> set[str]:
+    """Those of DROPPED_NAMES that stand in class names made of nothing but known words."""
+    found = set()
+    for name in value.split():
+        name = re.sub(r"[0-9]+(?:x[0-9]+)?", "", name)
+        words = _names(name) - {""}
+        if words <= DROPPED_NAMES | FILLERS | {re.sub("[^a-z]+", "", name.lower())}:
+            found |= words & DROPPED_NAMES
+    return found
+
+
 def _element(tag: str, attributes: str, parent: Element) -> Element:
-    names, style, role, hidden = set(), tag, "", False
+    names, classes, own_id, style, role, hidden = set(), "", "", tag, "", False
     if attributes and not attributes.isspace():
         for key, value, flag in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
@@ -103,6 +124,10 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
                 hidden = True
             elif key in ("class", "id"):
                 names |= _names(value)
+                if key == "class":
+                    classes = value
+                else:
+                    own_id = value.strip().lower()
                 style += "." + re.sub(r"[0-9]+", "#", " ".join(sorted(value.split())))
             elif key == "role":
                 role = value.lower()
@@ -116,7 +141,12 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
         level = max(level, 2)
     elif tag in ("div", "section", "td") and names & CONTENT_NAMES and not names & DROPPED_NAMES:
         level = max(level, 1)
-    bad = names & DROPPED_NAMES
+    if level and tag in HEADINGS:
+        bad = set()
+    elif parent.level >= 2 and tag != "article":
+        bad = _known(classes) | {own_id} & COMMENT_NAMES & DROPPED_NAMES
+    else:
+        bad = names & DROPPED_NAMES
     if tag in ("html", "body"):
         dropped = False
     elif article or tag == "main":
@@ -126,23 +156,27 @@ def _element(tag: str, attributes: str, parent: Element) -> Element:
     else:
         dropped = parent.dropped or hidden or bool(bad) or tag in DROPPED_TAGS or tag == "header" or role in DROPPED_ROLES
     path = f"{parent.path}/{style}"
-    sure = tag in ("html", "body") or level and tag in TEXT_TAGS and not names or level > parent.level or tag not in BLOCK
-    return Element(tag, level, dropped, parent.branch if sure else (*parent.branch, path), path)
+    plain = not classes if tag in HEADINGS or tag == "p" else not names
+    sure = tag in ("html", "body") or level and tag in TEXT_TAGS and plain or level > parent.level or tag not in BLOCK
+    asked = level == 2 and level == parent.level and tag in BLOCK
+    return Element(tag, level, dropped, parent.branch if sure else (*parent.branch, path),
+                   (*parent.asked, path) if asked or not sure else parent.asked, path)
 
 
 def page_texts(html: str) -> tuple[list[Text], dict[str, list[str]]]:
     """Blocks of text that aren't dropped, in order, and the children's styles of undecided nodes."""
-    stack = [Element("", 0, False, (), "")]
+    stack = [Element("", 0, False, (), (), "")]
     blocks: list[Text] = []
     held: list[str] = []
     children: dict[str, list[str]] = {}
+    asked: dict[str, list[str]] = {}
     place, end = 0, len(html)
 
     def flush() -> None:
         if held:
             text = " ".join(unescape("".join(held)).split())
             if text:
-                blocks.append(Text(text, stack[-1].level, stack[-1].branch))
+                blocks.append(Text(text, stack[-1].level, stack[-1].branch, stack[-1].asked))
             held.clear()
 
     def close(depth: int) -> None:
@@ -171,7 +205,7 @@ def page_texts(html: str) -> tuple[list[Text], dict[str, list[str]]]:
                     break
             continue
         if tag in RAW:
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
+            if not attributes.endswith("/") or tag != "svg":
                 stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, place)
                 place = stop.end() if stop else end
             continue
@@ -194,8 +228,15 @@ def page_texts(html: str) -> tuple[list[Text], dict[str, list[str]]]:
             children.setdefault(element.branch[-1], [])
             if element.path != element.branch[-1]:
                 children[element.branch[-1]].append(element.tag)
+        if element.level == 2 and element.asked:
+            asked.setdefault(element.asked[-1], [])
+            if element.path != element.asked[-1]:
+                asked[element.asked[-1]].append(element.tag)
         stack.append(element)
     flush()
+    if any(b.level == 3 for b in blocks):  # the statistics decide on a main element's text beside an article
+        blocks = [b._replace(branch=b.asked) if b.level == 2 else b for b in blocks]
+        children = asked | children
     return blocks, children
 
 
@@ -204,7 +245,7 @@ def main_text(html: str, low: set[str]) -> str:
     blocks, _ = page_texts(html)
     blocks = [b for b in blocks if not low.intersection(b.branch)]
     level = max((b.level for b in blocks), default=0)
-    return "\n\n".join(b.text for b in blocks if b.level == level)
+    return "\n\n".join(b.text for b in blocks if b.level >= min(level, 2))
 
 
 def _hash(text: str) -> int:

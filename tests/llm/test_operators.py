@@ -232,6 +232,29 @@ def test_main_text(html, blocks):
     assert html_extract.main_text(html, set()) == "\n\n".join(blocks)
 
 
+KEPT = [
+    ("<main><h1>Title</h1><p>text</p><article class=card>teaser</article></main>", ["Title", "text", "teaser"]),
+    ("<main><h1>Title</h1><article><p>text</p></article></main><div class=content>other</div>", ["Title", "text"]),
+    ("<article><h2 id='search-results'>Search results</h2><section id='related-work'><p>work</p></section><h2 id='social-sharing'>Sharing</h2>"
+     "<section class='related-work'><p>more</p></section></article>", ["Search results", "work", "Sharing", "more"]),
+    ("<article><p>where <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p></article>", ["where x=1 holds"]),
+    ("<article><p>a</p><div class='related-posts'>r</div><div class='adBox'>b</div><div class='ad-300x250'>c</div><div class='comment-list'>d"
+     "</div><section id='comments'>e</section><nav>f</nav><div role='search'>g</div></article>", ["a"]),
+]
+
+
+@pytest.mark.parametrize("html,blocks", KEPT)
+def test_text_of_articles_and_main_elements_stays(html, blocks):
+    assert html_extract.main_text(html, set()) == "\n\n".join(blocks)
+
+
+def test_statistics_decide_on_main_text_beside_an_article(spark):
+    html = "<main><h1>Title {0}</h1><div class='intro'>Shown on every page</div><p class='lead'>lead {0}</p><article>text {0}</article><h4>Read on</h4></main>"
+    pages = spark.createDataFrame([(i, "http://m.example", html.format(i)) for i in range(8)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in html_extract.extract(pages).collect()}
+    assert got == {i: [f"Title {i}", f"lead {i}", f"text {i}"] for i in range(8)}
+
+
 def test_branches_that_show_the_same_everywhere_are_removed(spark):
     def page(i):
         return (f'<body><div class="box"><div class="top-{i}">Welcome to our site</div><p>unique {i}</p><section><span>Shown on every page</span>'
