@@ -24,7 +24,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def exact_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, by an index that begins empty."""
     index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
-    kept = exact_dedup.deduplicate(docs, index)
+    kept = exact_dedup.deduplicate(docs, index, batches=2)
     index.drop()  # the decisions are stored
     return kept
 

@@ -11,6 +11,8 @@ being larger than any other; of rows that repeat both, exactly one stays.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,31 +76,48 @@ class DigestIndex:
         return groups
 
 
-def mark(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def _appended(digests: DataFrame, index: DigestIndex, batches: int) -> DataFrame:
+    """``index.append`` of each batch in order of ``doc_id``, null last; one row per digest and batch."""
+    shares = [i / batches for i in range(1, batches)]
+    cuts = digests.agg(F.percentile_approx("doc_id", shares)).first()[0] if shares else None
+    before = F.lit(False)
+    found = []
+    for cut in [*sorted(set(cuts or [])), None]:
+        here = F.lit(True) if cut is None else F.coalesce(F.col("doc_id") <= cut, F.lit(False))
+        found.append(index.append(digests.filter(here & ~before)))
+        before = here
+    return reduce(DataFrame.unionByName, found)
+
+
+def mark(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
     """What becomes of each row of ``docs``, whose new digests are added to the index.
 
     Returns ``doc_id``, ``keep_id`` (row that stays, perhaps of an earlier batch), ``group_size``
-    (equal rows in ``docs``), ``kept`` and ``text_sha256``.
+    (equal rows in ``docs``), ``kept`` and ``text_sha256``. The rows reach the index in so many
+    ``batches`` by ``doc_id``, which changes no result.
     """
     digests = stored(docs.select("doc_id", text_digest(F.col("text")).alias("digest"),
                                  F.monotonically_increasing_id().alias("row")))
-    groups = index.append(digests)
+    appended = _appended(digests, index, batches)
+    groups = appended.groupBy("digest").agg(
+        F.first("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"),
+        F.max(F.when(F.col("new"), F.col("keep_row"))).alias("keep_row"))
     return join_splittable(digests, groups, ["digest"], "inner").select(
         "doc_id", "keep_id", "group_size",
-        (F.col("new") & (F.col("row") == F.col("keep_row"))).alias("kept"),
+        F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, batches: int = 1) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; their digests join the index.
 
     Rows meet their decision by digest and ``doc_id``, so copies of one text spread over all
-    tasks. Rows that repeat both leave one.
+    tasks. Rows that repeat both leave one. ``batches`` as for ``mark``.
     """
     named = docs.select(F.struct("*").alias("doc"), text_digest(F.col("text")).alias("digest"),
                         F.col("doc_id").alias("id"))
-    groups = index.append(
-        named.select("digest", F.col("id").alias("doc_id"), F.lit(0).cast("bigint").alias("row")))
+    digests = stored(named.select("digest", F.col("id").alias("doc_id"), F.lit(0).cast("bigint").alias("row")))
+    groups = _appended(digests, index, batches)
     stays = groups.filter("new").select("digest", F.col("keep_id").alias("id"))
     on = (F.col("l.digest") == F.col("r.digest")) & F.col("l.id").eqNullSafe(F.col("r.id"))
     return (named.alias("l").join(stays.alias("r"), on, "left_semi")

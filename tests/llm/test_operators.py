@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from saldoflow.llm import exact_dedup, html_extract, license_scan, mixing, ngram_join, packing, quality, warc
+from saldoflow.llm import exact_dedup, html_extract, license_scan, mixing, ngram_join, packing, quality, queries, warc
 from saldoflow.llm import textarrays as ta
 from saldoflow.llm.components import components
 from saldoflow.llm.queries import MIX_SEED, MIX_WEIGHTS, TOKENIZER
@@ -114,6 +114,23 @@ def test_index_takes_batches(spark):
     again.drop()
 
 
+def test_the_query_and_the_stage_meet_a_filled_index(spark, tmp_path, monkeypatch):
+    folder, held, append = fixtures.write(tmp_path, "odd"), [], exact_dedup.DigestIndex.append
+
+    def noted(index, digests):
+        held.append(index.read().count())
+        return append(index, digests)
+
+    monkeypatch.setattr(exact_dedup.DigestIndex, "append", noted)
+    docs = queries.documents(spark, folder)
+    texts = {exact_dedup_key(r["text"]) for r in docs.collect()}
+    for run in (lambda: queries.op6_exact_dedup(spark, folder).filter("kept"),
+                lambda: corpus_pipeline.exact_deduplication(spark, docs, folder)):
+        held.clear()
+        assert run().count() == len(texts)
+        assert len(held) > 1 and held[0] == 0 < held[1]
+
+
 def test_archive_is_rebuilt_to_the_byte(spark):
     folder = new_folder(spark, "warc")
     html = fixtures.PAGE.format("é" * 600)
