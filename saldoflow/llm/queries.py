@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from saldoflow.llm import (
     exact_dedup,
+    hash_forest,
     html_extract,
     language_id,
     license_scan,
@@ -20,6 +21,8 @@ from saldoflow.llm import (
     oracles,
     packing,
     quality,
+    spelling,
+    turn_repair,
     warc,
 )
 from saldoflow.sources.storage import new_folder
@@ -95,6 +98,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turn_repair.repair(turn_repair.damage(rows), rows)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir), damage=199)
+
+
+def op13_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = hash_forest.HashForest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", top=20)
+    found = forest.search(forest.rows.filter("id % 20 = 0"))
+    return found.select(F.col("query_id").cast("long"), "rank", F.col("id").cast("long").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_mix_sources": op2_mix_sources,
@@ -106,6 +124,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_line_rules": op9_line_rules,
     "op10_warc": op10_warc,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_spelling": op12_spelling,
+    "op13_hash_forest": op13_hash_forest,
 }
 
 ORACLES: dict[str, str] = {
@@ -115,4 +136,6 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": oracles.EXACT_DEDUP,
     "op9_line_rules": oracles.LINE_RULES,
     "op10_warc": oracles.WARC,
+    "op11_turn_repair": oracles.turn_repair(),
+    "op12_spelling": oracles.SPELLING,
 }

@@ -36,6 +36,9 @@ def documents():
     rows += [(5000 + i, COPY, "en", "src0") for i in range(40)]  # a hot group of copies
     rows += [(6000 + i, COPY.replace("owls", f"owls{i}", 1), "en", "src0") for i in range(30)]  # and of near copies
     rows += [rows[12], rows[12], rows[0]]  # repeated rows
+    spelt = ["receive"] * 60 + ["recieve"] * 6 + ["recive"] * 7 + ["receeive"] * 5 + ["aardvark"] * 25 + ["ardvark"] * 5 + ["façade"] * 34
+    spelt += ["facade"] * 5 + ["façades"] * 220 + ["fa×ade"] * 5 + ["z" * 70] * 5 + ["z" * 69] * 32 + ["z" * 64] * 5 + ["z" * 63] * 32 + ["z" * 5000] * 5
+    rows += [(8000 + i, f"{w.upper() if i % 7 == 0 else w}, {w}-{w} {w}s?", "en", "other") for i, w in enumerate(spelt)]
     text = [r[1] for r in rows]
     return pa.table({
         "doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array(text, pa.string()),
@@ -65,8 +68,32 @@ def pages():
     return pa.table({"page_id": pa.array(ids, pa.int64()), "url": pa.array(urls, pa.string()), "html": pa.array(htmls, pa.string())})
 
 
+def conversations():
+    rows = [(c, t, ["user", "assistant"][t % 2], f"{'Ask' if t % 2 == 0 else 'Answer'} {t} of {c}.") for c in range(40) for t in range(c % 9)]
+    rows += [(50, t, ["user", "assistant"][t % 2], f"Row {t % 200}." if t % 5 else f"row {t}") for t in range(3000)]  # a hot one, with repeats
+    rows += [(60, 0, "system", "Be brief."), (60, 2, "user", " \t\n\x0b\x0c\r "), (60, 9, "user", "Cut off"), (60, 9, "user", "Also at 9?")]
+    rows += [(61, None, "tool", "No turn!"), (61, None, None, None), (61, 3, "", "no role"), (61, 4, "Assistant", "É…")]
+    rows += [(None, 1, "user", "Nobody's."), (None, None, "assistant", "Nobody's either.")]
+    rows += [(62, -3, "user", "Long " * 30_000 + "."), (62, 0, "assistant", "a\nb\n!\n"), (63, None, None, None), (64, 5, "s", "?")]
+    rows += [(65, t, "user", "ok.") for t in range(40)] + [(66, 1, "user", "Same."), (66, 1, "user", "Same."), (66, 1, "assistant", "Same.")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return pa.table({n: pa.array(list(c), k) for n, c, k in zip(["conv_id", "turn", "role", "text"], zip(*rows, strict=True), kinds, strict=True)})
+
+
+def embeddings():
+    near = [[1.0, 0.5 + i / 1000, -0.25] for i in range(60)]
+    rows = list(enumerate(near)) + [(100 + i, [0.1, -2.0, 3.0]) for i in range(90)]  # a hot group of copies
+    rows += [(None, [2.0, 2.0, 2.0]), (None, [2.0, 2.0, 2.0]), (200, None), (220, [0.0, 0.0, -0.0]), (240, [1.0, None, 1.0]),
+             (260, [float("nan"), 1.0, 1.0]), (280, [float("inf"), 1.0, 1.0]), (300, []), (320, [1.0]), (340, [1.0, 2.0, 3.0, 4.0]),
+             (360, [5.0, 5.0, 5.0]), (360, [5.0, 5.0, 5.0]), (380, [5.0, 5.0, 5.0]), (380, [-5.0, 5.0, 5.0]), (-20, [-1.0, 0.0, 0.0])]
+    return pa.table({"vec_id": pa.array([r[0] for r in rows], pa.int64()),
+                     "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float32())),
+                     "label": pa.array([0] * len(rows), pa.int32())})
+
+
 CLASHING = ["digest", "id", "key", "row", "token", "node", "size", "rate", "copy", "kept", "words", "low", "host", "doc", "weight",
-            "quality", "n", "score", "pieces", "cdf", "payload", "group", "rows", "df", "new", "first", "_key", "lines", "path"]
+            "quality", "n", "score", "pieces", "cdf", "payload", "group", "rows", "df", "new", "first", "_key", "lines", "path",
+            "conv", "turns", "pos", "part", "head", "audit", "fault", "vec", "gid", "cell", "tree", "word", "form", "root"]
 
 
 def _with_clashes(table):
@@ -77,7 +104,8 @@ def _with_clashes(table):
 
 def write(folder, kind):
     """``odd`` cases, the same with ``clashing`` extra columns, or ``empty`` tables."""
-    for name, table in (("documents", documents()), ("labels", labels()), ("pages", pages())):
+    for name, table in (("documents", documents()), ("labels", labels()), ("pages", pages()),
+                        ("conversations", conversations()), ("embeddings", embeddings())):
         table = _with_clashes(table) if kind == "clashing" and name != "labels" else table
         pq.write_table(table.slice(0, 0) if kind == "empty" else table, f"{folder}/{name}.parquet")
     return str(folder)

@@ -1,8 +1,10 @@
 """The registered corpus queries against SQL and brute force, on given tables and on odd ones."""
 
+import hashlib
 import os
 import re
 import zlib
+from collections import Counter
 
 import brute
 import fixtures
@@ -17,7 +19,7 @@ from saldoflow.llm import language_id, quality
 from saldoflow.llm.queries import ORACLES, QUERIES, TOKENIZER
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-BUILT_BY_HAND = {"op1_language_id", "op5_quality", "op7_main_text", "op8_packing"}
+BUILT_BY_HAND = {"op1_language_id", "op5_quality", "op7_main_text", "op8_packing", "op13_hash_forest"}
 
 
 @pytest.fixture(scope="module", params=["given", "odd", "clashing"])
@@ -126,3 +128,36 @@ def test_main_text(spark, tables):
             blocks = [" ".join(unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:p|h1)>", article[1])]
             assert got[page["page_id"]].text == "\n\n".join(b for b in blocks if b)
         assert got[page["page_id"]].n_chars == len(got[page["page_id"]].text)
+
+
+def test_turn_repair(spark, tables):
+    expected = brute.repaired_conversations([tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in rows_of(tables, "conversations")])
+    got = {r[0]: tuple(r)[1:] for r in QUERIES["op11_turn_repair"](spark, tables).collect()}
+    lost = {r["conv_id"] for r in rows_of(tables, "conversations")} - set(expected)
+    assert got == expected | {c: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) for c in lost}
+
+
+def test_spelling(spark, tables):
+    got = {r.word: tuple(r)[1:] for r in QUERIES["op12_spelling"](spark, tables).collect()}
+    assert got == brute.spelling([(d["doc_id"], d["text"]) for d in rows_of(tables, "documents")])
+    if tables != SF_DIR:
+        assert got["recive"][:2] == ("receive", "receive") and got["facade"][:2] == ("façade", "façades")
+        assert got["z" * 70][0] == "z" * 69 and got["z" * 64][0] == "z" * 63
+
+
+def test_nearest(spark, tables):
+    rows = [(r["vec_id"], r["embedding"]) for r in rows_of(tables, "embeddings")]
+    expected, got = sorted(brute.nearest(rows, 20), key=repr), {}
+    found = QUERIES["op13_hash_forest"](spark, tables).collect()
+    ids = Counter(q for q, _ in expected)
+    for r in found:
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert set(got) == set(ids)
+    hits = total = 0
+    for q, best in expected:
+        if ids[q] == 1:
+            own = sorted(got[q])
+            assert [r for r, _, _ in own] == list(range(1, len(best) + 1))
+            assert [(i, s) for _, i, s in own] == sorted(((i, s) for _, i, s in own), key=lambda x: (-x[1], x[0] is None, x[0]))
+            hits, total = hits + len({*[(i, s) for _, i, s in own]} & set(best)), total + len(best)
+    assert hits >= (0.9 if tables == SF_DIR else 0.99) * total
