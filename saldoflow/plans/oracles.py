@@ -3,6 +3,8 @@ plans: windows over whole keys, as-of joins, grids and full joins."""
 
 from __future__ import annotations
 
+from . import store_oracles
+
 # --- calendar and index --------------------------------------------------------------------
 
 HOLIDAYS = """
@@ -671,4 +673,4 @@ UNION ALL
 SELECT NULL, NULL, 1""",
     "landing_lost_values": """SELECT 'pagamentos' AS kind, 'data_original_da_venda' AS "column", count(*) AS lost
 FROM lineitem WHERE l_tax = 0 OR l_linenumber = 1""",
-}
+} | store_oracles.ORACLES

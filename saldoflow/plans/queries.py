@@ -17,7 +17,7 @@ from ..operators import calendars, cards, index_returns, purchases, receivables,
 from ..sources import reports, storage
 from ..sources.schemas import report_kind
 from . import fixtures as fx
-from . import jobs
+from . import jobs, store_queries
 
 RUN_DATE = dt.date(2024, 1, 31)
 
@@ -647,7 +647,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_reports": land_reports,
     "landing_problems": landing_problems,
     "landing_lost_values": landing_lost_values,
-}
+} | store_queries.QUERIES
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import re
 import struct
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import groupby
+from itertools import groupby, product
 from typing import NamedTuple
 
 import numpy as np
@@ -23,15 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import column_name, decimal_point
+from .archives import PIECE_BYTES, read_members
+from .archives import SCHEMA as PIECES_SCHEMA
 from .schemas import SKIPPED_KINDS, report_kind
 from .storage import land_csv, publish, stored, temporary
 
-PIECES_SCHEMA = ("archive string, entry int, member string, kind string, piece int, data binary, method int, "
-                 "crc bigint, problem string")
 ROWS_SCHEMA = ("archive string, entry int, member string, kind string, line bigint, values map<string,string>, "
                "problem string")
 CHUNK_ROWS = 20_000
-PIECE_BYTES = 4 * 1024 * 1024
 
 # Day-first patterns accepted in date columns, and ISO dates.
 DATE_PATTERNS = (
@@ -173,6 +173,11 @@ def report_rows(archives: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_lines, ROWS_SCHEMA)
 
 
+def member_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``report_rows`` of all archives below ``path``, of any size: each task reads its members' bytes alone."""
+    return read_members(spark, path).mapInArrow(_lines, ROWS_SCHEMA)
+
+
 def report_problems(rows: DataFrame) -> DataFrame:
     """Archives and members that could not be read, and why."""
     return rows.filter(F.col("problem").isNotNull()).select("archive", "member", "kind", "problem")
@@ -222,11 +227,47 @@ def outer_union(frames: Sequence[DataFrame]) -> DataFrame:
     return together if all(n == names[0] for n in names) else together.select(*sorted(together.columns))
 
 
-def parse_day_first(text: Column) -> Column:
-    """Date of a day-first (or ISO) text, NULL if it is none."""
-    short = F.coalesce(*[F.try_to_date(text, p) for p in SHORT_DATE_PATTERNS])
-    century = F.when(F.year(short) > LAST_SHORT_YEAR, F.add_months(short, -1200)).otherwise(short)
-    return F.coalesce(*[F.try_to_date(text, p) for p in DATE_PATTERNS], century)
+def shapes(pattern: str) -> list[str]:
+    """Texts that a pattern fits, with 9 for each digit: one digit or two for a single letter."""
+    runs = re.findall(r"'T'|([A-Za-z])(\1*)|([^A-Za-z'])", pattern)
+    parts = ["T" if not letter and not sign else sign or (["9", "99"] if not more and letter in "dMH" else "9" * (1 + len(more)))
+             for letter, more, sign in runs]
+    return ["".join(p) for p in product(*[p if isinstance(p, list) else [p] for p in parts])]
+
+
+def date_shape(text: Column) -> Column:
+    """The text with 9 for each digit."""
+    return F.translate(text, "012345678", "9" * 9)
+
+
+#: Shapes of texts that no pattern's shapes have but a pattern may still fit: more digits, signs.
+_ODD_SHAPE = r"^[+-]?9+([/.-])[+-]?9+\1[+-]?9+([ T][+-]?9+:99(:99)?)?$"
+
+
+def parse_by_shape(text: Column, patterns: Sequence[str], shape: Column) -> Column:
+    """Date by the one pattern whose shapes have the text's; NULL if none has, or if it doesn't fit."""
+    chosen = F.lit(None).cast("date")
+    for p in reversed(patterns):
+        chosen = F.when(shape.isin(shapes(p)), F.try_to_date(text, p)).otherwise(chosen)
+    return F.when(shape.isin([s for p in patterns for s in shapes(p)]), chosen)
+
+
+def parse_day_first(text: Column, shape: Column | None = None) -> Column:
+    """Date of a day-first (or ISO) text, NULL if it is none.
+
+    The shape of a text says which pattern can fit it, so each text is parsed once and one without
+    a known shape isn't parsed at all. A column that has ``date_shape`` already saves finding it again.
+    """
+    shape = date_shape(text) if shape is None else shape
+
+    def in_turn(patterns: Sequence[str]) -> Column:
+        return F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+
+    def in_century(short: Column) -> Column:
+        return F.when(F.year(short) > LAST_SHORT_YEAR, F.add_months(short, -1200)).otherwise(short)
+
+    odd = F.when(shape.rlike(_ODD_SHAPE), F.coalesce(in_turn(DATE_PATTERNS), in_century(in_turn(SHORT_DATE_PATTERNS))))
+    return F.coalesce(parse_by_shape(text, DATE_PATTERNS, shape), in_century(parse_by_shape(text, SHORT_DATE_PATTERNS, shape)), odd)
 
 
 def typed_dates(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -234,7 +275,8 @@ def typed_dates(df: DataFrame, schema: T.StructType) -> DataFrame:
     dates = [f.name for f in schema if isinstance(f.dataType, T.DateType) and f.name in df.columns]
     texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
     wanted = [c for c in dates if c in texts]
-    return df.withColumns({c: parse_day_first(F.col(c)) for c in wanted}) if wanted else df
+    shaped = df.withColumns({f"_shape_{c}": date_shape(F.col(c)) for c in wanted}) if wanted else df
+    return shaped.select(*[parse_day_first(F.col(c), F.col(f"_shape_{c}")).alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])
 
 
 def apply_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

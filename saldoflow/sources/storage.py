@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.errors import AnalysisException
@@ -22,7 +23,8 @@ from pyspark.sql import types as T
 VERSIONS = "sequence long, folder string, format string, schema string"
 CSV_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8"}
 
-_stored: list[tuple[str, T.StructType]] = []
+#: What the job in hand has stored; jobs of other threads have lists of their own.
+_job: ContextVar[list[tuple[str, T.StructType]] | None] = ContextVar("job", default=None)
 
 
 @cache
@@ -49,16 +51,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The result computed once, as a table in the shared folder, for all later uses.
+def stored(df: DataFrame, by: str | None = None) -> DataFrame:
+    """The result computed once, as a table in the shared folder, for all later uses; ``by`` a column of few values.
 
     It survives lost executors, cuts the lineage and, unlike a checkpoint, has a known size
     and columns that are read only if needed. ``temporary`` removes it.
     """
     spark = df.sparkSession
     path = new_folder(spark, "stored")
-    df.write.parquet(path)
-    _stored.append((path, df.schema))
+    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
+    mine = _job.get()
+    if mine is not None:
+        mine.append((path, df.schema))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,14 +73,15 @@ def _emptied(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """Removes what was ``stored`` inside; for jobs that have published their result by then."""
-    before = len(_stored)
+    """Removes what was ``stored`` inside, by this thread; for jobs that have published their result by then."""
+    mine: list[tuple[str, T.StructType]] = []
+    outer = _job.set(mine)
     try:
         yield
     finally:
-        for path, schema in _stored[before:]:
+        _job.reset(outer)
+        for path, schema in mine:
             _emptied(spark, path, schema)
-        del _stored[before:]
 
 
 def _versions(spark: SparkSession, path: str) -> list[Row]:
