@@ -32,4 +32,6 @@ FROM lines WHERE l_linestatus <> 'O'""",
        CASE WHEN l_tax > 0 THEN l_partkey END AS terminal,
        'updated_on:date,pedido:bigint,parcela:bigint,valor_bruto:double,data_da_venda:date,loja:string,codigo:string,terminal:bigint' AS types
 FROM lineitem""",
+    "read_split_members": """SELECT CAST(l_orderkey AS VARCHAR) AS pedido, CAST(l_linenumber AS VARCHAR) AS parcela,
+       'linha 1' || chr(10) || '"linha" 2; ' || l_partkey AS nota FROM lineitem""",
 }

@@ -123,9 +123,20 @@ def land_unknown_kind(spark: SparkSession, sf: str) -> DataFrame:
     return found
 
 
+def read_split_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Members with quoted line breaks, each parsed by several tasks."""
+    lines = fx.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("pedido"), F.col("l_linenumber").cast("string").alias("parcela"),
+        F.concat(F.lit('linha 1\n"linha" 2; '), F.col("l_partkey").cast("string")).alias("nota"))
+    folder = _zip_folder(spark, lines, "pedido", "Outros")
+    rows = reports.member_rows(spark, folder, split_bytes=1 << 16, range_bytes=1 << 16)
+    return reports.whole_lines(rows).select(*[F.col("values")[c].alias(c) for c in ("pedido", "parcela", "nota")])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landing_changes": landing_changes,
     "table_after_changes": table_after_changes,
     "table_by_name": table_by_name,
     "land_unknown_kind": land_unknown_kind,
+    "read_split_members": read_split_members,
 }

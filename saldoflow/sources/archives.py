@@ -10,6 +10,7 @@ from __future__ import annotations
 import struct
 import zipfile
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -19,12 +20,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 FORMAT = "zip_members"
 #: Compressed bytes of a row, and of the members that share a task.
 PIECE_BYTES, TASK_BYTES = 4 * 1024 * 1024, 64 * 1024 * 1024
+LISTED_AT_ONCE = 16  # archives whose directories are read at a time
 SCHEMA = ("archive string, entry int, member string, kind string, piece int, data binary, method int, "
           "crc bigint, problem string")
 SUFFIXES = (".csv", ".xlsx")
 
 
-def _store(path: str):  # noqa: ANN202
+def store_of(path: str):  # noqa: ANN202
     """The file system of a path, and the path there."""
     from pyarrow import fs
 
@@ -39,6 +41,7 @@ class Member:
     kind: str | None
     header: int = 0
     size: int = 0
+    whole: int = 0  # bytes when inflated
     method: int | None = None
     crc: int | None = None
     problem: str | None = None
@@ -71,8 +74,19 @@ def members_of(store, archive: str, path: str) -> Iterator[Member]:  # noqa: ANN
         name = info.filename.rsplit("/", 1)[-1]
         prefix, dash, _ = name.partition("-")
         if dash and prefix and name.endswith(SUFFIXES):
-            yield Member(archive, entry, name, prefix.lower(), info.header_offset, info.compress_size, info.compress_type,
-                         info.CRC, _problem(info))
+            yield Member(archive, entry, name, prefix.lower(), info.header_offset, info.compress_size, info.file_size,
+                         info.compress_type, info.CRC, _problem(info))
+
+
+def list_members(folder: str) -> list[Member]:
+    """The report members of all archives below a folder, by their directories."""
+    from pyarrow import fs
+
+    store, path = store_of(folder)
+    files = store.get_file_info(fs.FileSelector(path, recursive=True))
+    names = sorted(f.path for f in files if f.type == fs.FileType.File and f.path.endswith(".zip"))
+    with ThreadPoolExecutor(LISTED_AT_ONCE) as pool:
+        return [m for some in pool.map(lambda n: list(members_of(store, n, n)), names) for m in some]
 
 
 def shared_out(members: Sequence[Member], most: int = TASK_BYTES) -> list[Members]:
@@ -89,15 +103,10 @@ def shared_out(members: Sequence[Member], most: int = TASK_BYTES) -> list[Member
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path, self.most = options["path"], int(options.get("taskBytes", TASK_BYTES))
+        self.path, self.most, self.below = options["path"], int(options["taskBytes"]), int(options["below"])
 
     def partitions(self) -> Sequence[Members]:
-        from pyarrow import fs
-
-        store, path = _store(self.path)
-        files = store.get_file_info(fs.FileSelector(path, recursive=True))
-        names = sorted(f.path for f in files if f.type == fs.FileType.File and f.path.endswith(".zip"))
-        return shared_out([m for n in names for m in members_of(store, n, n)], self.most) or [Members([])]
+        return shared_out([m for m in list_members(self.path) if m.whole < self.below or m.problem], self.most) or [Members([])]
 
     def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
         names = ["archive", "entry", "member", "kind", "piece", "data", "method", "crc", "problem"]
@@ -107,7 +116,7 @@ class _Reader(DataSourceReader):
             values = (m.archive, m.entry, m.member, m.kind, piece, data, m.method, m.crc, problem or m.problem)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
 
-        store, _ = _store(self.path)
+        store, _ = store_of(self.path)
         for m in partition.members:
             if m.problem:
                 yield row(m, 0, None)
@@ -137,7 +146,10 @@ class ZipMembers(DataSource):
         return _Reader(self.options)
 
 
-def read_members(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """Pieces of the members of all archives below ``path``; the pieces of a member are one task's, in order."""
+def read_members(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES, below: int = 1 << 62) -> DataFrame:
+    """Pieces of the members of all archives below ``path``; the pieces of a member are one task's, in order.
+
+    Members that are inflated to ``below`` bytes or more are left out.
+    """
     spark.dataSource.register(ZipMembers)
-    return spark.read.format(FORMAT).option("taskBytes", task_bytes).load(path)
+    return spark.read.format(FORMAT).option("taskBytes", task_bytes).option("below", below).load(path)

@@ -24,14 +24,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import column_name, decimal_point
-from .archives import PIECE_BYTES, read_members
+from .archives import PIECE_BYTES, list_members, read_members
 from .archives import SCHEMA as PIECES_SCHEMA
 from .schemas import SKIPPED_KINDS, report_kind
+from .split_csv import RANGE_BYTES, split_rows
 from .storage import land_csv, publish, stored, temporary
 
 ROWS_SCHEMA = ("archive string, entry int, member string, kind string, line bigint, values map<string,string>, "
                "problem string")
 CHUNK_ROWS = 20_000
+SPLIT_BYTES = 256 * 1024 * 1024  # from here on a member is parsed by many tasks
 
 # Day-first patterns accepted in date columns, and ISO dates.
 DATE_PATTERNS = (
@@ -173,9 +175,34 @@ def report_rows(archives: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_lines, ROWS_SCHEMA)
 
 
-def member_rows(spark: SparkSession, path: str) -> DataFrame:
-    """``report_rows`` of all archives below ``path``, of any size: each task reads its members' bytes alone."""
-    return read_members(spark, path).mapInArrow(_lines, ROWS_SCHEMA)
+def _unit_lines(member: dict, data: io.BytesIO | None) -> Iterator[pa.RecordBatch]:
+    """Lines of some records of a large member, below its header; a problem row if they can't be read."""
+    line = 1
+    try:
+        if data is None:
+            yield _batch(member, 0, None, member["problem"])
+            return
+        text = io.TextIOWrapper(data, encoding="utf-8", newline="")
+        for frame in pd.read_csv(text, dtype=str, sep=";", chunksize=CHUNK_ROWS):
+            if not isinstance(frame.index, pd.RangeIndex):  # pandas would take the first cells for names of rows
+                raise ValueError("a line has more cells than the heading")
+            frame = normalise_columns(frame)
+            if len(frame):
+                yield _batch(member, line, frame, None)
+            line += len(frame)
+    except Exception as e:  # the other members go on
+        yield _batch(member, 0, None, f"{type(e).__name__}: {e}")
+
+
+def member_rows(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``report_rows`` of all archives below ``path``, of any size: each task reads its members' bytes alone.
+
+    A member that is inflated to ``split_bytes`` or more is parsed by many tasks (``split_csv``), by ranges of
+    ``range_bytes``; in such a member a line with more cells than the heading is always a problem.
+    """
+    small = read_members(spark, path, below=split_bytes).mapInArrow(_lines, ROWS_SCHEMA)
+    large = [m for m in list_members(path) if m.whole >= split_bytes and not m.problem]
+    return small.unionByName(split_rows(spark, path, large, _unit_lines, ROWS_SCHEMA, range_bytes)) if large else small
 
 
 def report_problems(rows: DataFrame) -> DataFrame:

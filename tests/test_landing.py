@@ -2,7 +2,9 @@
 
 import datetime as dt
 import os
+import random
 import zipfile
+import zlib
 
 import pytest
 from hypothesis import given, settings
@@ -10,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saldoflow.sources import archives, inference, landing, reports, storage, tables
+from saldoflow.sources import archives, inference, landing, reports, split_csv, storage, tables
 
 RUN = dt.date(2025, 1, 31)
 
@@ -92,6 +94,62 @@ def test_a_task_reads_its_members_by_pieces(spark, tmp_path):
     assert b"".join(r.data for r in rows) == data
 
 
+def _state_by_bytes(data, state):
+    first = -1
+    for i in range(len(data)):
+        c = data[i:i + 1]
+        if state == split_csv.CLOSING:
+            state = split_csv.QUOTED if c == b'"' else split_csv.PLAIN
+            if c == b'"':
+                continue
+        if state == split_csv.QUOTED:
+            state = split_csv.CLOSING if c == b'"' else state
+        elif c == b'"' and state == split_csv.START:
+            state = split_csv.QUOTED
+        else:
+            first = i + 1 if c == b"\n" and first < 0 else first
+            state = split_csv.START if c in (b";", b"\n", b"\r") else split_csv.PLAIN
+    return state, first
+
+
+@given(st.lists(st.sampled_from([b'"', b";", b"\n", b"\r", b"a", b'""', b"bc"]), max_size=20), st.integers(0, 3))
+@settings(max_examples=2000)
+def test_scan_of_a_range(parts, state):
+    assert split_csv.scan(b"".join(parts), state) == _state_by_bytes(b"".join(parts), state)
+
+
+@given(st.binary(max_size=200), st.binary(max_size=5000))
+def test_checksums_of_ranges_combine(a, b):
+    assert split_csv.combined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_a_large_member_is_read_by_many_tasks(spark, tmp_path, method):
+    rnd = random.Random(9)
+    cells = ["", "x", '"a;b"', '"two\nlines"', '"say ""hi"""', 'in"ner', "é" * 9, '"' + "\n" * 70 + '"', "NA", '"""\n"', '""']
+    lines = ["a;b;c"] + [";".join(rnd.choice(cells) for _ in range(3)) + rnd.choice(["", "", "\r"]) for _ in range(400)] + ["", "1;2;3"]
+    wide = [*lines[:300], "1;2;3;4", *lines[300:]]
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", method) as z:
+        z.writestr("outros-1.csv", "\n".join(lines) + "\n")
+        z.writestr("outros-2.csv", "\n".join(lines))
+        z.writestr("outros-3.csv", "a;b\n")
+        z.writestr("outros-4.csv", "a;b")
+        z.writestr("outros-5.csv", "\n".join(wide))
+        z.writestr("outros-6.csv", "")
+        z.writestr("outros-7.csv", 'a;"b\n' + "open\n" * 40)
+        z.writestr("outros-8.csv", b"a;b\n" + b"1;2\n" * 100 + b"\xff;1\n" + b"1;2\n" * 100)
+    content = (tmp_path / "one.zip").read_bytes()
+    (tmp_path / "cut.zip").write_bytes(content[:100] + bytes([content[100] ^ 1]) + content[101:])
+    one = reports.member_rows(spark, str(tmp_path))
+    many = storage.stored(split_csv.split_rows(spark, str(tmp_path), archives.list_members(str(tmp_path)), reports._unit_lines,
+                                               reports.ROWS_SCHEMA, range_bytes=64))
+    key = lambda df: sorted((os.path.basename(r.archive), r.entry, r.member, r.kind, r.line, repr(r["values"])) for r in reports.whole_lines(df).collect())
+    assert key(many) == key(one) and len(key(one)) > 800
+    said = lambda df: {(os.path.basename(r.archive), r.member) for r in reports.report_problems(df).collect()}
+    assert said(many) == said(one)
+    assert reports.member_rows(spark, str(tmp_path), split_bytes=100).filter("problem IS NULL").count() >= len(key(one))
+
+
 def test_a_folder_without_archives(spark, tmp_path):
     assert reports.member_rows(spark, str(tmp_path)).count() == 0
 
