@@ -26,3 +26,41 @@ def join_splittable(left: DataFrame, right: DataFrame, on: Sequence[str], how: s
     """
     keyed = right.select(_key(on).alias("_key"), *[c for c in right.columns if c not in on])
     return left.withColumn("_key", _key(on)).join(keyed, "_key", how).drop("_key")
+
+
+# --- filters before a shuffle --------------------------------------------------------------
+
+#: Bits of one piece of a key filter, and of a whole one at most, which is 16 MB.
+PIECE_BITS, MOST_BITS = 1 << 15, 1 << 27
+
+
+def _bits(key: Column, size: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(size))
+
+
+def key_filter(keys: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """A Bloom filter of the values of ``key``, in pieces, and its size in bits.
+
+    It has 16 bits or more for each row of ``keys``, up to ``MOST_BITS``: beyond that it lets more of other
+    keys pass, but never drops one of these. ``keys`` is read twice.
+    """
+    n = max(1, keys.count())
+    size = min(MOST_BITS, max(PIECE_BITS, 1 << (16 * n - 1).bit_length()))
+    bit = _bits(F.col(key), size)
+    placed = keys.filter(F.col(key).isNotNull()).select(
+        F.shiftright(bit, 15).alias("_piece"), bit.bitwiseAND(F.lit(PIECE_BITS - 1)).alias("_bit"))
+    return placed.groupBy("_piece").agg(F.bitmap_construct_agg("_bit").alias("_bits")), size
+
+
+def perhaps_in(df: DataFrame, key: str, filter_: tuple[DataFrame, int]) -> DataFrame:
+    """Rows whose key is in the filter's keys, and few others; nothing is shuffled.
+
+    What is broadcast has at most ``MOST_BITS`` bits, whatever the number of keys.
+    """
+    pieces, size = filter_
+    bit = _bits(F.col(key), size)
+    joined = df.withColumn("_hash", bit).withColumn("_piece", F.shiftright("_hash", 15)).join(F.broadcast(pieces), "_piece")
+    at = F.col("_hash").bitwiseAND(F.lit(PIECE_BITS - 1))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftright(_byte, cast(_hash & 7 AS int)) & 1") == 1
+    return joined.withColumn("_byte", byte).filter(is_set).select(*df.columns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +14,8 @@ from ..functions.dates import SAO_PAULO, local_date, local_date_between
 from ..params import ReceivablesParams
 from .calendars import business_day_adjust, date_range
 from .dims import dedupe_dim
-from .joins import join_splittable
+from ..sources.storage import stored
+from .joins import join_splittable, key_filter, perhaps_in
 
 DIMENSIONS = ["referenceDate", "network", "installmentStatus", "workspaceId"]
 
@@ -73,6 +76,33 @@ def tag_flag(tags: Column, marker: str) -> Column:
     return F.coalesce(F.exists(tags, lambda t: F.coalesce(t.contains(marker), F.lit(False))), F.lit(False))
 
 
+def created_on(days: Sequence[dt.date], tz: str) -> Column:
+    """``local_date(created)`` among ``days``, as ranges on the bare column, one per run of days."""
+    ordered = sorted(days)
+    runs: list[list[dt.date]] = []
+    for day in ordered:
+        if runs and day <= runs[-1][1] + dt.timedelta(days=1):
+            runs[-1][1] = day
+        else:
+            runs.append([day, day])
+    return reduce(lambda a, b: a | b, [local_date_between("created", a, b, tz) for a, b in runs], F.lit(False))
+
+
+def only_needed(installments: DataFrame, installment_log: DataFrame, purchases: DataFrame, acquiring_purchases: DataFrame,
+                params: ReceivablesParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The log and both purchase tables without most rows that the window's installments don't meet.
+
+    Filters of the installments' keys are tried before the shuffles of the joins, which decide. Rows
+    of the window are read once for their keys alone, and so are their purchases.
+    """
+    keys = stored(installments.filter(local_date_between("created", params.start, params.end, params.tz)).select(
+        key_id().alias("installmentId"), "purchaseId"))
+    log = perhaps_in(installment_log, "installmentId", key_filter(keys, "installmentId"))
+    named = perhaps_in(purchases.withColumn("_id", key_id()), "_id", key_filter(keys.select("purchaseId").distinct(), "purchaseId")).drop("_id")
+    ends = stored(named.select("endToEndId").distinct())
+    return log, named, perhaps_in(acquiring_purchases, "endToEndId", key_filter(ends, "endToEndId"))
+
+
 def installment_fact(installments: DataFrame, installment_log: DataFrame, purchases: DataFrame,
                      acquiring_purchases: DataFrame, acquiring_installments: DataFrame,
                      workspaces: DataFrame, next_days: DataFrame, params: ReceivablesParams) -> DataFrame:
@@ -181,19 +211,39 @@ def acquirer_due_rollup(fact: DataFrame) -> DataFrame:
     return _rollup(fact, _acquirer_date(), _acquirer_measures())
 
 
-def dated_rollup(fact: DataFrame) -> DataFrame:
-    """The three rollups in one pass: every installment counts on its creation, acquirer and
-    merchant date, told apart by ``side``."""
+def _sided(fact: DataFrame) -> DataFrame:
+    """Every row on its creation, acquirer and merchant date, told apart by ``side``."""
     sides = F.array(*[
         F.struct(F.lit(side).alias("side"), date.alias("referenceDate"))
         for side, date in (("created", F.col("createdDate")), ("acquirer", _acquirer_date()),
                            ("merchant", F.col("merchantDue")))
     ])
-    return (
-        fact.withColumn("_s", F.explode(sides)).select("*", "_s.*").drop("_s")
-        .groupBy("side", *DIMENSIONS, "isFactoring")
-        .agg(*_acquirer_measures(), *_merchant_measures())
-    )
+    return fact.withColumn("_s", F.explode(sides)).select("*", "_s.*").drop("_s")
+
+
+def dated_rollup(fact: DataFrame) -> DataFrame:
+    """The three rollups in one pass: every installment counts on its creation, acquirer and
+    merchant date, told apart by ``side``."""
+    return _sided(fact).groupBy("side", *DIMENSIONS, "isFactoring").agg(*_acquirer_measures(), *_merchant_measures())
+
+
+# --- by creation day -----------------------------------------------------------------------
+
+def day_states(fact: DataFrame) -> DataFrame:
+    """``dated_rollup`` apart for each creation day: sums, which add up over days to the whole rollup.
+
+    On the creation side there is also the pair that the average of days between payments is made of.
+    """
+    gap = F.when(F.col("side") == "created", F.datediff("nominalDue", "dueFromAcquirer"))
+    return _sided(fact).groupBy("createdDate", "side", *DIMENSIONS, "isFactoring").agg(
+        *_acquirer_measures(), *_merchant_measures(), F.sum(gap).alias("gapDays"), F.count(gap).alias("gaps"))
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """The rollup of all days of ``states``."""
+    sums = [F.sum(c).alias(c) for c in (*ACQUIRER_COLUMNS, *MERCHANT_COLUMNS, "gapDays", "gaps")]
+    return states.groupBy("side", *DIMENSIONS, "isFactoring").agg(*sums).withColumn(
+        "daysBetweenPaymentsAvgCreated", F.try_divide("gapDays", "gaps")).drop("gapDays", "gaps")
 
 
 ACQUIRER_COLUMNS = ["amountFromAcquirer", "amountWithoutFeeAndExternalFeeFromAcquirer",

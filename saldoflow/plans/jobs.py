@@ -7,15 +7,18 @@ catalog (``spark.table``) or from files.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import local_date, local_date_between
 from ..operators import calendars, cards, index_returns, purchases, receivables, reconcile, snapshots, weekly
 from ..params import ReceivablesParams, RemunerationParams
 from ..sources.storage import publish, read_table, stored, temporary
+from ..sources.tables import current_version, replace_dates, replace_table
 
 
 # --- purchase remuneration -----------------------------------------------------------------
@@ -105,6 +108,78 @@ def receive_pay(spark: SparkSession, tables: ReceivablesTables, params: Receivab
     return read_table(spark, path)
 
 
+@dataclass(frozen=True)
+class ReceivablesChanges:
+    """Rows that changed since the last run, old and new versions alike; None where nothing did.
+
+    Of ``installments`` ``created`` is needed, of the others their keys: ``installmentId``, ``__key__``,
+    ``endToEndId``, ``purchaseId`` and ``workspaceId``. Changed holidays can move every day: run anew.
+    """
+
+    installments: DataFrame | None = None
+    installment_log: DataFrame | None = None
+    merchant_purchases: DataFrame | None = None
+    acquiring_purchases: DataFrame | None = None
+    acquiring_installments: DataFrame | None = None
+    workspaces: DataFrame | None = None
+
+
+def changed_days(tables: ReceivablesTables, changes: ReceivablesChanges, params: ReceivablesParams) -> list[dt.date]:
+    """Creation days of the window whose rows of the fact may have changed; at most one date a day reaches the driver."""
+    tz = params.tz
+    window = tables.installments.filter(local_date_between("created", params.start, params.end, tz)).select(
+        receivables.key_id().alias("installmentId"), "purchaseId", "workspaceId", local_date("created", tz).alias("day"))
+    purchases = tables.merchant_purchases.select(receivables.key_id().alias("purchaseId"), "endToEndId")
+    found = []
+    if changes.installments is not None:
+        found.append(changes.installments.filter(local_date_between("created", params.start, params.end, tz)).select(
+            local_date("created", tz).alias("day")))
+    if changes.installment_log is not None:
+        found.append(window.join(changes.installment_log.select("installmentId"), "installmentId", "left_semi").select("day"))
+    ends, ids = [], []
+    if changes.acquiring_installments is not None:
+        fees = changes.acquiring_installments.select(F.col("purchaseId").alias("acquiringId"))
+        settled = tables.acquiring_purchases.select(F.col("id").cast("string").alias("acquiringId"), "endToEndId")
+        ends.append(settled.join(fees, "acquiringId", "left_semi").select("endToEndId"))
+    if changes.acquiring_purchases is not None:
+        ends.append(changes.acquiring_purchases.select("endToEndId"))
+    if ends:
+        ids.append(purchases.join(reduce(DataFrame.union, ends), "endToEndId", "left_semi").select("purchaseId"))
+    if changes.merchant_purchases is not None:
+        ids.append(changes.merchant_purchases.select(receivables.key_id().alias("purchaseId")))
+    if ids:
+        found.append(window.join(reduce(DataFrame.union, ids), "purchaseId", "left_semi").select("day"))
+    if changes.workspaces is not None:
+        found.append(window.join(changes.workspaces.select("workspaceId"), "workspaceId", "left_semi").select("day"))
+    days = reduce(DataFrame.union, found).distinct().collect() if found else []
+    return sorted(r.day for r in days)
+
+
+def update_receive_pay(spark: SparkSession, tables: ReceivablesTables, params: ReceivablesParams, name: str,
+                       changes: ReceivablesChanges | None = None) -> DataFrame:
+    """``receive_pay`` from states by creation day that are kept in the table ``name``.
+
+    Without ``changes``, or if there are no states yet, those of the whole window are made. Else only the days that
+    the changes touch are computed again: their installments alone are read, and of the installment log and
+    the purchases little else is shuffled. The result adds up the states of the window.
+    """
+    whole = changes is None or current_version(spark, name) is None
+    spine = [params.start + dt.timedelta(days=i) for i in range((params.end - params.start).days + 1)]
+    days = spine if whole else changed_days(tables, changes, params)
+    with temporary(spark):
+        if whole:
+            replace_table(receivables.day_states(receivables_fact(spark, tables, params)), name, "createdDate")
+        elif days:
+            some = replace(tables, installments=tables.installments.filter(receivables.created_on(days, params.tz)))
+            log, purchases, settled = receivables.only_needed(
+                some.installments, some.installment_log, some.merchant_purchases, some.acquiring_purchases, params)
+            some = replace(some, installment_log=log, merchant_purchases=purchases, acquiring_purchases=settled)
+            states = receivables.day_states(receivables_fact(spark, some, params))
+            replace_dates(states, name, "createdDate", [d.isoformat() for d in days])
+    states = spark.table(name).filter(F.col("createdDate").between(F.lit(params.start), F.lit(params.end)))
+    return receivables.daily_receive_pay(stored(receivables.merged_states(states)), tables.workspaces)
+
+
 # --- weekly report and snapshots -----------------------------------------------------------
 
 def purchase_base(log: DataFrame, holders: DataFrame, workspaces: DataFrame, raw_cards: DataFrame,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import uuid
 import zipfile
 from collections.abc import Callable
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import parse_day_label, parse_money
 from ..operators import calendars, cards, index_returns, purchases, receivables, reconcile, snapshots, weekly
-from ..sources import reports, storage
+from ..sources import reports, storage, tables
 from ..sources.schemas import report_kind
 from . import fixtures as fx
 from . import jobs, store_queries
@@ -361,6 +363,35 @@ def daily_receive_pay(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.receive_pay(spark, _receivables_tables(spark, sf), fx.RECEIVABLES)
 
 
+def earlier_receivables(now: jobs.ReceivablesTables) -> tuple[jobs.ReceivablesTables, jobs.ReceivablesChanges]:
+    """The tables as they were: some installments of a month missing, some purchases denied and some fees other."""
+    order = F.substring_index("purchaseId", "-", 1).cast("long")
+    missing = (order % 5 == 0) & (F.month("created") == 3)
+    denied, other = F.col("id").cast("long") % 500 == 0, F.col("purchaseId").cast("long") % 700 == 0
+    late = F.substring_index("installmentId", "-", 1).cast("long") % 900 == 0
+    due = F.struct((F.col("installment.due") + F.expr("INTERVAL 2 DAYS")).alias("due"), F.col("installment.created").alias("created"))
+    before = replace(
+        now, installments=now.installments.filter(~missing),
+        installment_log=now.installment_log.withColumn("installment", F.when(late, due).otherwise(F.col("installment"))),
+        acquiring_purchases=now.acquiring_purchases.withColumn("status", F.when(denied, "denied").otherwise(F.col("status"))),
+        acquiring_installments=now.acquiring_installments.withColumn(
+            "externalFee", F.when(other, F.col("externalFee") + 7).otherwise(F.col("externalFee"))))
+    changes = jobs.ReceivablesChanges(
+        installments=now.installments.filter(missing), installment_log=now.installment_log.filter(late),
+        acquiring_purchases=now.acquiring_purchases.filter(denied), acquiring_installments=now.acquiring_installments.filter(other))
+    return before, changes
+
+
+def receive_pay_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily amounts after a first run over an earlier state and a second one over the changed days alone."""
+    name, now = f"day_states_{uuid.uuid4().hex}", _receivables_tables(spark, sf)
+    before, changes = earlier_receivables(now)
+    jobs.update_receive_pay(spark, before, fx.RECEIVABLES, name)
+    found = storage.stored(jobs.update_receive_pay(spark, now, fx.RECEIVABLES, name, changes))
+    tables.drop_table(spark, name)
+    return found
+
+
 def publish_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Line items published by shipping month and read back, then repartitioned by status."""
     path = storage.new_folder(spark, "published")
@@ -626,6 +657,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merchant_due_rollup": merchant_due_rollup,
     "acquirer_due_rollup": acquirer_due_rollup,
     "daily_receive_pay": daily_receive_pay,
+    "receive_pay_incremental": receive_pay_incremental,
     "publish_roundtrip": publish_roundtrip,
     "signed_purchases": signed_purchases,
     "conversion_columns": conversion_columns,

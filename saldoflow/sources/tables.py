@@ -229,6 +229,25 @@ def load_changes(df: DataFrame, name: str, keys: Sequence[str], by: str, ignorin
     return Changes(counts, written)
 
 
+def replace_dates(df: DataFrame, name: str, by: str, dates: Sequence[str]) -> None:
+    """Replaces the business dates ``dates`` of the table ``name`` by ``df``, which has rows of no others.
+
+    Dates are ISO text, ``NO_DATE`` for rows without one. Nothing else is read or written; a date without
+    rows in ``df`` is then empty. A table that doesn't exist yet begins with ``df``; after
+    ``MAX_LAYERS`` layers the table is written anew as one.
+    """
+    spark = df.sparkSession
+    old = current_version(spark, name)
+    if old is not None and (old.by != by or _columns(spark.table(name).schema) != _columns(df.schema)):
+        raise ValueError(f"{name} has other columns or isn't partitioned by {by}")
+    if old is not None and not dates:
+        return
+    layers = [*(_without(spark, old.layers, dates, by) if old else []), Layer(_written(df, name, "rows", by), [])]
+    _publish(spark, name, df.columns, by, [], layers, None, old.number if old else None)
+    if len(layers) > MAX_LAYERS:
+        replace_table(spark.table(name), name, by)
+
+
 def _without(spark: SparkSession, layers: Sequence[Layer], dates: Sequence[str], by: str) -> list[Layer]:
     """The layers that still serve some date when newer ones take over ``dates``."""
     left = [Layer(x.table, sorted({*x.gone, *dates})) for x in layers]
