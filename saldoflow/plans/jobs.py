@@ -168,14 +168,14 @@ def update_receive_pay(spark: SparkSession, tables: ReceivablesTables, params: R
     days = spine if whole else changed_days(tables, changes, params)
     with temporary(spark):
         if whole:
-            replace_table(receivables.day_states(receivables_fact(spark, tables, params)), name, "createdDate")
+            replace_table(receivables.day_states(receivables_fact(spark, tables, params)), name, "createdDate", partitioned=False)
         elif days:
             some = replace(tables, installments=tables.installments.filter(receivables.created_on(days, params.tz)))
             log, purchases, settled = receivables.only_needed(
                 some.installments, some.installment_log, some.merchant_purchases, some.acquiring_purchases, params)
             some = replace(some, installment_log=log, merchant_purchases=purchases, acquiring_purchases=settled)
             states = receivables.day_states(receivables_fact(spark, some, params))
-            replace_dates(states, name, "createdDate", [d.isoformat() for d in days])
+            replace_dates(states, name, "createdDate", [d.isoformat() for d in days], partitioned=False)
     states = spark.table(name).filter(F.col("createdDate").between(F.lit(params.start), F.lit(params.end)))
     return receivables.daily_receive_pay(stored(receivables.merged_states(states)), tables.workspaces)
 

@@ -129,11 +129,14 @@ def _publish(spark: SparkSession, name: str, columns: Sequence[str], by: str | N
     _dropped(spark, set(old.before if old else []) - set(before) - mine)
 
 
-def replace_table(df: DataFrame, name: str, by: str | None = None) -> None:
-    """CREATE OR REPLACE TABLE ``name``, optionally partitioned by a date column; ``df`` may read the table."""
+def replace_table(df: DataFrame, name: str, by: str | None = None, partitioned: bool = True) -> None:
+    """CREATE OR REPLACE TABLE ``name``, optionally partitioned by a date column; ``df`` may read the table.
+
+    A small table whose dates are only to be replaced one by one (``replace_dates``) needn't be ``partitioned``.
+    """
     spark = df.sparkSession
     current_version(spark, name)  # a table of another kind is left alone before anything is written
-    _publish(spark, name, df.columns, by, [], [Layer(_written(df, name, "rows", by), [])])
+    _publish(spark, name, df.columns, by, [], [Layer(_written(df, name, "rows", by if partitioned else None), [])])
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -229,7 +232,7 @@ def load_changes(df: DataFrame, name: str, keys: Sequence[str], by: str, ignorin
     return Changes(counts, written)
 
 
-def replace_dates(df: DataFrame, name: str, by: str, dates: Sequence[str]) -> None:
+def replace_dates(df: DataFrame, name: str, by: str, dates: Sequence[str], partitioned: bool = True) -> None:
     """Replaces the business dates ``dates`` of the table ``name`` by ``df``, which has rows of no others.
 
     Dates are ISO text, ``NO_DATE`` for rows without one. Nothing else is read or written; a date without
@@ -242,10 +245,10 @@ def replace_dates(df: DataFrame, name: str, by: str, dates: Sequence[str]) -> No
         raise ValueError(f"{name} has other columns or isn't partitioned by {by}")
     if old is not None and not dates:
         return
-    layers = [*(_without(spark, old.layers, dates, by) if old else []), Layer(_written(df, name, "rows", by), [])]
+    layers = [*(_without(spark, old.layers, dates, by) if old else []), Layer(_written(df, name, "rows", by if partitioned else None), [])]
     _publish(spark, name, df.columns, by, [], layers, None, old.number if old else None)
     if len(layers) > MAX_LAYERS:
-        replace_table(spark.table(name), name, by)
+        replace_table(spark.table(name), name, by, partitioned)
 
 
 def _without(spark: SparkSession, layers: Sequence[Layer], dates: Sequence[str], by: str) -> list[Layer]:

@@ -137,6 +137,21 @@ def test_a_load_that_comes_too_late_changes_nothing(spark, name, monkeypatch):
     assert spark.table(name).count() == 3
 
 
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_dates_are_replaced_one_by_one(spark, name, monkeypatch, partitioned):
+    monkeypatch.setattr(tables, "MAX_LAYERS", 2)
+    now = ROWS
+    tables.replace_dates(spark.createDataFrame(now, SCHEMA), name, "day", [], partitioned)
+    for n, dates in enumerate([["2024-02-01"], ["", "2024-02-01"], ["2024-01-01"], ["2024-07-01"], []]):
+        new = [(1000 + n, "new", D.fromisoformat(d) if d else None, 0.5, None) for d in dates if d != "2024-01-01"]
+        now = [r for r in now if ("" if r[2] is None else r[2].isoformat()) not in dates] + new
+        tables.replace_dates(spark.createDataFrame(new, SCHEMA), name, "day", dates, partitioned)
+        assert rows_of(spark.table(name)) == rows_of(spark.createDataFrame(now, SCHEMA))
+        assert len(tables.current_version(spark, name).layers) <= 2
+    with pytest.raises(ValueError, match="other columns"):
+        tables.replace_dates(spark.range(1), name, "day", ["2024-01-01"])
+
+
 def test_a_foreign_table_is_left_alone(spark):
     spark.range(3).write.saveAsTable("foreign_table")
     try:
