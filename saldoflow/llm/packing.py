@@ -44,8 +44,8 @@ def _pieces(text: str) -> list[str]:
 class PieceEncoder:
     """Token ids of whole texts, encoded by pieces of words and remembered.
 
-    For tokenizers that lower-case, drop white space, and part letters from signs. Strings of
-    special tokens in a text are ordinary text.
+    For tokenizers that lower-case, drop white space, and part letters from signs. A text that holds the string of
+    a special token, in any case of letters, is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -53,12 +53,16 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
+    def _has_special(self, text: str) -> bool:
+        lower = text.lower()
+        return any(s in lower for s in self.special)
+
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        pieces = [_pieces(t) for t in texts]
+        pieces = [[t] if self._has_special(t) else _pieces(t) for t in texts]
         distinct = {p for ps in pieces for p in ps}
         ids = {p: self.known[p] for p in distinct if p in self.known}
         missing = [p for p in distinct if p not in ids]

@@ -100,7 +100,6 @@ def test_quality(spark, tables):
 def test_packing(spark, tables):
     docs = rows_of(tables, "documents")
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     ids = {d["doc_id"]: tokenizer.encode(d["text"] or "", add_special_tokens=False).ids + [2] for d in docs}
     got = QUERIES["op8_packing"](spark, tables).toPandas()
     times = {i: sum(d["doc_id"] == i for d in docs) for i in ids}
