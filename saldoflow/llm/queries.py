@@ -73,8 +73,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
-    marked = exact_dedup.mark(documents(spark, sf_dir), index, batches=2)
+    docs = documents(spark, sf_dir)
+    index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", exact_dedup.buckets_for(docs.count()))
+    marked = exact_dedup.mark(docs, index, batches=2)
     index.drop()  # this query begins anew each time; the marks are stored
     return marked
 

@@ -114,6 +114,28 @@ def test_index_takes_batches(spark):
     again.drop()
 
 
+def test_a_batch_that_is_sent_again_gets_the_same_answers(spark):
+    index = exact_dedup.DigestIndex(spark, f"digests_{random.randrange(10**12)}", 4)
+    rows = spark.createDataFrame([(5, "a  b"), (3, "a b"), (4, "c"), (4, "c"), (None, "d"), (8, "e"), (9, "e")], "doc_id bigint, text string")
+    marked = lambda r: sorted((tuple(x) for x in exact_dedup.mark(r, index, batches=2).collect()), key=repr)
+    first = marked(rows)
+    assert marked(rows) == first and marked(rows) == first
+    assert exact_dedup.deduplicate(rows, index).count() == 4 and index.read().count() == 4
+    later = spark.createDataFrame([(1, "c"), (2, "f"), (9, "e")], "doc_id bigint, text string")
+    assert [r.doc_id for r in exact_dedup.deduplicate(later, index).collect()] == [2]
+    assert marked(rows) == first
+    index.drop()
+
+
+def test_text_ids(spark):
+    index = exact_dedup.DigestIndex(spark, f"digests_{random.randrange(10**12)}", 4, "string")
+    rows = spark.createDataFrame([("b", "x"), ("a", "x"), (None, "y"), ("c", "y")], "doc_id string, text string")
+    got = sorted((r.doc_id or "", r.keep_id, r.kept) for r in exact_dedup.mark(rows, index, batches=3).collect())
+    assert got == [("", "c", False), ("a", "a", True), ("b", "a", False), ("c", "c", True)]
+    index.drop()
+    assert exact_dedup.buckets_for(10) == 64 and exact_dedup.buckets_for(10**9) == 250
+
+
 def test_the_query_and_the_stage_meet_a_filled_index(spark, tmp_path, monkeypatch):
     folder, held, append = fixtures.write(tmp_path, "odd"), [], exact_dedup.DigestIndex.append
 
@@ -198,8 +220,9 @@ def test_pieces_encode_like_whole_texts():
     encoder = packing.PieceEncoder(TOKENIZER)
     texts = [t or "" for t in fixtures.TEXTS] + [
         "don't we're I'M 'S x's '' ' 's--'s a.'s", "«a», »b«. a»,b ≠ á. éx,", "İSTANBUL ΑΣ. ΑΣ x.Σ", "a\tb\r\nc\x1cd\x85e f",
-        "１２ ½.5 x² a1b2", "ＦＵＬＬ w.", "ŉ ǅ.ǆ, ﬁ.x", "̀a .̀ ǹ", "a\x00b\x7f.c"]
-    whole = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        "a <|endoftext|> b", "A <|EndOfText|>b", "x<|startoftext|>Y é<|ENDOFTEXT|>", "<|endoftext", "１２ ½.5 x² a1b2", "ＦＵＬＬ w.", "ŉ ǅ.ǆ, ﬁ.x", "̀a .̀ ǹ", "a\x00b\x7f.c"]
+    own = Tokenizer.from_file(TOKENIZER)
+    whole = [np.array(e.ids, "<u4").tobytes() for e in own.encode_batch(texts, add_special_tokens=False)]
     assert encoder.ids(texts) == whole and encoder.ids(texts[::-1]) == whole[::-1]
 
 
