@@ -63,18 +63,26 @@ def card_expirations(log: DataFrame, order: str = "created") -> DataFrame:
     )
 
 
-def card_events(log: DataFrame, end: dt.date | None, order: str = "created",
-                types: Sequence[str] = EVENT_TYPES) -> DataFrame:
-    """First event of each type per card, and expirations up to ``end`` (none if ``end`` is None).
+def card_states(log: DataFrame, order: str = "created", types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """All that counts of a card: its earliest row as ``_first`` and its first event of each type.
 
-    Columns issuingCardId, cardType, type, logCreated, issuingHolderId, subIssuerTaxId.
+    Each is a minimum, so the states of two logs are merged by the smaller of both (``merged_card_states``).
     """
     wanted = log.select("issuingCardId", "cardType", "type", "logCreated", "created", "expiration",
                         "issuingHolderId", "subIssuerTaxId")
-    cards = wanted.groupBy("issuingCardId").agg(
+    return wanted.groupBy("issuingCardId").agg(
         _first_row(order).alias("_first"),
         *[_first_event(t).alias(f"_{t}") for t in types],
     )
+
+
+def merged_card_states(states: DataFrame) -> DataFrame:
+    """One state per card from several."""
+    return states.groupBy("issuingCardId").agg(*[F.min(c).alias(c) for c in states.columns if c != "issuingCardId"])
+
+
+def events_of(states: DataFrame, end: dt.date | None, types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """The events of ``card_events`` from the cards' states."""
     entries = [
         F.when(F.col(f"_{t}").isNotNull(), F.struct(
             F.col(f"_{t}.cardType").alias("cardType"), F.lit(t).alias("type"), F.col(f"_{t}.at").alias("logCreated")))
@@ -84,7 +92,7 @@ def card_events(log: DataFrame, end: dt.date | None, order: str = "created",
         entries.append(F.when(F.col("_first.expiration") <= F.lit(end), F.struct(
             F.col("_first.cardType").alias("cardType"), F.lit(EXPIRATION).alias("type"),
             F.col("_first.expiration").cast("timestamp_ntz").alias("logCreated"))))
-    return cards.select(
+    return states.select(
         "issuingCardId",
         F.col("_first.issuingHolderId").alias("issuingHolderId"),
         F.col("_first.subIssuerTaxId").alias("subIssuerTaxId"),
@@ -92,6 +100,15 @@ def card_events(log: DataFrame, end: dt.date | None, order: str = "created",
     ).select("issuingCardId", "_event.*", "issuingHolderId", "subIssuerTaxId")
 
 
+def card_events(log: DataFrame, end: dt.date | None, order: str = "created",
+                types: Sequence[str] = EVENT_TYPES) -> DataFrame:
+    """First event of each type per card, and expirations up to ``end`` (none if ``end`` is None).
+
+    Columns issuingCardId, cardType, type, logCreated, issuingHolderId, subIssuerTaxId.
+    """
+    return events_of(card_states(log, order, types), end, types)
+
+
 def first_card_events(log: DataFrame, types: Sequence[str] = EVENT_TYPES) -> DataFrame:
     """Earliest row per card and event type."""
     return card_events(log, None, types=types).select("issuingCardId", "cardType", "type", "logCreated")
@@ -181,16 +198,13 @@ def densify_fill(df: DataFrame, keys: Sequence[str], date: str, values: Sequence
     )
 
 
-def holder_counts(balance: DataFrame) -> DataFrame:
-    """Holders with at least one active card per issuer and quarter, zeros included.
+def holder_steps(balance: DataFrame) -> DataFrame:
+    """Starts (1) and ends (-1) of holders' activity by issuer and quarter, 0 for rows that change nothing.
 
-    A holder counts from the quarter of a positive balance to its next row. These starts
-    and ends are summed per issuer and quarter, and the running sum is the count, so the
-    holders are never repeated for each quarter. Steps of 0 keep the quarters in which
-    nobody starts, so that the last quarter of all is that of the small table of steps.
+    A holder counts from the quarter of a positive balance to its next row.
     """
     counted = (F.col("balance") > 0) & F.col("issuingHolderId").isNotNull()
-    steps = (
+    return (
         intervals(balance, ["issuingHolderId"], "quarter", ["subIssuerTaxId", "balance"])
         .withColumn("_on", F.coalesce(counted, F.lit(False)).cast("int"))
         .select("subIssuerTaxId", F.explode(F.array(
@@ -199,8 +213,11 @@ def holder_counts(balance: DataFrame) -> DataFrame:
         )).alias("s"))
         .select("subIssuerTaxId", "s.*")
         .filter("quarter is not null")
-        .groupBy("subIssuerTaxId", "quarter").agg(F.sum("step").alias("step"))
     )
+
+
+def counts_of(steps: DataFrame) -> DataFrame:
+    """Active holders per issuer and quarter from the sums of their steps."""
     running = Window.partitionBy("subIssuerTaxId").orderBy("quarter").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     counts = steps.select("subIssuerTaxId", "quarter", F.sum("step").over(running).alias("holders"))
@@ -210,6 +227,16 @@ def holder_counts(balance: DataFrame) -> DataFrame:
     return densify_fill(counts, ["subIssuerTaxId"], "quarter", ["holders"], last)
 
 
+def holder_counts(balance: DataFrame) -> DataFrame:
+    """Holders with at least one active card per issuer and quarter, zeros included.
+
+    The starts and ends of activity are summed per issuer and quarter, and the running sum is the count,
+    so the holders are never repeated for each quarter. Steps of 0 keep the quarters in which
+    nobody starts, so that the last quarter of all is that of the small table of steps.
+    """
+    return counts_of(holder_steps(balance).groupBy("subIssuerTaxId", "quarter").agg(F.sum("step").alias("step")))
+
+
 def active_holders(balance: DataFrame) -> DataFrame:
     """Issuers and quarters with active holders, and their number."""
     return holder_counts(balance).filter("holders > 0")
@@ -223,12 +250,17 @@ def active_holders_report(log: DataFrame, sub_issuers: DataFrame, end: dt.date,
     ``zero_when_empty``.
     """
     balance = holder_balance(holder_activity(activity_delta(card_events(log, end))))
+    return report_of(holder_counts(balance), sub_issuers, zero_when_empty)
+
+
+def report_of(counts: DataFrame, sub_issuers: DataFrame, zero_when_empty: bool = False) -> DataFrame:
+    """The report of ``active_holders_report`` from the counts of holders."""
     so_far = Window.partitionBy("subIssuerTaxId").orderBy("quarter").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     last_count = F.last(F.when(F.col("holders") > 0, F.col("holders")), ignorenulls=True).over(so_far)
     shown = F.col("holders") if zero_when_empty else F.col("_last_count")
     return (
-        holder_counts(balance)
+        counts
         .withColumn("_last_count", last_count)
         .filter("_last_count is not null")
         .withColumn("holders", shown)

@@ -19,7 +19,7 @@ from ..operators import calendars, cards, index_returns, purchases, receivables,
 from ..sources import reports, storage, tables
 from ..sources.schemas import report_kind
 from . import fixtures as fx
-from . import jobs, store_queries
+from . import card_store, jobs, store_queries
 
 RUN_DATE = dt.date(2024, 1, 31)
 
@@ -203,6 +203,18 @@ def active_holders_report(spark: SparkSession, sf: str) -> DataFrame:
     return cards.active_holders_report(fx.card_log(spark, sf), fx.sub_issuers(spark, sf), fx.CARDS_END)
 
 
+def active_holders_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The report from states: the log comes in two parts, neither in order, and some rows of the first come again."""
+    log, name = fx.card_log(spark, sf), f"card_store_{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("issuingCardId", "type", "logCreated"), F.lit(10))
+    store = card_store.CardStore(spark, name, fx.CARDS_END)
+    store.update(log.filter(part < 7))
+    store.update(log.filter(part > 4))
+    report = storage.stored(store.report(fx.sub_issuers(spark, sf)))
+    tables.drop_table(spark, name)
+    return report
+
+
 def _named_deltas(spark: SparkSession, sf: str) -> DataFrame:
     return cards.with_issuer_name(_deltas(spark, sf), fx.sub_issuers(spark, sf))
 
@@ -630,6 +642,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "densify_fill": densify_fill,
     "active_holders": active_holders,
     "active_holders_report": active_holders_report,
+    "active_holders_incremental": active_holders_incremental,
     "card_balance_listing": card_balance_listing,
     "partner_list_check": partner_list_check,
     "card_collection": card_collection,

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from threading import Lock
 from typing import NamedTuple
 
@@ -251,6 +251,24 @@ def replace_dates(df: DataFrame, name: str, by: str, dates: Sequence[str], parti
         replace_table(spark.table(name), name, by, partitioned)
 
 
+def append_table(df: DataFrame, name: str, merged: Callable[[DataFrame], DataFrame], by: str | None = None,
+                 based_on: int | None = None) -> None:
+    """Adds rows to the table ``name``, which begins with them if there is none.
+
+    For tables whose rows are parts of states: after ``MAX_LAYERS`` layers the whole table is replaced by
+    ``merged`` of it. If ``based_on`` is given and the table has another version by then, nothing changes and
+    this is an error.
+    """
+    spark = df.sparkSession
+    old = current_version(spark, name)
+    if old is not None and _columns(spark.table(name).schema) != _columns(df.schema):
+        raise ValueError(f"{name} has other columns")
+    layers = [*(old.layers if old else []), Layer(_written(df, name, "rows", by), [])]
+    _publish(spark, name, df.columns, by, [], layers, None, old.number if old and based_on is None else based_on)
+    if len(layers) > MAX_LAYERS:
+        replace_table(merged(spark.table(name)), name, by)
+
+
 def _without(spark: SparkSession, layers: Sequence[Layer], dates: Sequence[str], by: str) -> list[Layer]:
     """The layers that still serve some date when newer ones take over ``dates``."""
     left = [Layer(x.table, sorted({*x.gone, *dates})) for x in layers]
