@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.storage import stored
+
 
 def _summary(rows: DataFrame, by: str, at: Column, last: Sequence[str], total: Sequence[str]) -> DataFrame:
     """State that the rows of a part leave: last values with where they stood, and totals."""
@@ -86,3 +88,37 @@ def running(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str],
         *[F.coalesce(f"_local_{n}", f"_carry_{n}").alias(n) for n in last],
         *[(F.col(f"_carry_{n}") + F.col(f"_local_{n}")).alias(n) for n in total],
     )
+
+
+def running_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   last: Mapping[str, Column] | None = None, total: Mapping[str, Column] | None = None) -> DataFrame:
+    """``running`` for tables in which many rows of a key may share an instant.
+
+    Spark cuts the table, ordered by key and ``order``, at quantiles that it samples, so a slice is as large as
+    any other whatever the keys, instants and ids are: a hot key has many slices and many small keys share one.
+    The state passes from slice to slice by one row per key and slice. The slices are stored, as both the
+    rows and that state have to meet the same ones; ``order`` is unique within a key.
+    """
+    last, total = last or {}, total or {}
+    rows = df
+    for name, value in last.items():
+        rows = rows.withColumn(f"_in_{name}", value)
+    for name, value in total.items():
+        rows = rows.withColumn(f"_in_{name}", F.coalesce(value, F.lit(0)).cast("long"))
+    cut = stored(rows.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
+    # One value, so that a partitioning by the key alone doesn't pass for one by its slices.
+    cut = cut.withColumn("_part", F.struct(*keys, "_slice"))
+    names = (list(last), list(total))
+    across = Window.partitionBy(*[f"_part.{k}" for k in keys]).orderBy("_part._slice")
+    summary = _summary(cut, "_part", F.struct(*order), *names).select("_part", *_carried(across, *names, "_carry_"))
+    up_to = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cut.select(
+        *df.columns, "_part",
+        *[F.last(f"_in_{n}", ignorenulls=True).over(up_to).alias(f"_local_{n}") for n in last],
+        *[F.sum(f"_in_{n}").over(up_to).alias(f"_local_{n}") for n in total],
+    )
+    return local.join(summary, "_part").select(
+        *df.columns,
+        *[F.coalesce(f"_local_{n}", f"_carry_{n}").alias(n) for n in last],
+        *[(F.col(f"_carry_{n}") + F.col(f"_local_{n}")).alias(n) for n in total],
+    )

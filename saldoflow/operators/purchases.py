@@ -16,10 +16,7 @@ from ..params import RemunerationParams
 from .calendars import date_range
 from .dims import dedupe_dim
 from .joins import join_splittable
-from .ordered import running
-
-#: Characters of a log id that part the rows of one instant.
-ID_PREFIX = 2
+from .ordered import running_sliced
 
 
 def confirmed() -> Column:
@@ -321,15 +318,14 @@ def previous_event_lookup(log: DataFrame) -> DataFrame:
     """Reversals with the id, type, date and time of the last non-reversal row at or before them.
 
     Rows of one instant: confirmations come first. ``rowNumber`` counts the reversals of
-    the purchase.
+    the purchase. The log is cut into slices and stored when this is called.
     """
     ranked = log.withColumn("_rank", F.when(reversed_(), 1).otherwise(0))
     other = F.when(~reversed_(), F.struct("issuingPurchaseLogId", "type", "logDate", "logTime"))
-    looked_up = running(
-        ranked, ["endToEndId"], "logTime", ["logTime", "_rank", "issuingPurchaseLogId"],
+    # a bulk load may give one instant to all rows of a purchase, and any ids
+    looked_up = running_sliced(
+        ranked, ["endToEndId"], ["logTime", "_rank", "issuingPurchaseLogId"],
         last={"_previous": other}, total={"rowNumber": reversed_().cast("long")},
-        # a bulk load may give one instant to all rows of a purchase
-        ranges={"_rank": F.col("_rank"), "_prefix": F.substring("issuingPurchaseLogId", 1, ID_PREFIX)},
     )
     return looked_up.filter(reversed_()).select(
         "endToEndId",

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from saldoflow.operators import reconcile
-from saldoflow.operators.ordered import running
+from saldoflow.operators import ordered, reconcile
+from saldoflow.operators.ordered import running, running_sliced
 
 D, T = dt.date, dt.datetime
 
@@ -122,3 +122,30 @@ def test_running_equals_a_plain_window(spark, ranges, seconds):
     w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
     expected = df.withColumn("lastValue", F.last("v", True).over(w)).withColumn("n", F.count("v").over(w))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+@pytest.mark.parametrize("seconds", [7200, 3, 1])
+def test_slices_give_what_a_plain_window_does(spark, seconds):
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["hot", "hot", None, "a", "b"]), T(2024, 1, 1) + dt.timedelta(seconds=37 * rnd.randrange(seconds)), i,
+             rnd.choice([None, None, i])) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, i int, v int")
+    got = running_sliced(df, ["k"], ["t", "i"], last={"lastValue": F.col("v")}, total={"n": F.col("v").isNotNull().cast("long")})
+    w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.withColumn("lastValue", F.last("v", True).over(w)).withColumn("n", F.count("v").over(w))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    assert running_sliced(df.filter("false"), ["k"], ["t", "i"], total={"n": F.lit(1)}).count() == 0
+
+
+def test_rows_of_one_instant_with_sequential_ids_are_sliced_evenly(spark, monkeypatch):
+    cut, stored = [], ordered.stored
+    monkeypatch.setattr(ordered, "stored", lambda df: cut.append(stored(df)) or cut[0])
+    rows = spark.range(200_000).select(F.lit("hot").alias("k"), F.lit(T(2024, 1, 1)).alias("t"), F.format_string("%012d", "id").alias("i"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = running_sliced(rows, ["k"], ["t", "i"], total={"n": F.lit(1)})
+        assert found.agg(F.max("n"), F.count_distinct("n")).first()[:] == (200_000, 200_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in cut[0].groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 200_000 / 8
