@@ -66,13 +66,8 @@ WITH d AS (
          len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n
   FROM (SELECT r, source, t, unnest(string_split(t, chr(10))) AS l FROM d)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
-), hosts AS (
-  SELECT source, count(DISTINCT t) AS texts FROM d GROUP BY source
 ), frequent AS (
-  SELECT f.source, f.line
-  FROM (SELECT source, line, count(DISTINCT t) AS n FROM lines GROUP BY source, line) f
-  JOIN hosts h ON f.source IS NOT DISTINCT FROM h.source
-  WHERE f.n > 20 AND f.n > 0.25 * h.texts
+  SELECT source, line FROM lines GROUP BY source, line HAVING count(DISTINCT t) > 20
 ), per_doc AS (
   SELECT x.r, count(*) - count(DISTINCT x.l) AS dup, sum(CASE WHEN f.line IS NOT NULL THEN x.n ELSE 0 END) AS gone
   FROM lines x LEFT JOIN frequent f ON f.source IS NOT DISTINCT FROM x.source AND f.line = x.line
