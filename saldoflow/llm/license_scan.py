@@ -1,13 +1,16 @@
 """Licence scan by a positional rare-token index, in DataFrame functions only.
 
-Each template is the wording of a licence notice with key phrases that must be there. Its anchors are
-its words with the highest inverse document frequency over all documents. The anchors' places in
-a file are looked up in the index; subtracting the anchor's place in the template gives where the
-template would start. Where at least two different anchors agree on a start, the key phrases are
-verified word by word at that start.
+Each template is the wording of a licence notice with key phrases that must be there. The index holds the
+places of the words of all key phrases. Of a file, the licence words that it holds are ranked by inverse
+document frequency over all documents. For every template whose key words it holds, the places of the rarest
+of them are looked up; subtracting the place in the template gives where the template would start, and
+where the looked-up words agree on a start, the key phrases are verified word by word. As all words of the key
+phrases have to stand there, looking up more or other words of them would find the same: the frequencies
+decide what a scan costs, never what it finds.
 
 Besides, base phrases are found wherever their words stand consecutively. Words are runs of a-z,
-0-9 and characters beyond ASCII, after A-Z became lower case. A null text has no words.
+0-9 and characters beyond ASCII, after A-Z became lower case. A null text has no words. Rows that repeat are
+scanned each for itself, an empty table gives an empty result, and other columns are not read.
 """
 
 from __future__ import annotations
@@ -70,7 +73,7 @@ def key_words(template: Template) -> list[tuple[int, str]]:
 
 
 def vocabulary(templates: Sequence[Template]) -> list[str]:
-    return sorted({w for t in templates for w in t.text.split()})
+    return sorted({w for t in templates for _, w in key_words(t)})
 
 
 def _lower(text: Column) -> Column:
@@ -85,41 +88,37 @@ def document_frequencies(docs: DataFrame, words: Sequence[str]) -> dict[str, int
     return {w: counts.get(w, 0) for w in words}
 
 
-def anchors(template: Template, frequencies: Mapping[str, int], n: int) -> list[str]:
-    """The template's ``n`` rarest words; of equally rare ones the first by name."""
-    return sorted(set(template.text.split()), key=lambda w: (frequencies[w], w))[:n]
-
-
 def _pairs(pairs: Sequence[tuple[int, str]]) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("at"), F.lit(w).alias("word")) for i, w in pairs])
 
 
 def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, base: Mapping[str, str] = BASE_PHRASES,
-         n_anchors: int = 3) -> DataFrame:
+         n_rare: int = 2) -> DataFrame:
     """One row per row of ``docs``.
 
     Returns ``doc_id``, ``n_words``, ``n_base`` (places of base phrases), ``first_word`` and
     ``last_word`` (their smallest and largest start; null without any), ``base_labels``, ``labels``
     (distinct, sorted, comma-joined), ``score`` (1 with a base phrase, else the largest share of a
     verified template's words that stand in place, else 0) and ``matches`` (label, start word and
-    share of each verified template).
+    share of each verified template). ``n_rare`` words of a template are looked up in a file at most.
     """
-    frequencies = document_frequencies(docs, vocabulary(templates))
+    words = vocabulary(templates)
+    frequencies = document_frequencies(docs, words)
+    ranked = sorted(words, key=lambda w: (frequencies[w], w))
     index: dict[str, list[tuple[int, int]]] = {}
     for number, template in enumerate(templates):
-        chosen = anchors(template, frequencies, n_anchors)
-        for at, word in enumerate(template.text.split()):
-            if word in chosen:
-                index.setdefault(word, []).append((number, at))
+        for at, word in key_words(template):
+            index.setdefault(word, []).append((number, at))
     entry = "array<struct<template:int,at:int>>"
     postings = F.create_map(*[c for word, places in sorted(index.items()) for c in (F.lit(word), F.array(*[
         F.struct(F.lit(t).alias("template"), F.lit(i).alias("at")) for t, i in places]).cast(entry))])
+    required = [sorted({w for _, w in key_words(t)}, key=ranked.index) for t in templates]
     needed = F.array(*[_pairs(key_words(t)) for t in templates])
     whole = F.array(*[_pairs(list(enumerate(t.text.split()))) for t in templates])
     names = F.array(*[F.lit(t.label) for t in templates])
 
-    # Files without an anchor or a base phrase need no list of their words.
-    phrase = "|".join([rf"{GAP}+".join(p.split()) for p in base] + sorted(index))
+    # Files without a base phrase and without the rarest key word of any template need no list of their words.
+    phrase = "|".join([rf"{GAP}+".join(p.split()) for p in base] + sorted({r[0] for r in required}))
     likely = F.col("low").rlike(rf"(?:^|{GAP})(?:{phrase})(?:{GAP}|$)")
     named = docs.select("doc_id", _lower(F.col("text")).alias("low")).select(
         "doc_id", F.regexp_count("low", F.lit(WORD)).cast("bigint").alias("n_words"),
@@ -137,11 +136,26 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, base: Mappi
         return F.transform(starts, lambda i: F.struct(F.lit(label).alias("label"), i.cast("bigint").alias("start")))
 
     places = F.concat(*[phrase_starts(p.split(), label) for p, label in base.items()])
-    looked = F.flatten(F.transform("words", lambda w, i: F.transform(
-        F.coalesce(F.element_at(postings, w), F.array().cast(entry)),
-        lambda p: F.struct(p["template"].alias("template"), (i - p["at"]).alias("start"), w.alias("word")))))
+    of_templates = F.array(*[
+        F.struct(F.lit(t).alias("template"), F.array(*[F.lit(w) for w in r]).alias("words")) for t, r in enumerate(required)])
+    # The file's licence words, of highest inverse document frequency first, and what is to be looked up for it.
+    held = F.array_intersect(F.array(*[F.lit(w) for w in ranked]), "words")
+    asked = F.transform(
+        F.filter(of_templates, lambda t: F.size(F.array_except(t["words"], "held")) == 0),
+        lambda t: F.struct(t["template"].alias("template"), F.slice(F.array_intersect("held", t["words"]), 1, n_rare).alias("rare")))
+    sought = F.array_distinct(F.flatten("asked.rare"))
+    seen = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
+                    lambda x: F.array_contains("sought", x["word"]))
+
+    def votes_of(t: Column) -> Column:
+        return F.flatten(F.transform(F.filter("seen", lambda x: F.array_contains(t["rare"], x["word"])), lambda x: F.transform(
+            F.filter(F.element_at(postings, x["word"]), lambda p: p["template"] == t["template"]),
+            lambda p: F.struct(t["template"].alias("template"), (x["at"] - p["at"]).alias("start"), x["word"].alias("word"),
+                               F.size(t["rare"]).alias("needed")))))
+
+    # A template's start has one vote of each looked-up word at most.
     key = lambda k: F.struct(F.get("votes", k)["template"], F.get("votes", k)["start"])
-    agreed = F.filter("votes", lambda v, k: (k > 0) & (key(k) == key(k - 1)) & ((k < 2) | (key(k) != key(k - 2))))
+    agreed = F.filter("votes", lambda v, k: (k + 1 >= v["needed"]) & (key(k) == key(k - v["needed"] + 1)))
 
     def in_place(pairs: Column, start: Column) -> Column:
         return F.filter(pairs, lambda p: F.coalesce(F.get("words", start + p["at"]) == p["word"], F.lit(False)))
@@ -155,7 +169,11 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, base: Mappi
         (F.size(in_place(F.get(whole, c["template"]), c["start"])) / F.size(F.get(whole, c["template"]))).alias("share")))
     found = (
         named.withColumn("places", places)
-        .withColumn("votes", F.array_sort(F.array_distinct(looked)))
+        .withColumn("held", held)
+        .withColumn("asked", asked)
+        .withColumn("sought", sought)
+        .withColumn("seen", seen)
+        .withColumn("votes", F.array_sort(F.array_distinct(F.flatten(F.transform("asked", votes_of)))))
         .withColumn("agreed", agreed)
         .withColumn("matches", matches)
     )

@@ -115,8 +115,8 @@ FROM (SELECT *, unnest(range(1, n_copies + 1))::INT AS "copy" FROM drawn)
 """
 
 
-def license_scan(templates: Sequence, base: Mapping[str, str], n_anchors: int) -> str:
-    """Starts of templates from every pair of a word and an equal template word."""
+def license_scan(templates: Sequence, base: Mapping[str, str]) -> str:
+    """Starts of templates from every pair of a word and an equal word of a key phrase."""
     from saldoflow.llm.license_scan import key_words
 
     def rows(values: list[tuple]) -> str:
@@ -135,17 +135,9 @@ d AS (
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM documents
 ), f AS (SELECT r, unnest(range(0, len(ws))) AS at, unnest(ws) AS w FROM d),
-freq AS (SELECT v.w, count(DISTINCT f.r) AS n FROM (SELECT DISTINCT w FROM tw) v LEFT JOIN f ON f.w = v.w GROUP BY v.w),
-anchor AS (
-  SELECT t, w FROM (SELECT DISTINCT t, w FROM tw) x JOIN freq USING (w)
-  QUALIFY row_number() OVER (PARTITION BY t ORDER BY n, w) <= {n_anchors}
-), start AS (
-  SELECT f.r, tw.t, f.at - tw.i AS s
-  FROM f JOIN tw ON f.w = tw.w JOIN anchor a ON a.t = tw.t AND a.w = tw.w
-  GROUP BY ALL HAVING count(DISTINCT f.w) >= 2
-), sure AS (
-  SELECT s.r, s.t, s.s FROM start s JOIN need ON need.t = s.t JOIN f ON f.r = s.r AND f.at = s.s + need.i AND f.w = need.w
-  JOIN lab ON lab.t = s.t GROUP BY ALL HAVING count(*) = any_value(lab.must)
+sure AS (
+  SELECT f.r, need.t, f.at - need.i AS s FROM f JOIN need ON need.w = f.w JOIN lab ON lab.t = need.t
+  GROUP BY ALL HAVING count(*) = any_value(lab.must)
 ), share AS (
   SELECT s.r, lab.label, count(*) / any_value(lab.n)::DOUBLE AS share
   FROM sure s JOIN tw ON tw.t = s.t JOIN f ON f.r = s.r AND f.at = s.s + tw.i AND f.w = tw.w JOIN lab ON lab.t = s.t

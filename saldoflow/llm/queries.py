@@ -133,7 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_mix_sources": oracles.mixing(MIX_WEIGHTS, MIX_SEED),
     "op3_ngram_join": oracles.NGRAM_JOIN,
-    "op4_license_scan": oracles.license_scan(license_scan.TEMPLATES, license_scan.BASE_PHRASES, 3),
+    "op4_license_scan": oracles.license_scan(license_scan.TEMPLATES, license_scan.BASE_PHRASES),
     "op6_exact_dedup": oracles.EXACT_DEDUP,
     "op9_line_rules": oracles.LINE_RULES,
     "op10_warc": oracles.WARC,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from saldoflow.llm import exact_dedup, html_extract, license_scan, mixing, ngram_join, packing, quality, queries, warc
+from saldoflow.llm import exact_dedup, html_extract, license_scan, line_rules, mixing, ngram_join, packing, quality, queries, warc
 from saldoflow.llm import textarrays as ta
 from saldoflow.llm.components import components
 from saldoflow.llm.queries import MIX_SEED, MIX_WEIGHTS, TOKENIZER
@@ -375,3 +375,35 @@ def exact_dedup_key(text):
     import re
 
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def test_a_line_in_a_twentieth_of_a_hot_host_goes(spark):
+    shared = "this page of the site was made by a machine and says so on many of its pages"
+    words = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    rows = [(i, f"{words(i, 60)}\n{shared}\n {shared.upper()}" if i < 100 else words(i, 80), "hot") for i in range(2000)]
+    notes = "\n".join(" ".join(f"note{k}of{j}" for k in range(20)) for j in range(4))
+    rows += [(3000 + i, f"{notes}\n{words(3000 + i, 20)}", "hot") for i in range(21)]  # little is left of these
+    rows += [(4000 + i, f"{words(4000 + i, 60)}\n{shared}", None) for i in range(20)]  # another host, at its limit
+    rows += [(5000, rows[0][1], "hot")] * 30 + [(6000 + i, f"{shared}\n{words(0, 60)}", "copies") for i in range(50)]
+    got = {r.doc_id: r for r in line_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    n = len(shared.split())
+    assert {got[i].n_words - got[i].n_left_words for i in [*range(100), 5000]} == {2 * n}
+    assert all(got[i].n_left_words == got[i].n_words for i in got if 100 <= i < 3000 or 4000 <= i != 5000)
+    assert {(got[i].n_left_words, got[i].base_failed, got[i].kept) for i in range(3000, 3021)} == {(20, False, False)}
+    assert all(r.kept for i, r in got.items() if i < 3000)
+
+
+def test_short_notices_by_their_key_phrases(spark):
+    texts = {
+        "Released with a mit license text": "mit", "mit license": "mit", "CC0 1.0 Universal": "cc0", "cc0 1 0": "cc0",
+        "mozilla public license v 2 0": "mpl-2", "license mit": "", "cc0 1": "", "": "",
+        "mit mit license license; see cc0 1 1 0 and cc0 1 0": "cc0,mit",
+        "GNU Lesser General Public License as published by the Free Software Foundation; either version 3": "lgpl-3",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(texts.values()))
+    assert {r.doc_id: r.labels for r in license_scan.scan(docs).collect()} == want
+    crowd = spark.createDataFrame([(100 + i, "cc0 and mit 1 0 0 license") for i in range(30)], "doc_id long, text string")
+    for n_rare in (1, 3):  # neither other files nor the number of looked-up words change what is found
+        got = {r.doc_id: r.labels for r in license_scan.scan(docs.union(crowd), n_rare=n_rare).collect()}
+        assert {i: got[i] for i in want} == want
