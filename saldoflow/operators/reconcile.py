@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.storage import stored
+from . import digest_tree
 from .dims import dedupe_dim, first_per_key
 from .joins import join_splittable
 from .ordered import running
@@ -82,8 +84,16 @@ def compare(balances: DataFrame, partner: DataFrame, status: DataFrame, origin:
     here is left out, or with ``unknown="flag"`` shown as ``only_partner`` with balance
     -1000. One full join answers all of them, so the balances are computed once.
     """
-    own = first_per_key(balances.filter("balance is not null"), ["issuingCardId"],
-                        [F.col("cardType"), F.col("subIssuerName")]).select("issuingCardId", "balance", "cardType")
+    return _outcomes(_own_cards(balances), partner, status, origin, unknown)
+
+
+def _own_cards(balances: DataFrame) -> DataFrame:
+    """One row per card with a balance."""
+    return first_per_key(balances.filter("balance is not null"), ["issuingCardId"],
+                         [F.col("cardType"), F.col("subIssuerName")]).select("issuingCardId", "balance", "cardType")
+
+
+def _outcomes(own: DataFrame, partner: DataFrame, status: DataFrame, origin: str, unknown: str) -> DataFrame:
     listed = tag_source(partner.select("issuingCardId").filter("issuingCardId is not null").distinct(), origin)
     balance, is_listed = F.col("balance"), F.col("origin").isNotNull()
     outcome = (
@@ -111,6 +121,20 @@ def divergences(compared: DataFrame) -> DataFrame:
     return outcome(compared, "only_partner", "only_own")
 
 
+def divergences_by_tree(balances: DataFrame, partner: DataFrame, status: DataFrame, origin: str = "partner",
+                        unknown: str = "drop", leaf_rows: int = digest_tree.LEAF_ROWS) -> DataFrame:
+    """The same rows as ``divergences(compare(...))``, for lists that agree on most cards.
+
+    Digest trees of the cards active here and of the list tell where they differ, and only cards
+    of those leaves are joined. A card active here and listed diverges in nothing, so its leaf only
+    counts if another card of it does. Where the lists agree on little, all cards are joined as ever.
+    """
+    own = stored(_own_cards(balances))
+    suspect = digest_tree.suspects(own.filter("balance > 0"), partner, "issuingCardId", leaf_rows)
+    near = [suspect.of(side, "issuingCardId") for side in (own, partner, status)]
+    return divergences(_outcomes(*near, origin, unknown))
+
+
 def event_history(divergent: DataFrame, log: DataFrame, side: str, origin: str = "partner") -> DataFrame:
     """Divergent cards of one side with all their log rows, in time order.
 

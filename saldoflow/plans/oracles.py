@@ -524,6 +524,7 @@ flagged AS (SELECT * REPLACE (coalesce(balance, -1000) AS balance, CASE WHEN bal
 SELECT {CARD_COLUMNS} FROM flagged WHERE balance <= 0""",
     "reconcile_only_own": f"""WITH {RECONCILED} SELECT {CARD_COLUMNS} FROM missing""",
     "divergence_report": f"""WITH {RECONCILED} SELECT {CARD_COLUMNS} FROM divergent""",
+    "divergences_by_tree": f"""WITH {RECONCILED} SELECT {CARD_COLUMNS} FROM divergent""",
     "issuer_divergences": f"""WITH {RECONCILED}
 SELECT v.card AS "issuingCardId", v.origin, CAST(v.balance AS BIGINT) AS balance, v.card_type AS "cardType", v.status
 FROM divergent v JOIN collection c ON v.card = c.card WHERE c.issuer_name = 'NATION_3'""",

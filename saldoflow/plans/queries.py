@@ -275,6 +275,10 @@ def divergence_report(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.divergences(_compared(spark, sf))
 
 
+def divergences_by_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return reconcile.divergences_by_tree(balance_at_quarter(spark, sf), fx.partner_cards(spark, sf), _status(spark, sf))
+
+
 def issuer_divergences(spark: SparkSession, sf: str) -> DataFrame:
     """Divergences of the cards of one issuer; the partner also lists cards of other issuers."""
     return reconcile.divergences(jobs.card_comparison(
@@ -654,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_flag_unknown": reconcile_flag_unknown,
     "reconcile_only_own": reconcile_only_own,
     "divergence_report": divergence_report,
+    "divergences_by_tree": divergences_by_tree,
     "issuer_divergences": issuer_divergences,
     "event_history": event_history,
     "event_history_partner": event_history_partner,
