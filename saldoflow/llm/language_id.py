@@ -28,6 +28,8 @@ from pyspark.sql.window import Window
 from saldoflow.llm import textarrays as ta
 from saldoflow.sources.storage import stored
 
+#: Parts in which the sample of a language is looked for before they meet.
+SAMPLE_PARTS = 16
 PER_LANGUAGE, ORDERS, BITS = 400, (1, 2, 3, 4), 15
 
 #: Closely related languages by family; a language not named here is a family of its own.
@@ -149,11 +151,18 @@ def _machines(languages: Sequence[str]) -> tuple[tuple[tuple[str, ...], ...], tu
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model:
-    """Learns from the rows where ``learn`` holds and neither ``lang`` nor ``text`` is null."""
+    """Learns from the rows where ``learn`` holds and neither ``lang`` nor ``text`` is null.
+
+    Of each language the ``per_language`` documents of least hash of ``doc_id`` are taken, whole texts; of rows that
+    repeat doc_id and language, the text of least hash. Without rows to learn from nothing is predicted but ``und``.
+    """
     spark = docs.sparkSession
     known = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = stored(known.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(order))
+    # First the best of parts of a language, then of those at most SAMPLE_PARTS * per_language rows: no task reads a language.
+    first, order = F.row_number(), [F.xxhash64("doc_id"), F.col("doc_id")]
+    dealt = known.select("doc_id", "lang").distinct().withColumn("_part", F.spark_partition_id() % SAMPLE_PARTS)
+    best = dealt.withColumn("nth", first.over(Window.partitionBy("lang", "_part").orderBy(*order))).filter(F.col("nth") <= per_language)
+    chosen = stored(best.select("doc_id", "lang").withColumn("nth", first.over(Window.partitionBy("lang").orderBy(*order)))
                     .filter(F.col("nth") <= per_language))
     languages = sorted(r.lang for r in chosen.select("lang").distinct().collect())
     families, machines = _machines(languages)
@@ -161,7 +170,8 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Mod
         return Model(families, machines, np.zeros(((1 << BITS) + 1, 0), np.float32))
     # At most per_language rows of two numbers and a code for each language.
     picked = F.broadcast(chosen.select("doc_id", "lang", "nth"))
-    sample = stored(known.join(picked, ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"]).select("lang", "text").mapInArrow(
+    sample = stored(known.join(picked, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")).select("lang", "text").mapInArrow(
         _sample_features(), "lang string, features array<int>, shares array<float>"))
     parts = spark.createDataFrame(
         [(i, x, side) for i, m in enumerate(machines) for side, xs in ((True, m.ours), (False, m.others)) for x in xs],

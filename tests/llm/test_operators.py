@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from saldoflow.llm import exact_dedup, html_extract, license_scan, line_rules, mixing, ngram_join, packing, quality, queries, warc
+from saldoflow.llm import exact_dedup, html_extract, language_id, license_scan, line_rules, mixing, ngram_join, packing, quality, queries, warc
 from saldoflow.llm import textarrays as ta
 from saldoflow.llm.components import components
 from saldoflow.llm.queries import MIX_SEED, MIX_WEIGHTS, TOKENIZER
@@ -407,3 +407,15 @@ def test_short_notices_by_their_key_phrases(spark):
     for n_rare in (1, 3):  # neither other files nor the number of looked-up words change what is found
         got = {r.doc_id: r.labels for r in license_scan.scan(docs.union(crowd), n_rare=n_rare).collect()}
         assert {i: got[i] for i in want} == want
+
+
+def test_the_sample_is_the_same_however_rows_are_dealt(spark):
+    words = {"en": "the cat and the dog", "de": "der hund und die katze", "fr": "le chat et le chien"}
+    rows = [(i, f"{words[x]} {i}", x) for x in words for i in range(*{"en": (0, 90), "de": (90, 120), "fr": (120, 128)}[x])]
+    rows += [(3, "another text of the same document", "en"), (95, "noch ein text", "de")]  # repeated ids
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = [language_id.fit(d, F.lit(True), per_language=10) for d in (docs.repartition(40), docs.coalesce(1))]
+    assert all(np.array_equal(m.weights, models[0].weights) for m in models) and models[0].weights.any()
+    least = docs.filter("lang = 'en'").select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(10).collect()
+    only = docs.filter(~(F.col("lang") == "en") | F.col("doc_id").isin([r.doc_id for r in least]))
+    assert np.array_equal(language_id.fit(only, F.lit(True), per_language=10).weights, models[0].weights)
