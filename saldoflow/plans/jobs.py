@@ -94,17 +94,29 @@ def receivables_fact(spark: SparkSession, tables: ReceivablesTables, params: Rec
         tables.acquiring_installments, tables.workspaces, next_days, params)
 
 
+def narrowed(tables: ReceivablesTables, params: ReceivablesParams) -> ReceivablesTables:
+    """The tables without most rows of the log and the purchases that no installment of the window meets."""
+    log, purchases, settled = receivables.only_needed(
+        tables.installments, tables.installment_log, tables.merchant_purchases, tables.acquiring_purchases, params)
+    return replace(tables, installment_log=log, merchant_purchases=purchases, acquiring_purchases=settled)
+
+
 def receive_pay(spark: SparkSession, tables: ReceivablesTables, params: ReceivablesParams,
-                path: str | None = None) -> DataFrame:
+                path: str | None = None, key_filters: bool = True) -> DataFrame:
     """Daily amounts to receive and to pay, published by date if a path is given.
 
-    The rollup is stored here, so the join of the fact runs once, when this is called.
+    The rollup is stored here, so the join of the fact runs once, when this is called. ``key_filters`` takes out of
+    the log and the purchases, before their shuffles, most of what the window doesn't need, for one more read of
+    the window's keys; without it the result is the same, sooner only where the window is all there is.
     """
-    rollup = receivables.dated_rollup(receivables_fact(spark, tables, params))
+    def rollup() -> DataFrame:
+        needed = narrowed(tables, params) if key_filters else tables
+        return stored(receivables.dated_rollup(receivables_fact(spark, needed, params)))
+
     if path is None:
-        return receivables.daily_receive_pay(stored(rollup), tables.workspaces)
+        return receivables.daily_receive_pay(rollup(), tables.workspaces)
     with temporary(spark):
-        publish(receivables.daily_receive_pay(stored(rollup), tables.workspaces), path, "referenceDate")
+        publish(receivables.daily_receive_pay(rollup(), tables.workspaces), path, "referenceDate")
     return read_table(spark, path)
 
 
@@ -168,12 +180,10 @@ def update_receive_pay(spark: SparkSession, tables: ReceivablesTables, params: R
     days = spine if whole else changed_days(tables, changes, params)
     with temporary(spark):
         if whole:
-            replace_table(receivables.day_states(receivables_fact(spark, tables, params)), name, "createdDate", partitioned=False)
+            states = receivables.day_states(receivables_fact(spark, narrowed(tables, params), params))
+            replace_table(states, name, "createdDate", partitioned=False)
         elif days:
-            some = replace(tables, installments=tables.installments.filter(receivables.created_on(days, params.tz)))
-            log, purchases, settled = receivables.only_needed(
-                some.installments, some.installment_log, some.merchant_purchases, some.acquiring_purchases, params)
-            some = replace(some, installment_log=log, merchant_purchases=purchases, acquiring_purchases=settled)
+            some = narrowed(replace(tables, installments=tables.installments.filter(receivables.created_on(days, params.tz))), params)
             states = receivables.day_states(receivables_fact(spark, some, params))
             replace_dates(states, name, "createdDate", [d.isoformat() for d in days], partitioned=False)
     states = spark.table(name).filter(F.col("createdDate").between(F.lit(params.start), F.lit(params.end)))
