@@ -6,8 +6,9 @@ import datetime as dt
 import io
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -473,18 +474,40 @@ def stamp(spark: SparkSession, sf: str) -> DataFrame:
     return reports.stamp(fx.report_receipts(spark, sf), RUN_DATE)
 
 
-def _zip(lines: pd.DataFrame, name: str) -> bytes:
-    """Lines as a CSV member beside members that are skipped, odd or unreadable."""
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as data:
-        data.writestr(f"Pagamentos-{name}.csv", lines.to_csv(index=False, sep=";"))
-        data.writestr("capa-1.csv", "Título;Número\nx;1\n")
-        data.writestr("recebidos-1.csv", "")
-        data.writestr("outros-1.csv", "Código/A;Taxa %\n1.5;2,5\n")
-        data.writestr("outros-2.csv", "Código/A;Codigo-A\n1;2\n")
-        data.writestr("ajustes-1.xlsx", b"a workbook")
-        data.writestr("leiame.txt", "no report")
-    return out.getvalue()
+#: Lines of a CSV member, so that an archive of any size has members of one.
+MEMBER_LINES = 100_000
+
+
+class _Archive:
+    """A ZIP archive written as its lines come, in CSV members beside ones that are skipped, odd or unreadable."""
+
+    def __init__(self, out: io.IOBase, name: str):
+        self.name, self.data, self.members, self.left, self.member = name, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED), 0, 0, None
+
+    def write(self, lines: pd.DataFrame) -> None:
+        while len(lines):
+            if not self.left:
+                self._end()
+                self.member, self.left = self.data.open(f"Pagamentos-{self.name}-{self.members}.csv", "w"), MEMBER_LINES
+                self.members += 1
+                self.member.write(lines[:0].to_csv(index=False, sep=";").encode())
+            some, lines = lines[:self.left], lines[self.left:]
+            self.member.write(some.to_csv(index=False, header=False, sep=";").encode())
+            self.left -= len(some)
+
+    def _end(self) -> None:
+        if self.member:
+            self.member.close()
+
+    def close(self) -> None:
+        self._end()
+        self.data.writestr("capa-1.csv", "Título;Número\nx;1\n")
+        self.data.writestr("recebidos-1.csv", "")
+        self.data.writestr("outros-1.csv", "Código/A;Taxa %\n1.5;2,5\n")
+        self.data.writestr("outros-2.csv", "Código/A;Codigo-A\n1;2\n")
+        self.data.writestr("ajustes-1.xlsx", b"a workbook")
+        self.data.writestr("leiame.txt", "no report")
+        self.data.close()
 
 
 def _sales(spark: SparkSession, sf: str, odd_dates: bool = False) -> DataFrame:
@@ -501,47 +524,44 @@ def _sales(spark: SparkSession, sf: str, odd_dates: bool = False) -> DataFrame:
     return lines
 
 
-def _archives(spark: SparkSession, sf: str) -> DataFrame:
-    """The sales report as sixteen ZIP archives."""
-    def zipped(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"path": [f"{key[0]}.zip"], "content": [_zip(lines.drop(columns="archive"), key[0])]})
-
-    return _sales(spark, sf).groupBy("archive").applyInPandas(zipped, "path string, content binary")
-
-
 def _archive_folder(spark: SparkSession, sf: str, odd_dates: bool = False) -> str:
-    """The archives as files of the shared folder, beside a broken one."""
+    """The sales report as sixteen ZIP archives in the shared folder, beside a broken one."""
     folder = storage.new_folder(spark, "archives")
 
-    def written(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+    def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
         store, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
         store.create_dir(path)
-        with store.open_output_stream(f"{path}/{key[0]}.zip") as out:
-            out.write(_zip(lines.drop(columns="archive"), key[0]))
-        if key[0] == 0:
-            with store.open_output_stream(f"{path}/broken.zip") as out:
-                out.write(b"no archive")
-        return pd.DataFrame({"path": [f"{key[0]}.zip"]})
-
-    _sales(spark, sf, odd_dates).groupBy("archive").applyInPandas(written, "path string").write.format("noop").mode(
-        "overwrite").save()
+        parts = (part for frame in frames for part in frame.groupby("archive", sort=False))
+        for name, some in groupby(parts, key=lambda part: part[0]):  # rows come sorted by archive
+            with store.open_output_stream(f"{path}/{name}.zip") as out:
+                archive = _Archive(out, name)
+                for _, lines in some:
+                    archive.write(lines.drop(columns="archive"))
+                archive.close()
+            if name == "0":
+                with store.open_output_stream(f"{path}/broken.zip") as out:
+                    out.write(b"no archive")
+            yield pd.DataFrame({"path": [f"{name}.zip"]})
+
+    lines = _sales(spark, sf, odd_dates).withColumn("archive", F.coalesce(F.col("archive").cast("string"), F.lit("None")))
+    dealt = lines.repartition("archive").sortWithinPartitions("archive")
+    dealt.mapInPandas(written, "path string").write.format("noop").mode("overwrite").save()
     return folder
 
 
-def _landed(spark: SparkSession, sf: str, fmt: str, odd_dates: bool = False) -> reports.Landing:
-    archives = reports.read_archives(spark, _archive_folder(spark, sf, odd_dates))
-    return reports.land_reports(archives, storage.new_folder(spark, "landed"), RUN_DATE, fmt)
+def _landed(spark: SparkSession, folder: str, fmt: str) -> reports.Landing:
+    return reports.land_reports(reports.read_archives(spark, folder), storage.new_folder(spark, "landed"), RUN_DATE, fmt)
 
 
 def land_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Archives written to the shared folder, landed in both formats, and the sales table read back."""
     columns = ["updated_on", "NSU_CV", "parcela", "data_original_da_venda", "valor_bruto_da_parcela_original", "status"]
     number = F.col("valor_bruto_da_parcela_original").cast("double")
-    frames = []
+    folder, frames = _archive_folder(spark, sf), []
     for fmt in ("csv", "parquet"):
-        table = storage.read_table(spark, _landed(spark, sf, fmt).paths["pagamentos"])
+        table = storage.read_table(spark, _landed(spark, folder, fmt).paths["pagamentos"])
         texts = table.withColumn("valor_bruto_da_parcela_original", number).select(
             *[F.col(c) if c.startswith("valor") else F.col(c).cast("string").alias(c) for c in columns])
         frames.append(texts.withColumn("fmt", F.lit(fmt)))
@@ -550,17 +570,17 @@ def land_reports(spark: SparkSession, sf: str) -> DataFrame:
 
 def landing_problems(spark: SparkSession, sf: str) -> DataFrame:
     """What the landing could not read, by member."""
-    problems = storage.read_table(spark, _landed(spark, sf, "parquet").problems)
+    problems = storage.read_table(spark, _landed(spark, _archive_folder(spark, sf), "parquet").problems)
     return problems.groupBy("member", "kind").agg(F.count(F.lit(1)).alias("archives"))
 
 
 def landing_lost_values(spark: SparkSession, sf: str) -> DataFrame:
     """Texts that became NULL because no type takes them, by column."""
-    return storage.read_table(spark, _landed(spark, sf, "parquet", odd_dates=True).lost_values)
+    return storage.read_table(spark, _landed(spark, _archive_folder(spark, sf, odd_dates=True), "parquet").lost_values)
 
 
 def read_zipped_reports(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reports.report_rows(_archives(spark, sf))
+    rows = reports.report_rows(reports.read_archives(spark, _archive_folder(spark, sf)))
     names = ["NSU_CV", "data_original_da_venda", "parcela", "status", "valor_bruto_da_parcela_original"]
     return reports.clean_report(rows, "pagamentos", RUN_DATE, names)
 

@@ -78,12 +78,12 @@ def members_of(store, archive: str, path: str) -> Iterator[Member]:  # noqa: ANN
                          info.compress_type, info.CRC, _problem(info))
 
 
-def list_members(folder: str) -> list[Member]:
-    """The report members of all archives below a folder, by their directories."""
+def list_members(folder: str, recursive: bool = True) -> list[Member]:
+    """The report members of all archives below a folder, or of those right in it, by their directories."""
     from pyarrow import fs
 
     store, path = store_of(folder)
-    files = store.get_file_info(fs.FileSelector(path, recursive=True))
+    files = store.get_file_info(fs.FileSelector(path, recursive=recursive))
     names = sorted(f.path for f in files if f.type == fs.FileType.File and f.path.endswith(".zip"))
     with ThreadPoolExecutor(LISTED_AT_ONCE) as pool:
         return [m for some in pool.map(lambda n: list(members_of(store, n, n)), names) for m in some]
@@ -104,9 +104,11 @@ def shared_out(members: Sequence[Member], most: int = TASK_BYTES) -> list[Member
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.most, self.below = options["path"], int(options["taskBytes"]), int(options["below"])
+        self.recursive = options["recursive"] == "true"
 
     def partitions(self) -> Sequence[Members]:
-        return shared_out([m for m in list_members(self.path) if m.whole < self.below or m.problem], self.most) or [Members([])]
+        listed = list_members(self.path, self.recursive)
+        return shared_out([m for m in listed if m.whole < self.below or m.problem], self.most) or [Members([])]
 
     def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
         names = ["archive", "entry", "member", "kind", "piece", "data", "method", "crc", "problem"]
@@ -146,10 +148,12 @@ class ZipMembers(DataSource):
         return _Reader(self.options)
 
 
-def read_members(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES, below: int = 1 << 62) -> DataFrame:
+def read_members(spark: SparkSession, path: str, task_bytes: int = TASK_BYTES, below: int = 1 << 62,
+                 recursive: bool = True) -> DataFrame:
     """Pieces of the members of all archives below ``path``; the pieces of a member are one task's, in order.
 
-    Members that are inflated to ``below`` bytes or more are left out.
+    Members that are inflated to ``below`` bytes or more are left out; without ``recursive``, so are archives in folders of ``path``.
     """
     spark.dataSource.register(ZipMembers)
-    return spark.read.format(FORMAT).option("taskBytes", task_bytes).option("below", below).load(path)
+    reader = spark.read.format(FORMAT).option("taskBytes", task_bytes).option("below", below)
+    return reader.option("recursive", str(recursive).lower()).load(path)

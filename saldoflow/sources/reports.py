@@ -13,7 +13,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import groupby, product
+from itertools import chain, groupby, product
 from typing import NamedTuple
 
 import numpy as np
@@ -33,6 +33,7 @@ from .storage import land_csv, publish, stored, temporary
 ROWS_SCHEMA = ("archive string, entry int, member string, kind string, line bigint, values map<string,string>, "
                "problem string")
 CHUNK_ROWS = 20_000
+INFLATED_BYTES = 1 << 18  # of a member, held at a time
 SPLIT_BYTES = 256 * 1024 * 1024  # from here on a member is parsed by many tasks
 
 # Day-first patterns accepted in date columns, and ISO dates.
@@ -46,11 +47,8 @@ LAST_SHORT_YEAR = 2068
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The ZIP files of a folder as (path, content).
-
-    Spark reads a file whole here, up to ``spark.sql.sources.binaryFile.maxLength`` (2 GB).
-    """
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+    """The report members of the ZIP files of a folder, as compressed pieces read by ranges; no archive is held whole."""
+    return read_members(spark, path, recursive=False)
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,22 +89,30 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Member(io.RawIOBase):
-    """A member's bytes, inflated piece by piece and checked at the end."""
+    """A member's bytes, inflated a little at a time and checked at the end."""
 
     def __init__(self, pieces: Iterator[dict], first: dict):
-        self.pieces, self.next, self.crc, self.sum, self.rest = pieces, first, first["crc"], 0, b""
-        self.inflate = zlib.decompressobj(-15) if first["method"] == zipfile.ZIP_DEFLATED else None
+        self.crc, self.sum, self.rest = first["crc"], 0, memoryview(b"")
+        self.plain = self._plain(chain([first], pieces), first["method"] == zipfile.ZIP_DEFLATED)
+
+    @staticmethod
+    def _plain(pieces: Iterator[dict], deflated: bool) -> Iterator[bytes]:
+        inflate = zlib.decompressobj(-15)
+        for piece in pieces:
+            data = piece["data"]
+            while deflated and data:
+                yield inflate.decompress(data, INFLATED_BYTES)
+                data = inflate.unconsumed_tail
+            yield data
+        if deflated:
+            yield inflate.flush()
 
     def readable(self) -> bool:
         return True
 
     def readinto(self, buffer: memoryview) -> int:
-        while not self.rest and self.next is not None:
-            data = self.next["data"]
-            self.rest = self.inflate.decompress(data) if self.inflate else data
-            self.next = next(self.pieces, None)
-            if self.next is None and self.inflate:
-                self.rest += self.inflate.flush()
+        while not self.rest and (some := next(self.plain, None)) is not None:
+            self.rest = memoryview(some)
         size = min(len(buffer), len(self.rest))
         buffer[:size], self.rest = self.rest[:size], self.rest[size:]
         self.sum = zlib.crc32(buffer[:size], self.sum)
@@ -135,7 +141,7 @@ def _batch(first: dict, line: int, frame: pd.DataFrame | None, problem: str | No
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of each member, in one pass; a problem row ends a member that can't be read to its end."""
-    pieces = (row for batch in batches for row in batch.to_pylist())
+    pieces = (batch.slice(i, 1).to_pylist()[0] for batch in batches for i in range(batch.num_rows))
     for _, rows in groupby(pieces, key=lambda r: (r["archive"], r["entry"])):
         first = next(rows)
         if first["problem"]:
@@ -165,12 +171,13 @@ def normalise_columns(frame: pd.DataFrame) -> pd.DataFrame:
 def report_rows(archives: DataFrame) -> DataFrame:
     """One row per line of every member, cells as a map from normalised column name to text.
 
-    ``kind`` is the file name up to the first "-", in lower case; members without one, or neither CSV
+    ``archives`` is of ``read_archives``, or has the column ``content`` with whole archives beside ``path``. ``kind`` is the file name up to the first "-", in lower case; members without one, or neither CSV
     nor XLSX, are left out. An archive or member that cannot be read gives a row with ``problem``;
     ``whole_lines`` drops the lines that came before it. The compressed members are dealt out before
     they are read, so the members of an archive are read by many tasks, each in one pass.
     """
-    pieces = archives.select("path", "content").mapInArrow(_pieces, PIECES_SCHEMA)
+    whole = "content" in archives.columns
+    pieces = archives.select("path", "content").mapInArrow(_pieces, PIECES_SCHEMA) if whole else archives
     dealt = pieces.repartition("archive", "entry").sortWithinPartitions("archive", "entry", "piece")
     return dealt.mapInArrow(_lines, ROWS_SCHEMA)
 

@@ -1,13 +1,17 @@
 import datetime as dt
 import zipfile
+import zlib
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saldoflow.functions.text import column_name
+from saldoflow.plans import queries
 from saldoflow.sources import reports, storage
+from saldoflow.sources.archives import PIECE_BYTES
 from saldoflow.sources.schemas import REPORT_TABLES, report_kind
 
 D = dt.date
@@ -71,6 +75,49 @@ def test_members_of_an_archive_are_read_by_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_archives_are_read_by_pieces(spark, tmp_path):
+    data = b"a;b\n" + b"1;2\n" * (3 * PIECE_BYTES // 4)
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("outros-1.csv", data)
+    (tmp_path / "deeper").mkdir()
+    (tmp_path / "deeper" / "two.zip").write_bytes(b"not in the folder")
+    read = reports.read_archives(spark, str(tmp_path))
+    sizes = [r[0] for r in read.select(*[F.max(F.length(c)) for c, t in read.dtypes if t == "binary"]).collect()]
+    assert sizes == [PIECE_BYTES]
+    assert reports.whole_lines(reports.report_rows(read)).count() == 3 * PIECE_BYTES // 4
+
+
+@pytest.mark.parametrize("method", [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED])
+def test_little_of_a_member_is_held(method):
+    data = b"0" * (64 << 20)
+    deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
+    packed = deflate.compress(data) + deflate.flush() if method == zipfile.ZIP_DEFLATED else data
+    pieces = iter([{"data": packed[i:i + PIECE_BYTES], "method": method, "crc": zlib.crc32(data)} for i in range(0, len(packed), PIECE_BYTES)])
+    member, buffer, size = reports._Member(pieces, next(pieces)), memoryview(bytearray(8192)), 0
+    while some := member.readinto(buffer):
+        size += some
+        assert len(member.rest) <= PIECE_BYTES
+    assert size == len(data)
+
+
+def test_archives_have_members_of_a_size(spark, tmp_path, monkeypatch):
+    lines = spark.range(40_000).select(*[F.col("id").alias(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")], F.lit(1).alias("l_linenumber"),
+        F.lit(0.04).alias("l_discount"), F.lit(0.5).alias("l_tax"), F.lit(12.5).alias("l_extendedprice"), F.lit("F").alias("l_linestatus"),
+        F.lit(dt.datetime(1998, 1, 1)).alias("l_shipdate"))
+    lines.unionByName(lines.limit(1).withColumn("l_orderkey", F.lit(None).cast("long"))).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries, "MEMBER_LINES", 600)
+    monkeypatch.setattr(storage, "new_folder", lambda _, name: str(tmp_path / name))
+    names = [p.name for p in Path(queries._archive_folder(spark, str(tmp_path))).iterdir()]
+    assert len(names) >= 17 and {"broken.zip", "0.zip", "15.zip"} <= set(names)
+    sizes = []
+    for path in (tmp_path / "archives").glob("[0-9]*.zip"):
+        with zipfile.ZipFile(path) as z:
+            members = [n for n in z.namelist() if n.startswith("Pagamentos-")]
+            sizes.append([len(z.read(n).splitlines()) - 1 for n in members])
+            assert len(z.namelist()) == len(members) + 6
+    assert max(map(max, sizes)) == 600 and sum(map(sum, sizes)) in (40_000, 40_001)
+
+
 def test_clean_report(spark, folder):
     rows = reports.report_rows(reports.read_archives(spark, folder))
     df = reports.clean_report(rows, "recebidos", RUN)
