@@ -82,6 +82,12 @@ def test_an_archive_is_planned_from_its_directory_alone(tmp_path):
     assert [len(t.members) for t in archives.shared_out(members, 10)] == [1] * 50
 
 
+def test_tasks_have_few_bytes_unless_told():
+    members = [archives.Member("a", i, "b-1.csv", "b", size=1 << 20) for i in range(256)]
+    tasks = archives.shared_out(members)
+    assert max(sum(m.size for m in t.members) for t in tasks) <= 64 << 20 and sum(len(t.members) for t in tasks) == 256
+
+
 def test_a_task_reads_its_members_by_pieces(spark, tmp_path):
     data = os.urandom(9_000_000)
     with zipfile.ZipFile(tmp_path / "large.zip", "w") as z:
