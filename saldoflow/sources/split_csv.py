@@ -14,10 +14,12 @@ within are one. Checksums of ranges are combined too, so a damaged member is fou
 from __future__ import annotations
 
 import io
+import re
 import struct
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -29,10 +31,11 @@ from .storage import new_folder, stored
 
 #: Bytes of a range; ends of records are looked for in each.
 RANGE_BYTES = 32 * 1024 * 1024
+#: Inflated bytes of a task, unless one range has more.
+TASK_BYTES = 16 * 1024 * 1024
 #: At a cell's start, within a plain cell, within a quoted one, after a quote within a quoted one.
 START, PLAIN, QUOTED, CLOSING = range(4)
 QUOTE, NEWLINE = b'"', b"\n"
-_ENDS = (b";", b"\n", b"\r")
 
 MEMBER = "archive string, entry int, member string, kind string"
 SOURCE = f"{MEMBER}, store string, path string, offset bigint, size bigint, crc bigint, problem string"
@@ -42,37 +45,53 @@ UNIT = f"{SOURCE}, unit bigint, header bigint, begin bigint, until bigint"
 
 # --- one range -----------------------------------------------------------------------------
 
+#: Within a quoted cell up to its last quote, the rest of a cell, whole cells from a cell's start, and those of the first record.
+_INNER, _REST, _CELL = rb'(?:[^"]++|"")*+', rb"[^;\r\n]*+", rb'(?:"(?:[^"]++|"")*+"|(?!"))[^;\r\n]*+'
+_QUOTED, _PLAIN = re.compile(_INNER), re.compile(_REST)
+_CELLS = re.compile(rb"(?:" + _CELL + rb"[;\r\n])*+")
+_RECORD = re.compile(rb"(?:" + _CELL + rb"[;\r])*+" + _CELL + rb"\n")
+
+
 def scan(data: bytes, state: int) -> tuple[int, int]:
     """State after ``data`` and the place after its first record's end, -1 if none ends; from a state."""
     first, at, size = -1, 0, len(data)
-    while at < size:
-        if state == CLOSING:  # a second quote is a quote, anything else ends the quoted part
-            if data[at:at + 1] == QUOTE:
-                state, at = QUOTED, at + 1
-                continue
-            state = PLAIN
-        if state == QUOTED:
-            at = data.find(QUOTE, at) + 1
-            if not at:
-                return QUOTED, first
-            state = CLOSING
-            continue
-        # outside: a quote opens a cell where one starts
-        if state == START and data[at:at + 1] == QUOTE:
-            state, at = QUOTED, at + 1
-            continue
-        quote = data.find(QUOTE, at)
-        while quote > at and data[quote - 1:quote] not in _ENDS:
-            quote = data.find(QUOTE, quote + 1)
-        if quote == at:  # within a plain cell
-            state, at = PLAIN, at + 1
-            if at < size or data[at - 1:at] == QUOTE:
-                continue
-        until = size if quote < 0 else quote
-        if first < 0:
-            first = data.find(NEWLINE, at, until) + 1 or -1
-        state, at = START if data[until - 1:until] in _ENDS else PLAIN, until
-    return state, first
+    if not size:
+        return state, first
+    if state == CLOSING:  # a second quote is a quote, anything else ends the quoted part
+        state, at = (QUOTED, 1) if data[:1] == QUOTE else (PLAIN, 0)
+    if state == START:
+        record = _RECORD.match(data)
+        first, at = record.end() if record else -1, _CELLS.match(data).end()
+        if at == size:
+            return START, first
+        if data[at:at + 1] != QUOTE:
+            return PLAIN, first
+        state, at = QUOTED, at + 1
+    elif state == PLAIN and data[at:at + 1] == QUOTE:
+        at += 1
+    if state == QUOTED:
+        at = _QUOTED.match(data, at).end()
+        if at == size:
+            return QUOTED, first
+        if (at := at + 1) == size:
+            return CLOSING, first
+    at = _PLAIN.match(data, at).end()  # the rest of the cell that the range begins or ends in
+    if at == size:
+        return PLAIN, first
+    at += 1
+    after, found = scan(data[at:], START) if at < size else (START, -1)
+    return after, at if data[at - 1:at] == NEWLINE else at + found if found >= 0 else -1
+
+
+def scans(data: bytes) -> list[tuple[int, int]]:
+    """``scan`` from every state; those that the first byte makes one are scanned once."""
+    quoted, plain = scan(data, QUOTED), scan(data, PLAIN)
+    if not data:
+        return [scan(data, s) for s in range(4)]
+    if data[:1] == QUOTE:
+        opened = scan(data, START)
+        return [opened, plain, quoted, opened]
+    return [plain, plain, quoted, plain]
 
 
 def _times_x(value: int, polynomial: int = 0xEDB88320) -> int:
@@ -89,14 +108,20 @@ def _product(a: int, b: int) -> int:
     return out
 
 
+@lru_cache(maxsize=1024)
+def _shift(size: int) -> int:
+    """What a checksum is multiplied by when ``size`` bytes follow."""
+    power, square = 1 << 31, 1 << 23  # x to the power of 0, and of 8
+    while size:
+        if size & 1:
+            power = _product(power, square)
+        square, size = _product(square, square), size >> 1
+    return power
+
+
 def combined_crc(a: int, b: int, size: int) -> int:
     """The crc32 of two texts one after the other, from those of both and the second's size."""
-    power, square, n = 1 << 31, 1 << 23, size  # x to the power of 0, and of 8
-    while n:
-        if n & 1:
-            power = _product(power, square)
-        square, n = _product(square, square), n >> 1
-    return _product(power, a) ^ b
+    return _product(_shift(size), a) ^ b
 
 
 # --- on Spark ------------------------------------------------------------------------------
@@ -162,7 +187,7 @@ def _scanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = _arrow(SCANNED)
     for row in _rows(batches):
         data = _read(row["store"], row["path"], row["offset"] + row["begin"], row["offset"] + row["until"])
-        found = [scan(data, s) for s in range(4)]
+        found = scans(data)
         yield _batch([row | {"sum": zlib.crc32(data), "until": row["begin"] + len(data), "ends": [e for e, _ in found],
                              "firsts": [row["begin"] + f if f >= 0 else -1 for _, f in found]}], schema)
 
@@ -172,7 +197,7 @@ def combine(ranges: pd.DataFrame) -> pd.DataFrame:
     ranges = ranges.sort_values("nth", ignore_index=True)
     state, total, cuts = START, 0, []
     for r in ranges.itertuples():
-        total = combined_crc(total, r.sum, r.until - r.begin)
+        total = combined_crc(total, int(r.sum), int(r.until - r.begin))
         if r.firsts[state] >= 0:
             cuts.append(int(r.firsts[state]))
         state = int(r.ends[state])
@@ -182,19 +207,21 @@ def combine(ranges: pd.DataFrame) -> pd.DataFrame:
     if size != int(source["size"].iloc[0]) or total != int(source["crc"].iloc[0]):
         return source.assign(problem="BadZipFile: bad checksum", unit=0, header=0, begin=0, until=0)
     begins = [header, *cuts[1:]]
-    return pd.concat([source.assign(unit=i, header=header, begin=a, until=b) for i, (a, b) in enumerate(zip(begins, [*cuts[1:], size], strict=True))])
+    units = source.loc[source.index.repeat(len(begins))]
+    return units.assign(unit=range(len(begins)), header=header, begin=begins, until=[*cuts[1:], size])
 
 
 def _parsing(parse: Callable[[dict, io.BytesIO], Iterator[pa.RecordBatch]]) -> Callable:
     """The rows of each range under its member's header, with their unit; the first row keeps the cells' number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        header_of = lru_cache(maxsize=64)(_read)
         for row in _rows(batches):
             if row["problem"]:
                 rows = parse(row, None)
             else:
                 a = row["offset"]
-                header = _read(row["store"], row["path"], a, a + row["header"])
+                header = header_of(row["store"], row["path"], a, a + row["header"])
                 rows = parse(row, io.BytesIO(header + _read(row["store"], row["path"], a + row["begin"], a + row["until"])))
             for batch in rows:
                 yield batch.append_column("unit", pa.array([row["unit"] or 0] * batch.num_rows, pa.int64()))
@@ -208,17 +235,18 @@ def split_rows(spark: SparkSession, store: str, members: Sequence[Member], parse
 
     ``parse`` makes batches of ``schema`` from a member's row and a file of its header and some of its records.
     """
+    tasks = -(-sum(m.whole for m in members) // TASK_BYTES) or 1  # the rows that are dealt out are small, the bytes they stand for aren't
     given = [(m.archive, m.entry, m.member, m.kind, store, m.header, m.size, m.method, m.crc) for m in members]
     listed = spark.createDataFrame(given, f"{MEMBER}, store string, header bigint, size bigint, method int, crc bigint")
-    placed = stored(listed.repartition(max(1, len(given)), "archive", "entry").mapInArrow(_located(new_folder(spark, "members")), SOURCE))
+    placed = stored(listed.repartition(max(1, min(len(given), tasks)), "archive", "entry").mapInArrow(_located(new_folder(spark, "members")), SOURCE))
     good = placed.filter("problem IS NULL")
     nth = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / range_bytes))))
     ranges = good.withColumn("nth", nth).withColumn("begin", F.col("nth") * range_bytes).withColumn(
         "until", F.least(F.col("begin") + range_bytes, "size"))
-    scanned = ranges.repartition("archive", "entry", "nth").mapInArrow(_scanning, SCANNED)
+    scanned = ranges.repartition(tasks, "archive", "entry", "nth").mapInArrow(_scanning, SCANNED)
     units = stored(scanned.groupBy("archive", "entry").applyInPandas(combine, UNIT))
     bad = placed.filter("problem IS NOT NULL").select("*", *[F.lit(0).cast("bigint").alias(c) for c in ("unit", "header", "begin", "until")])
-    dealt = units.unionByName(bad).repartition("archive", "entry", "unit")
+    dealt = units.unionByName(bad).repartition(tasks, "archive", "entry", "unit")
     rows = stored(dealt.mapInArrow(_parsing(parse), f"{schema}, unit bigint"))
     counts = rows.groupBy("archive", "entry", "unit").agg(F.max("line").alias("n"))
     before = Window.partitionBy("archive", "entry").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)

@@ -124,6 +124,22 @@ def test_scan_of_a_range(parts, state):
     assert split_csv.scan(b"".join(parts), state) == _state_by_bytes(b"".join(parts), state)
 
 
+@given(st.lists(st.sampled_from([b'"', b";", b"\n", b"\r", b"a", b'""', b"bc"]), max_size=20))
+def test_scans_from_all_states(parts):
+    assert split_csv.scans(b"".join(parts)) == [_state_by_bytes(b"".join(parts), s) for s in range(4)]
+
+
+def test_ranges_are_dealt_to_tasks_by_their_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(split_csv, "TASK_BYTES", 4096)
+    with zipfile.ZipFile(tmp_path / "one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for n in range(20):
+            z.writestr(f"outros-{n}.csv", "a;b\n" + "1;2\n" * 1000)
+    parsed = []
+    monkeypatch.setattr(split_csv, "stored", lambda df: parsed.append(df.rdd.getNumPartitions()) or storage.stored(df))
+    rows = reports.member_rows(spark, str(tmp_path), split_bytes=100, range_bytes=500)
+    assert rows.count() == 20_000 and parsed[0] == parsed[-1] == 20
+
+
 @given(st.binary(max_size=200), st.binary(max_size=5000))
 def test_checksums_of_ranges_combine(a, b):
     assert split_csv.combined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
