@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cards
-from ..operators.joins import join_splittable, key_filter, perhaps_in
+from ..operators.joins import key_filter, perhaps_in
 from ..sources.storage import stored, temporary
 from ..sources.tables import append_table, current_version
 
@@ -103,16 +103,18 @@ class CardStore:
             before = changed.filter("old IS NOT NULL").select("issuingCardId", "old.*")
             after = changed.select("issuingCardId", "new.*")
             adjust = stored(_signed(self._deltas(before), self._deltas(after), "delta", _ACTIVITY))
-            holders = adjust.select(_key("issuingHolderId").alias("holder")).distinct()
-            none = adjust.filter("false").select(*_ACTIVITY, "amount", "rows")
-            known = none if version is None else self._rows(ACTIVITY, *_ACTIVITY, "amount", "rows")
-            theirs = stored(join_splittable(known.withColumn("holder", _key("issuingHolderId")), holders, ["holder"], "left_semi").drop("holder"))
+            theirs = adjust.filter("false").select(*_ACTIVITY, "amount", "rows")
+            if version is not None:  # a few holders more than those concerned: what they add is what is taken back
+                known = self._rows(ACTIVITY, *_ACTIVITY, "amount", "rows").withColumn("holder", _key("issuingHolderId"))
+                concerned = key_filter(adjust.select(_key("issuingHolderId").alias("holder")), "holder")
+                theirs = stored(perhaps_in(known, "holder", concerned).drop("holder"))
             steps = _signed(self._steps_of(theirs), self._steps_of(theirs.unionByName(adjust)), "step", _STEP)
             rows = after.withColumn("kind", F.lit(CARD)).unionByName(
                 adjust.withColumn("kind", F.lit(ACTIVITY)), allowMissingColumns=True).unionByName(
                 steps.withColumn("kind", F.lit(STEP)), allowMissingColumns=True)
-            append_table(rows, self.name, self._merged, "kind", version.number if version else None)
+            append_table(rows, self.name, self._merged, "kind", version.number if version else None, rebalanced=False)
 
     def _steps_of(self, activity: DataFrame) -> DataFrame:
-        sums = _sums(activity, _ACTIVITY).filter("rows > 0").select(*_ACTIVITY, F.col("amount").alias("delta"))
+        by_holder = activity.repartition("issuingHolderId")  # the one shuffle of the sums and the running sums
+        sums = _sums(by_holder, _ACTIVITY).filter("rows > 0").select(*_ACTIVITY, F.col("amount").alias("delta"))
         return cards.holder_steps(cards.holder_balance(sums))

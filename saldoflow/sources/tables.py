@@ -91,10 +91,10 @@ def _switch(spark: SparkSession, name: str, columns: Sequence[str], version: Ver
     spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} TBLPROPERTIES ({properties}) AS {rows}")
 
 
-def _written(df: DataFrame, name: str, kind: str, by: str | None) -> str:
-    """``df`` as a new table; few files per date, and a date too large for one task is split."""
+def _written(df: DataFrame, name: str, kind: str, by: str | None, rebalanced: bool = True) -> str:
+    """``df`` as a new table; if ``rebalanced`` few files per date, and a date too large for one task is split."""
     table = f"{name}__{kind}_{uuid.uuid4().hex}"
-    rows = df if by is None else df.hint("rebalance", F.col(by))
+    rows = df if by is None or not rebalanced else df.hint("rebalance", F.col(by))
     writer = rows.write.format("parquet")
     (writer if by is None else writer.partitionBy(by)).saveAsTable(table)
     return table
@@ -252,9 +252,11 @@ def replace_dates(df: DataFrame, name: str, by: str, dates: Sequence[str], parti
 
 
 def append_table(df: DataFrame, name: str, merged: Callable[[DataFrame], DataFrame], by: str | None = None,
-                 based_on: int | None = None) -> None:
+                 based_on: int | None = None, rebalanced: bool = True) -> None:
     """Adds rows to the table ``name``, which begins with them if there is none.
 
+    Rows whose tasks have few values of ``by`` each needn't be shuffled by it (``rebalanced``).
+
     For tables whose rows are parts of states: after ``MAX_LAYERS`` layers the whole table is replaced by
     ``merged`` of it. If ``based_on`` is given and the table has another version by then, nothing changes and
     this is an error.
@@ -263,7 +265,7 @@ def append_table(df: DataFrame, name: str, merged: Callable[[DataFrame], DataFra
     old = current_version(spark, name)
     if old is not None and _columns(spark.table(name).schema) != _columns(df.schema):
         raise ValueError(f"{name} has other columns")
-    layers = [*(old.layers if old else []), Layer(_written(df, name, "rows", by), [])]
+    layers = [*(old.layers if old else []), Layer(_written(df, name, "rows", by, rebalanced), [])]
     _publish(spark, name, df.columns, by, [], layers, None, old.number if old and based_on is None else based_on)
     if len(layers) > MAX_LAYERS:
         replace_table(merged(spark.table(name)), name, by)

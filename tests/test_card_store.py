@@ -6,6 +6,7 @@ import random
 import pytest
 
 from saldoflow.operators import cards
+from saldoflow.plans import card_store
 from saldoflow.plans.card_store import CardStore
 from saldoflow.sources import tables
 
@@ -48,6 +49,16 @@ def test_parts_of_a_log_add_up_to_the_whole(spark, store, seed, monkeypatch):
     assert len(tables.current_version(spark, store.name).layers) <= 2
 
 
+def test_an_update_shuffles_neither_the_stored_activity_nor_what_it_writes(spark, store, monkeypatch):
+    store.update(spark.createDataFrame(log_rows(5, 60), SCHEMA))
+    plans, kept, appended = [], card_store.stored, card_store.append_table
+    plan = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(card_store, "stored", lambda df: plan(df) or kept(df))
+    monkeypatch.setattr(card_store, "append_table", lambda df, *a, **k: plans.append(k["rebalanced"]) or appended(df, *a, **k))
+    store.update(spark.createDataFrame(log_rows(6, 60), SCHEMA))
+    assert len(plans) > 3 and not any("LeftSemi" in p for p in plans[:-1]) and plans[-1] is False
+
+
 def test_rows_that_came_before_write_nothing(spark, store):
     log = spark.createDataFrame(log_rows(3, 60), SCHEMA)
     store.update(log)
