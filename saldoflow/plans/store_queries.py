@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from . import fixtures as fx
 RUN_DATE = dt.date(2024, 1, 31)
 #: Orders that share an archive, so that their number grows with the orders.
 ARCHIVE_ORDERS = 8192
+#: Lines of a CSV member at most, whatever its archive has.
+MEMBER_LINES = 16_384
 
 
 def _name(kind: str) -> str:
@@ -73,28 +76,29 @@ def table_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _zip_folder(spark: SparkSession, lines: DataFrame, order: str, kind: str) -> str:
-    """The lines as CSV members of one archive per range of orders, in the shared folder."""
-    import io
+    """The lines as CSV members of one archive per range of orders, written as they come, in the shared folder."""
     import zipfile
 
     folder = storage.new_folder(spark, "archives")
 
-    def written(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as data:
-            half = len(rows) // 2
-            for part, some in enumerate((rows[:half], rows[half:])):
-                data.writestr(f"in/{kind}-{key[0]}-{part}.csv", some.drop(columns="_archive").to_csv(index=False, sep=";"))
         store, path = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
         store.create_dir(path)
-        with store.open_output_stream(f"{path}/{key[0]}.zip") as file:  # a task that runs again writes the same
-            file.write(out.getvalue())
-        return pd.DataFrame({"n": [len(rows)]})
-
-    dealt = lines.withColumn("_archive", F.floor(F.col(order) / ARCHIVE_ORDERS))
-    dealt.groupBy("_archive").applyInPandas(written, "n bigint").write.format("noop").mode("overwrite").save()
+        parts = (part for frame in frames for part in frame.groupby("_archive", sort=False))
+        for name, some in groupby(parts, key=lambda part: part[0]):  # rows come sorted by archive
+            with store.open_output_stream(f"{path}/{name}.zip") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as data:
+                chunks = (rows[at:at + MEMBER_LINES] for _, rows in some for at in range(0, len(rows), MEMBER_LINES))
+                for part, rows in enumerate(chunks):
+                    data.writestr(f"in/{kind}-{name}-{part}.csv", rows.drop(columns="_archive").to_csv(index=False, sep=";"))
+            yield pd.DataFrame({"path": [f"{name}.zip"]})
+
+    # as texts, since numbers beside nulls would get a fraction in pandas
+    texts = lines.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in lines.columns],
+                         F.coalesce(F.floor(F.col(order) / ARCHIVE_ORDERS).cast("string"), F.lit("None")).alias("_archive"))
+    dealt = texts.repartition("_archive").sortWithinPartitions("_archive")
+    dealt.mapInPandas(written, "path string").write.format("noop").mode("overwrite").save()
     return folder
 
 

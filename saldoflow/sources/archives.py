@@ -19,7 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FORMAT = "zip_members"
 #: Compressed bytes of a row, and of the members that share a task.
-PIECE_BYTES, TASK_BYTES = 4 * 1024 * 1024, 64 * 1024 * 1024
+PIECE_BYTES, TASK_BYTES = 4 * 1024 * 1024, 16 * 1024 * 1024
 LISTED_AT_ONCE = 16  # archives whose directories are read at a time
 SCHEMA = ("archive string, entry int, member string, kind string, piece int, data binary, method int, "
           "crc bigint, problem string")

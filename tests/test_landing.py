@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saldoflow.plans import store_queries
 from saldoflow.sources import archives, inference, landing, reports, split_csv, storage, tables
 
 RUN = dt.date(2025, 1, 31)
@@ -88,6 +89,24 @@ def test_tasks_have_few_bytes_unless_told():
     assert max(sum(m.size for m in t.members) for t in tasks) <= 64 << 20 and sum(len(t.members) for t in tasks) == 256
 
 
+def test_tasks_have_16_mb_unless_told():
+    members = [archives.Member("a", i, "b-1.csv", "b", size=1 << 20) for i in range(256)]
+    assert [len(t.members) for t in archives.shared_out(members)] == [16] * 16
+
+
+def test_archives_are_written_as_lines_come(spark, monkeypatch):
+    monkeypatch.setattr(store_queries, "MEMBER_LINES", 20)
+    wanted = [(None if i % 10 == 0 else i % 3 + 9000 * (i % 7 == 0), f"l{i}") for i in range(300)]
+    lines = spark.createDataFrame(wanted, "pedido bigint, nota string")
+    folder = store_queries._zip_folder(spark, lines, "pedido", "Outros")
+    rows = reports.whole_lines(reports.member_rows(spark, folder)).select("archive", "member", "values").collect()
+    key = lambda r: (r[0] or "", r[1])
+    assert sorted(((r["values"]["pedido"], r["values"]["nota"]) for r in rows), key=key) == \
+        sorted(((None if p is None else str(p), n) for p, n in wanted), key=key)
+    members = [(r.archive, r.member) for r in rows]
+    assert max(map(members.count, members)) <= 20 and len({a for a, _ in members}) == 3
+
+
 def test_a_task_reads_its_members_by_pieces(spark, tmp_path):
     data = os.urandom(9_000_000)
     with zipfile.ZipFile(tmp_path / "large.zip", "w") as z:
