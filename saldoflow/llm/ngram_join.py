@@ -38,7 +38,9 @@ from saldoflow.operators.joins import join_splittable
 from saldoflow.sources.storage import stored
 
 #: Documents to a target of step 1, and most tokens that a task holds before it hands them on.
-TARGET_DOCS, HELD_TOKENS = 4096, 2_000_000
+TARGET_DOCS, HELD_TOKENS = 4096, 500_000
+#: Bytes of texts whose sets are made at a time.
+BLOCK_BYTES = 1 << 18
 #: Most bits of the broadcast bitmap (16 MB). With more candidates more bits are set by chance.
 MAX_BITS = 1 << 27
 
@@ -131,7 +133,7 @@ def _token_blobs(words: int, targets: int) -> Callable[[Iterator[pa.RecordBatch]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, digests, held = [], [], 0
         for batch in batches:
-            for block in ta.blocks(batch.column(0)):
+            for block in ta.blocks(batch.column(0), BLOCK_BYTES):
                 token, counts = shingle_sets(block, words)
                 tokens.append(token)
                 digests.append(np.repeat(set_digests(token, counts)[0], counts))
@@ -209,7 +211,7 @@ def _keys(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in ta.blocks(batch.column(1)):
+            for block in ta.blocks(batch.column(1), BLOCK_BYTES):
                 tokens, counts = shingle_sets(block, words)
                 d1, d2 = set_digests(tokens, counts)
                 yield pa.RecordBatch.from_arrays(
@@ -225,7 +227,7 @@ def _candidate_sets(words: int, bitmap) -> Callable[[Iterator[pa.RecordBatch]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bitmap.value
         for batch in batches:
-            for block in ta.blocks(batch.column(0)):
+            for block in ta.blocks(batch.column(0), BLOCK_BYTES):
                 tokens, counts = shingle_sets(block, words)
                 d1, d2 = set_digests(tokens, counts)
                 bit = d1 & np.uint64(64 * len(held) - 1)

@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -48,13 +49,14 @@ class PieceEncoder:
     a special token, in any case of letters, is encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.remembered = remembered
 
     def _has_special(self, text: str) -> bool:
         lower = text.lower()
@@ -69,8 +71,8 @@ class PieceEncoder:
         found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
         new = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(missing, found, strict=True)}
         ids.update(new)
-        if len(self.known) < CACHED_PIECES:
-            self.known.update((p, b) for p, b in new.items() if len(p) <= CACHED_LENGTH)
+        room = max(0, self.remembered - len(self.known))
+        self.known.update(islice(((p, b) for p, b in new.items() if len(p) <= CACHED_LENGTH), room))
         return [b"".join(map(ids.__getitem__, ps)) for ps in pieces]
 
 
@@ -89,9 +91,9 @@ def _portions(texts: pa.Array) -> Iterator[list[str]]:
 
 
 @cache
-def _encoder(path: str) -> PieceEncoder:
+def _encoder(path: str, remembered: int) -> PieceEncoder:
     """One per worker, which may run many tasks."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, remembered)
 
 
 def first_fit_decreasing(lengths: Sequence[int], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +118,7 @@ def first_fit_decreasing(lengths: Sequence[int], size: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def _tokenised(path: str, size: int, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _tokenised(path: str, size: int, end_id: int, remembered: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``doc_id``, number of ids and the checksum of each piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +126,7 @@ def _tokenised(path: str, size: int, end_id: int) -> Callable[[Iterator[pa.Recor
         for batch in batches:
             counts, sums = [], []
             for texts in _portions(batch.column(1)):
-                for ids in _encoder(path).ids(texts):
+                for ids in _encoder(path, remembered).ids(texts):
                     ids += end
                     counts.append(len(ids) // 4)
                     sums.append([zlib.crc32(ids[i:i + 4 * size]) for i in range(0, len(ids), 4 * size)])
@@ -160,16 +162,18 @@ def _packed(size: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, group_docs: int = 4096) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end_id: int = 2, group_docs: int = 4096,
+         remembered: int = CACHED_PIECES) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset``.
 
     A document is its ids by the tokenizer file, without special tokens, and ``end_id``. No
-    sequence is longer than ``size``, and each is filled from offset 0 without gaps.
+    sequence is longer than ``size``, and each is filled from offset 0 without gaps. A worker remembers the ids of
+    ``remembered`` pieces of words, some 200 bytes each, for as long as it lives; fewer take more time.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stored(
         docs.select("doc_id", "text")
-        .mapInArrow(_tokenised(tokenizer, size, end_id), f"doc_id {kind}, doc_tokens bigint, sums array<bigint>")
+        .mapInArrow(_tokenised(tokenizer, size, end_id, remembered), f"doc_id {kind}, doc_tokens bigint, sums array<bigint>")
         .withColumn("row", F.monotonically_increasing_id()))
     groups = max(1, -(-rows.count() // group_docs))
     grouped = rows.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))

@@ -419,3 +419,38 @@ def test_the_sample_is_the_same_however_rows_are_dealt(spark):
     least = docs.filter("lang = 'en'").select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(10).collect()
     only = docs.filter(~(F.col("lang") == "en") | F.col("doc_id").isin([r.doc_id for r in least]))
     assert np.array_equal(language_id.fit(only, F.lit(True), per_language=10).weights, models[0].weights)
+
+
+# --- memory of the workers -----------------------------------------------------------------
+
+def test_a_task_hands_on_its_tokens_before_it_has_many():
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(20_000)) for i in range(40)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    parts = list(ngram_join._token_blobs(5, 8)(iter([batch])))
+    sizes = [sum(len(t.as_py()) for t in p.column("tokens")) // 4 for p in parts]
+    assert sum(sizes) == 40 * (20_000 - 4) and max(sizes) < 600_000
+
+
+def test_an_encoder_remembers_no_more_than_told():
+    texts = [f"{a}{b} and {b}{a} 1{a}" for a in ("cat", "dog", "bird") for b in ("sun", "moon", "star")]
+    few = packing.PieceEncoder(TOKENIZER, remembered=5)
+    every = packing.PieceEncoder(TOKENIZER)
+    for _ in range(2):
+        assert few.ids(texts) == every.ids(texts)
+    assert len(few.known) == 5 < len(every.known)
+
+
+def test_stages_take_texts_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(48, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        rows = corpus_pipeline.in_small_batches(lambda s, d, _: d.mapInArrow(sizes, "n bigint"))(spark, docs, "").collect()
+        assert sum(r.n for r in rows) >= 48 << 20 and max(r.n for r in rows) <= corpus_pipeline.BATCH_BYTES + (2 << 20)
+        assert all(stage.__wrapped__ for _, stage in corpus_pipeline.STAGES)
+    finally:
+        spark.conf.unset(key)
