@@ -88,6 +88,12 @@ def created_on(days: Sequence[dt.date], tz: str) -> Column:
     return reduce(lambda a, b: a | b, [local_date_between("created", a, b, tz) for a, b in runs], F.lit(False))
 
 
+def of_units(installments: DataFrame, units: DataFrame, params: ReceivablesParams) -> DataFrame:
+    """Installments of the creation days and workspaces of ``units`` (``createdDate``, ``workspaceId``)."""
+    dated = installments.withColumn("createdDate", local_date("created", params.tz))
+    return dated.join(units, ["createdDate", "workspaceId"], "left_semi").select(*installments.columns)
+
+
 def only_needed(installments: DataFrame, installment_log: DataFrame, purchases: DataFrame, acquiring_purchases: DataFrame,
                 params: ReceivablesParams) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The log and both purchase tables without most rows that the window's installments don't meet.
@@ -103,6 +109,18 @@ def only_needed(installments: DataFrame, installment_log: DataFrame, purchases:
     return log, named, perhaps_in(acquiring_purchases, "endToEndId", key_filter(ends, "endToEndId"))
 
 
+def needed_fees(acquiring_installments: DataFrame, acquiring_purchases: DataFrame) -> DataFrame:
+    """The acquirer's installments without most of those that ``acquiring_purchases`` (of ``only_needed``) doesn't have."""
+    ids = stored(acquiring_purchases.select(F.col("id").cast("string").alias("id")).distinct())
+    return perhaps_in(acquiring_installments, "purchaseId", key_filter(ids, "id"), below=True)
+
+
+def window_rows(installments: DataFrame, params: ReceivablesParams) -> DataFrame:
+    """The window's installments with the columns of the fact, stored: their keys are read once more than they are."""
+    return stored(installments.filter(local_date_between("created", params.start, params.end, params.tz)).select(
+        "__key__", "purchaseId", "created", "due", "network", "workspaceId", "status", "amount", "fee", "tags"))
+
+
 def installment_fact(installments: DataFrame, installment_log: DataFrame, purchases: DataFrame,
                      acquiring_purchases: DataFrame, acquiring_installments: DataFrame,
                      workspaces: DataFrame, next_days: DataFrame, params: ReceivablesParams) -> DataFrame:
@@ -211,38 +229,41 @@ def acquirer_due_rollup(fact: DataFrame) -> DataFrame:
     return _rollup(fact, _acquirer_date(), _acquirer_measures())
 
 
-def _sided(fact: DataFrame) -> DataFrame:
+def _on_sides(rows: DataFrame, acquirer_date: Column) -> DataFrame:
     """Every row on its creation, acquirer and merchant date, told apart by ``side``."""
     sides = F.array(*[
         F.struct(F.lit(side).alias("side"), date.alias("referenceDate"))
-        for side, date in (("created", F.col("createdDate")), ("acquirer", _acquirer_date()),
+        for side, date in (("created", F.col("createdDate")), ("acquirer", acquirer_date),
                            ("merchant", F.col("merchantDue")))
     ])
-    return fact.withColumn("_s", F.explode(sides)).select("*", "_s.*").drop("_s")
+    return rows.withColumn("_s", F.explode(sides)).select("*", "_s.*").drop("_s")
 
 
 def dated_rollup(fact: DataFrame) -> DataFrame:
     """The three rollups in one pass: every installment counts on its creation, acquirer and
     merchant date, told apart by ``side``."""
-    return _sided(fact).groupBy("side", *DIMENSIONS, "isFactoring").agg(*_acquirer_measures(), *_merchant_measures())
+    return _on_sides(fact, _acquirer_date()).groupBy("side", *DIMENSIONS, "isFactoring").agg(*_acquirer_measures(), *_merchant_measures())
 
 
 # --- by creation day -----------------------------------------------------------------------
 
 def day_states(fact: DataFrame) -> DataFrame:
-    """``dated_rollup`` apart for each creation day: sums, which add up over days to the whole rollup.
+    """Sums per creation day and both due dates, which add up over days to the whole rollup.
 
-    On the creation side there is also the pair that the average of days between payments is made of.
+    An installment counts in one row, not in one per side: ``merged_states`` puts each row on its three dates. There
+    is also the pair that the average of days between payments is made of.
     """
-    gap = F.when(F.col("side") == "created", F.datediff("nominalDue", "dueFromAcquirer"))
-    return _sided(fact).groupBy("createdDate", "side", *DIMENSIONS, "isFactoring").agg(
+    gap = F.datediff("nominalDue", "dueFromAcquirer")
+    return fact.withColumn("acquirerDate", _acquirer_date()).groupBy(
+        "createdDate", "acquirerDate", "merchantDue", *DIMENSIONS[1:], "isFactoring").agg(
         *_acquirer_measures(), *_merchant_measures(), F.sum(gap).alias("gapDays"), F.count(gap).alias("gaps"))
 
 
 def merged_states(states: DataFrame) -> DataFrame:
     """The rollup of all days of ``states``."""
-    sums = [F.sum(c).alias(c) for c in (*ACQUIRER_COLUMNS, *MERCHANT_COLUMNS, "gapDays", "gaps")]
-    return states.groupBy("side", *DIMENSIONS, "isFactoring").agg(*sums).withColumn(
+    sums = [F.sum(c).alias(c) for c in (*ACQUIRER_COLUMNS, *MERCHANT_COLUMNS)]
+    sums += [F.sum(F.when(F.col("side") == "created", F.col(c))).alias(c) for c in ("gapDays", "gaps")]
+    return _on_sides(states, F.col("acquirerDate")).groupBy("side", *DIMENSIONS, "isFactoring").agg(*sums).withColumn(
         "daysBetweenPaymentsAvgCreated", F.try_divide("gapDays", "gaps")).drop("gapDays", "gaps")
 
 
@@ -262,7 +283,7 @@ def daily_receive_pay(rollup: DataFrame, workspaces: DataFrame, match_factoring:
     key matches nothing. ``isFactoring`` is that of the creation side.
 
     A key has at most one row per side and flag, so instead of joining three branches of
-    the same fact the rows of a key (six at most) are gathered and paired in place. The
+    the same fact the rows of a key are put side by side, by a sum each, and paired in place. The
     ``rollup`` (of ``dated_rollup``) is read three times and should be a stored result.
     """
     day = rollup.agg(
@@ -276,27 +297,37 @@ def daily_receive_pay(rollup: DataFrame, workspaces: DataFrame, match_factoring:
     for k in keys:
         known = known & F.col(k).isNotNull()
 
-    def rows_of(side: str, *columns: str) -> Column:
-        return F.collect_list(F.when(F.col("side") == side, F.struct(*columns))).alias(f"_{side}")
+    # the flag as a number, and of each side the set of its flags as three bits
+    flag = F.when(F.col("isFactoring"), 2).when(~F.col("isFactoring"), 1).otherwise(0)
+    columns = {"acquirer": ACQUIRER_COLUMNS, "merchant": MERCHANT_COLUMNS}
+    sums = [F.sum(F.when((F.col("side") == side) & (F.col("_flag") == i), F.col(c))).alias(f"_{i}_{c}")
+            for side, of_side in columns.items() for i in range(3) for c in of_side]
+    sums += [F.bit_or(F.when(F.col("side") == side, F.col("_bit"))).alias(f"_{side}")
+             for side in ("created", *columns)]
+
+    def rows_of(side: str) -> Column:
+        flags = F.lit([[i for i in range(3) if bits >> i & 1] for bits in range(1, 8)])
+        return F.explode_outer(F.get(flags, F.col(f"_{side}") - 1))
+
+    def amount(at: str, column: str) -> Column:
+        return F.coalesce(*[F.when(F.col(at) == i, F.col(f"_{i}_{column}")) for i in range(3)]).alias(column)
 
     in_range = (F.col("side") != "created") | F.col("referenceDate").between(first, last)
     paired = (
         rollup.filter(in_range)
         # rows with a NULL key stay with their own side
         .withColumn("_alone", F.when(~known, F.concat_ws("/", "side", F.col("isFactoring").cast("string"))))
+        .withColumn("_flag", flag)
+        .withColumn("_bit", F.element_at(F.lit([1, 2, 4]), F.col("_flag") + 1))
+        .repartition(*keys, "_alone")  # hardly two rows have one key, so nothing is added up before the shuffle
         .groupBy(*keys, "_alone")
-        .agg(
-            rows_of("created", "isFactoring"),
-            rows_of("acquirer", *ACQUIRER_COLUMNS),
-            rows_of("merchant", *MERCHANT_COLUMNS),
-        )
-        .withColumn("_c", F.explode_outer("_created"))
-        .withColumn("_a", F.explode_outer("_acquirer"))
-        .withColumn("_m", F.explode_outer("_merchant"))
-        .select("referenceDate", F.col("_c.isFactoring").alias("isFactoring"), "network", "installmentStatus",
-                "workspaceId",
-                *[F.col(f"_a.{c}").alias(c) for c in ACQUIRER_COLUMNS],
-                *[F.col(f"_m.{c}").alias(c) for c in MERCHANT_COLUMNS])
+        .agg(*sums)
+        .withColumn("_c", rows_of("created"))
+        .withColumn("_a", rows_of("acquirer"))
+        .withColumn("_m", rows_of("merchant"))
+        .select("referenceDate", F.when(F.col("_c") > 0, F.col("_c") == 2).alias("isFactoring"), "network",
+                "installmentStatus", "workspaceId",
+                *[amount("_a", c) for c in ACQUIRER_COLUMNS], *[amount("_m", c) for c in MERCHANT_COLUMNS])
     )
     names = workspace_dim(workspaces).select("workspaceId", "companyName")
     named = join_splittable(paired, names, ["workspaceId"]).drop("workspaceId")

@@ -95,10 +95,13 @@ def receivables_fact(spark: SparkSession, tables: ReceivablesTables, params: Rec
 
 
 def narrowed(tables: ReceivablesTables, params: ReceivablesParams) -> ReceivablesTables:
-    """The tables without most rows of the log and the purchases that no installment of the window meets."""
+    """The window's installments, stored, and the other tables without most rows that none of these meets."""
+    window = receivables.window_rows(tables.installments, params)
     log, purchases, settled = receivables.only_needed(
-        tables.installments, tables.installment_log, tables.merchant_purchases, tables.acquiring_purchases, params)
-    return replace(tables, installment_log=log, merchant_purchases=purchases, acquiring_purchases=settled)
+        window, tables.installment_log, tables.merchant_purchases, tables.acquiring_purchases, params)
+    fees = receivables.needed_fees(tables.acquiring_installments, settled)
+    return replace(tables, installments=window, installment_log=log, merchant_purchases=purchases,
+                   acquiring_purchases=settled, acquiring_installments=fees)
 
 
 def receive_pay(spark: SparkSession, tables: ReceivablesTables, params: ReceivablesParams,
@@ -124,7 +127,7 @@ def receive_pay(spark: SparkSession, tables: ReceivablesTables, params: Receivab
 class ReceivablesChanges:
     """Rows that changed since the last run, old and new versions alike; None where nothing did.
 
-    Of ``installments`` ``created`` is needed, of the others their keys: ``installmentId``, ``__key__``,
+    Of ``installments`` ``created`` and ``workspaceId`` are needed, of the others their keys: ``installmentId``, ``__key__``,
     ``endToEndId``, ``purchaseId`` and ``workspaceId``. Changed holidays can move every day: run anew.
     """
 
@@ -136,18 +139,21 @@ class ReceivablesChanges:
     workspaces: DataFrame | None = None
 
 
-def changed_days(tables: ReceivablesTables, changes: ReceivablesChanges, params: ReceivablesParams) -> list[dt.date]:
-    """Creation days of the window whose rows of the fact may have changed; at most one date a day reaches the driver."""
-    tz = params.tz
+def changed_units(tables: ReceivablesTables, changes: ReceivablesChanges, params: ReceivablesParams) -> DataFrame:
+    """Creation days and workspaces (``createdDate``, ``workspaceId``) of the window whose rows of the fact may have changed.
+
+    A few changed purchases in a thousand touch every day, but few workspaces of each.
+    """
+    tz, unit = params.tz, ["createdDate", "workspaceId"]
     window = tables.installments.filter(local_date_between("created", params.start, params.end, tz)).select(
-        receivables.key_id().alias("installmentId"), "purchaseId", "workspaceId", local_date("created", tz).alias("day"))
+        receivables.key_id().alias("installmentId"), "purchaseId", "workspaceId", local_date("created", tz).alias("createdDate"))
     purchases = tables.merchant_purchases.select(receivables.key_id().alias("purchaseId"), "endToEndId")
     found = []
     if changes.installments is not None:
         found.append(changes.installments.filter(local_date_between("created", params.start, params.end, tz)).select(
-            local_date("created", tz).alias("day")))
+            local_date("created", tz).alias("createdDate"), "workspaceId"))
     if changes.installment_log is not None:
-        found.append(window.join(changes.installment_log.select("installmentId"), "installmentId", "left_semi").select("day"))
+        found.append(window.join(changes.installment_log.select("installmentId"), "installmentId", "left_semi").select(*unit))
     ends, ids = [], []
     if changes.acquiring_installments is not None:
         fees = changes.acquiring_installments.select(F.col("purchaseId").alias("acquiringId"))
@@ -160,32 +166,46 @@ def changed_days(tables: ReceivablesTables, changes: ReceivablesChanges, params:
     if changes.merchant_purchases is not None:
         ids.append(changes.merchant_purchases.select(receivables.key_id().alias("purchaseId")))
     if ids:
-        found.append(window.join(reduce(DataFrame.union, ids), "purchaseId", "left_semi").select("day"))
+        found.append(window.join(reduce(DataFrame.union, ids), "purchaseId", "left_semi").select(*unit))
     if changes.workspaces is not None:
-        found.append(window.join(changes.workspaces.select("workspaceId"), "workspaceId", "left_semi").select("day"))
-    days = reduce(DataFrame.union, found).distinct().collect() if found else []
-    return sorted(r.day for r in days)
+        found.append(window.join(changes.workspaces.select("workspaceId"), "workspaceId", "left_semi").select(*unit))
+    none = window.select(*unit).filter("false")
+    return reduce(DataFrame.union, found, none).filter("workspaceId IS NOT NULL").distinct()
+
+
+def _days(units: DataFrame) -> list[dt.date]:
+    return sorted(r.createdDate for r in units.select("createdDate").distinct().collect())
+
+
+def changed_days(tables: ReceivablesTables, changes: ReceivablesChanges, params: ReceivablesParams) -> list[dt.date]:
+    """Creation days of ``changed_units``; at most one date a day reaches the driver."""
+    return _days(changed_units(tables, changes, params))
 
 
 def update_receive_pay(spark: SparkSession, tables: ReceivablesTables, params: ReceivablesParams, name: str,
                        changes: ReceivablesChanges | None = None) -> DataFrame:
     """``receive_pay`` from states by creation day that are kept in the table ``name``.
 
-    Without ``changes``, or if there are no states yet, those of the whole window are made. Else only the days that
-    the changes touch are computed again: their installments alone are read, and of the installment log and
-    the purchases little else is shuffled. The result adds up the states of the window.
+    Without ``changes``, or if there are no states yet (or only ones by side, as earlier versions kept them), those of the
+    whole window are made. Else only the days that the changes touch are written again, and of these only the workspaces
+    that they touch are computed again: their installments alone go into the joins, and of the installment log and the
+    purchases little else is shuffled. The states of the other workspaces of such days are copied. The result adds up
+    the states of the window.
     """
-    whole = changes is None or current_version(spark, name) is None
-    spine = [params.start + dt.timedelta(days=i) for i in range((params.end - params.start).days + 1)]
-    days = spine if whole else changed_days(tables, changes, params)
+    whole = changes is None or current_version(spark, name) is None or "acquirerDate" not in spark.table(name).columns
     with temporary(spark):
         if whole:
             states = receivables.day_states(receivables_fact(spark, narrowed(tables, params), params))
             replace_table(states, name, "createdDate", partitioned=False)
-        elif days:
-            some = narrowed(replace(tables, installments=tables.installments.filter(receivables.created_on(days, params.tz))), params)
-            states = receivables.day_states(receivables_fact(spark, some, params))
-            replace_dates(states, name, "createdDate", [d.isoformat() for d in days], partitioned=False)
+        else:
+            units = stored(changed_units(tables, changes, params))
+            days = _days(units)
+            if days:
+                touched = receivables.of_units(tables.installments.filter(receivables.created_on(days, params.tz)), units, params)
+                some = narrowed(replace(tables, installments=touched), params)
+                made = receivables.day_states(receivables_fact(spark, some, params))
+                others = spark.table(name).filter(F.col("createdDate").isin(days)).join(units, units.columns, "left_anti")
+                replace_dates(made.unionByName(others), name, "createdDate", [d.isoformat() for d in days], partitioned=False)
     states = spark.table(name).filter(F.col("createdDate").between(F.lit(params.start), F.lit(params.end)))
     return receivables.daily_receive_pay(stored(receivables.merged_states(states)), tables.workspaces)
 

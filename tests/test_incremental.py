@@ -93,3 +93,74 @@ def test_the_filtered_tables_give_the_same_fact(spark):
     share = now.installments.filter(receivables.local_date_between(
         "created", fx.RECEIVABLES.start, fx.RECEIVABLES.end, fx.RECEIVABLES.tz)).count() / now.installments.count()
     assert log.count() <= (share + 0.08) * now.installment_log.count()
+
+
+def small_tables(spark, fee):
+    """Four installments of one day, two workspaces and two purchases; ``fee`` is the acquirer's of purchase 1."""
+    at, due = dt.datetime(2001, 3, 5, 15), dt.datetime(2001, 4, 4, 15)
+    rows = [(i, str(1 + i % 2), "AB"[i % 2]) for i in range(4)]
+    stamp = "timestamp_ntz"
+    return jobs.ReceivablesTables(
+        spark.createDataFrame([((f"i{i}",), p, at, due, "visa", w, "open", 100 + i, 1, None) for i, p, w in rows],
+                              f"__key__ struct<id: string>, purchaseId string, created {stamp}, due {stamp}, network string, "
+                              "workspaceId string, status string, amount long, fee long, tags array<string>"),
+        spark.createDataFrame([(f"i{i}", "created", (due, at)) for i, _, _ in rows],
+                              f"installmentId string, type string, installment struct<due: {stamp}, created: {stamp}>"),
+        spark.createDataFrame([((n,), f"e{n}", "credit", "confirmed") for n in (1, 2)],
+                              "__key__ struct<id: long>, endToEndId string, fundingType string, status string"),
+        spark.createDataFrame([(n, f"e{n}", 500, "confirmed") for n in (1, 2)],
+                              "id long, endToEndId string, amount long, status string"),
+        spark.createDataFrame([("1", due, fee), ("2", due, 5)], f"purchaseId string, due {stamp}, externalFee long"),
+        spark.createDataFrame([(w, f"tax{w}", w, at) for w in "AB"],
+                              f"workspaceId string, companyTaxId string, companyName string, workspaceCreated {stamp}"),
+        spark.createDataFrame([(dt.date(2001, 1, 1), "new year"), (dt.date(2001, 12, 25), "christmas")], "holidayDate date, holidayName string"))
+
+
+def test_only_the_workspaces_that_changed_are_made_anew(spark, name, monkeypatch):
+    before, now = small_tables(spark, 3), small_tables(spark, 4)
+    jobs.update_receive_pay(spark, before, fx.RECEIVABLES, name)
+    asked, fact = [], jobs.receivables_fact
+    monkeypatch.setattr(jobs, "receivables_fact", lambda spark, tables, params: (
+        asked.append(sorted(r.workspaceId for r in tables.installments.collect())), fact(spark, tables, params))[1])
+    changes = jobs.ReceivablesChanges(acquiring_installments=now.acquiring_installments.filter("purchaseId = '1'"))
+    second = rows_of(jobs.update_receive_pay(spark, now, fx.RECEIVABLES, name, changes))
+    assert asked == [["A", "A"]]
+    monkeypatch.undo()
+    assert second == rows_of(jobs.receive_pay(spark, now, fx.RECEIVABLES))
+    assert second != rows_of(jobs.receive_pay(spark, before, fx.RECEIVABLES))
+
+
+def test_an_installment_has_one_state_not_one_per_side(spark):
+    states = receivables.day_states(jobs.receivables_fact(spark, small_tables(spark, 3), fx.RECEIVABLES))
+    assert states.agg(F.sum("gaps")).first()[0] == 4 and states.count() == 2  # one per workspace
+
+
+def test_a_key_filter_goes_below_an_aggregation(spark):
+    rows = spark.range(1000).select((F.col("id") % 100).cast("string").alias("k"), F.lit(1).alias("n"))
+    sums = rows.groupBy("k").agg(F.sum("n").alias("n"))
+    keys = spark.range(7).select(F.col("id").cast("string").alias("k"))
+    some = joins.perhaps_in(sums, "k", joins.key_filter(keys, "k"), below=True)
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [k") < plan.index("Join LeftSemi")
+    assert {(r.k, r.n) for r in some.collect()} >= {(str(i), 10) for i in range(7)} and some.count() < 20
+
+
+def test_rows_of_a_key_are_paired_whatever_their_flags(spark):
+    """All flags on all sides of one key, and a key that is in part null and matches nothing."""
+    at = dt.date(2001, 3, 5)
+    flags = {"created": [None, True], "acquirer": [False, True], "merchant": [None, False, True]}
+    amounts = [*receivables.ACQUIRER_COLUMNS, *receivables.MERCHANT_COLUMNS]
+    rows = [(side, at, network, "open", "A", flag, *[None if flag else 10 * n + i for i in range(8)])
+            for network in ("visa", None) for side, some in flags.items() for n, flag in enumerate(some)]
+    rollup = spark.createDataFrame(rows, "side string, referenceDate date, network string, installmentStatus string, "
+                                         "workspaceId string, isFactoring boolean, " + ", ".join(f"{c} long" for c in amounts))
+    workspaces = spark.createDataFrame([("A", "tax", "A", dt.datetime(2001, 1, 1))],
+                                       "workspaceId string, companyTaxId string, companyName string, workspaceCreated timestamp_ntz")
+    got = receivables.daily_receive_pay(rollup, workspaces).select("network", "isFactoring", *amounts)
+    nothing, side = (None,) * 4, lambda first, n, flag: (None,) * 4 if flag else tuple(10 * n + first + i for i in range(4))
+    acquirer = [side(0, n, f) for n, f in enumerate(flags["acquirer"])]
+    merchant = [side(4, n, f) for n, f in enumerate(flags["merchant"])]
+    paired = [("visa", c, *a, *m) for c in flags["created"] for a in acquirer for m in merchant]
+    alone = [(None, c, *nothing, *nothing) for c in flags["created"]] + [(None, None, *a, *nothing) for a in acquirer] + [
+        (None, None, *nothing, *m) for m in merchant]
+    assert rows_of(got) == sorted(paired + alone, key=repr)
